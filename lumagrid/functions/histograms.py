@@ -43,9 +43,7 @@ def from_csv(csv: Column, trim: bool = True) -> Column:
     values = F.transform(
         tokens, lambda s: F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast("int"))
     )
-    padded = F.transform(
-        F.sequence(F.lit(1), F.lit(BINS)), lambda i: F.coalesce(F.get(values, i - 1), F.lit(0))
-    )
+    padded = F.slice(F.concat(values, F.array_repeat(F.lit(0), BINS)), 1, BINS)
     return (
         F.when(csv.rlike("^,+$"), F.array_repeat(F.lit(0), BINS))
         .when(F.forall(values, lambda v: v.isNotNull()), padded)

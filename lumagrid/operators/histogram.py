@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumagrid.functions import histograms as H
 from lumagrid.operators.cells import binary_cells
@@ -28,7 +29,7 @@ def dense_histogram(bins: DataFrame) -> DataFrame:
     )
 
 
-@F.arrow_udf("array<bigint>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
 def gray_histogram(gray: pa.Array) -> pa.Array:
     """256 counts per packed image."""
     cells = list(binary_cells(gray))

@@ -28,7 +28,7 @@ def search_bins(bins: DataFrame, query: DataFrame, n: int = 5) -> DataFrame:
     checks.count_of(n)
     probe = query.groupBy("gray").agg(F.sum("n").alias("qn"))
     query_total = query.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    shared = F.coalesce(F.least("n", "qn"), F.lit(0))
+    shared = F.least("n", F.coalesce("qn", F.lit(0)))
     return (
         bins.join(F.broadcast(probe), "gray", "left")
         .groupBy("image_id")

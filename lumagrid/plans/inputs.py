@@ -91,11 +91,12 @@ def crop(images: DataFrame, image_id: int, feature_id: int, x: int, y: int, w: i
         F.sequence(F.lit(y), F.lit(y + h - 1)),
         lambda r: F.hex(F.substring("gray", r * F.col("width") + x + 1, F.lit(w))),
     )
-    return images.filter(F.col("image_id") == image_id).select(
+    cut = images.filter(F.col("image_id") == image_id).select(F.unhex(F.array_join(rows, "")).alias("gray"))
+    return cut.select(
         F.lit(feature_id).cast("bigint").alias("feature_id"),
         F.lit(w).alias("width"),
         F.lit(h).alias("height"),
-        F.unhex(F.array_join(rows, "")).alias("gray"),
+        "gray",
     )
 
 

@@ -200,7 +200,7 @@ def _windows(mode: str, threshold: str) -> str:
   SELECT 1, x, y, gray, 8, 3 FROM doc_px WHERE image_id = 0 AND x < 8 AND y < 3)""",
             f"""window_sums AS (
   SELECT feature_id::BIGINT AS feature_id, image_id, (x - fx)::INT AS x, (y - fy)::INT AS y,
-    count_if({near}) AS matching, sum(abs(gray - fg)) AS diff
+    count_if({near})::BIGINT AS matching, sum(abs(gray - fg)) AS diff
   FROM doc_px JOIN feature ON x - fx BETWEEN 0 AND width - fw AND y - fy BETWEEN 0 AND height - fh
   GROUP BY ALL)""",
             f"""hits AS (
@@ -251,7 +251,7 @@ def _tampered(images: str, px: str, suspects: str, exclude_self: bool = True) ->
     ON l.width = s.width AND l.height = s.height AND l.x = s.x AND l.y = s.y {self_test})""",
         """blocks AS (
   SELECT suspect_id, image_id, width, height, (x // 16)::INT AS bx, (y // 16)::INT AS "by",
-    count_if(differs) AS diff, count(*) AS pixels
+    count_if(differs)::BIGINT AS diff, count(*) AS pixels
   FROM compared GROUP BY ALL)""",
         """bad AS (
   SELECT suspect_id, image_id, bx, "by", bx * 16 AS start_x, "by" * 16 AS start_y,
@@ -275,7 +275,7 @@ _PLANTED = (
 )
 _DOC_PLAIN = _tampered(DOC, "doc", _PLAIN.format("doc"))
 ORACLES["tamper_pixels"] = _DOC_PLAIN + "SELECT image_id, x, y, differs FROM compared"
-ORACLES["tamper_blocks"] = _DOC_PLAIN + "SELECT image_id, bx, "by", diff, pixels FROM blocks"
+ORACLES["tamper_blocks"] = _DOC_PLAIN + 'SELECT image_id, bx, "by", diff, pixels FROM blocks'
 ORACLES["tamper_regions"] = (
     _DOC_PLAIN + "SELECT image_id, start_x, start_y, end_x, end_y, pixel_count FROM bad"
 )
@@ -359,7 +359,7 @@ ORACLES["library_status"] = (
 )
 ORACLES["library_join"] = (
     _with(DOC, VEC)
-    + "SELECT vec.image_id, vec.width, vec.height FROM vec JOIN doc ON doc.image_id = vec.image_id"
+    + "SELECT doc.image_id, doc.width, doc.height FROM doc JOIN vec ON doc.image_id = vec.image_id"
 )
 ORACLES["library_list"] = (
     _with(DOC)
