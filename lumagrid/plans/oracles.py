@@ -61,7 +61,13 @@ plate AS (
 DOC_PX, DOC_BINS = _with(DOC, _px("doc")), _with(DOC, _px("doc"), _bins("doc"))
 VEC_PX = _with(VEC, _px("vec"))
 
-ORACLES["pixels"] = DOC_PX + "SELECT * FROM doc_px"
+ORACLES["pixels"] = (
+    DOC_PX
+    + """SELECT image_id, width, height, count(*) AS pixels, sum(gray)::BIGINT AS gray_sum,
+  sum(x * gray)::BIGINT AS x_sum, sum(y * gray)::BIGINT AS y_sum,
+  sum((x + 1)::BIGINT * (y + 1) * gray * gray)::BIGINT AS spot_sum
+FROM doc_px GROUP BY ALL"""
+)
 
 ORACLES["gray_from_rgb"] = (
     _with(
@@ -319,6 +325,10 @@ SELECT suspect_id, image_id, min(start_x) AS start_x, min(start_y) AS start_y,
 FROM grouped JOIN bad USING (suspect_id, image_id, bx, "by")
 GROUP BY suspect_id, image_id, label"""
 )
+ORACLES["tamper_percent"] = (
+    _tampered(DOC, "doc", _PLANTED, False)
+    + "SELECT suspect_id, image_id, printf('%.2f%%', similarity * 100) AS share FROM ranked"
+)
 ORACLES["export_results"] = (
     _DOC_PLAIN
     + """, told AS (SELECT image_id, count(*)::INT AS region_count FROM bad GROUP BY image_id)

@@ -45,7 +45,19 @@ def query(function: Query) -> Query:
 
 @query
 def pixels(spark, folder):
-    return pixel_table(inputs.doc_images(spark, folder))
+    """The pixel table of all documents, told by sums per image that any moved pixel would change."""
+    spot = (F.col("x") + 1) * (F.col("y") + 1)
+    return (
+        pixel_table(inputs.doc_images(spark, folder))
+        .groupBy("image_id", "width", "height")
+        .agg(
+            F.count("*").alias("pixels"),
+            F.sum("gray").alias("gray_sum"),
+            F.sum(F.col("x") * F.col("gray")).alias("x_sum"),
+            F.sum(F.col("y") * F.col("gray")).alias("y_sum"),
+            F.sum(spot.cast("bigint") * F.col("gray") * F.col("gray")).alias("spot_sum"),
+        )
+    )
 
 
 @query
