@@ -17,3 +17,9 @@ def binary_cells(column: pa.Array) -> Iterator[np.ndarray]:
     values = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     for start, end in zip(offsets[:-1], offsets[1:]):
         yield values[start:end]
+
+
+def hist_matrix(column: pa.Array) -> np.ndarray:
+    """Rows x 256 counts from a list column of dense histograms."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return np.ascontiguousarray(flat, np.int64).reshape(len(column), 256)

@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.functions import histograms as H
+from lumagrid.operators.cells import hist_matrix
 from lumagrid.session import materialise
 from lumagrid.sizing import SLICE_ROWS, split_hot_keys
 
@@ -43,22 +46,21 @@ def copies(library: DataFrame) -> DataFrame:
     )
 
 
-def _signed_sum(hist: Column, bit: int) -> Column:
-    """Sum of the bins, with a minus where the gray value has ``bit`` set."""
-    signs = F.array(*[F.lit(-1 if g >> bit & 1 else 1) for g in range(H.BINS)])
-    return F.aggregate(
-        F.zip_with(hist, signs, lambda n, s: n * s), F.lit(0).cast("bigint"), lambda a, n: a + n
-    )
+def _sketch_kernel():
+    """Signed sums (minus where the gray value has one bit set), then sums of 16 bins each."""
+    gray = np.arange(H.BINS)
+    signed = np.where(gray[:, None] >> np.arange(SIGNS) & 1, -1, 1)
+    coarse = (gray[:, None] // (H.BINS // COARSE) == np.arange(COARSE)).astype(np.int64)
+    weights = np.hstack([signed, coarse])
+    many = weights.shape[1]
 
+    @F.arrow_udf("array<bigint>")
+    def sketch(hist: pa.Array) -> pa.Array:
+        sums = hist_matrix(hist) @ weights
+        ends = np.arange(0, many * len(hist) + 1, many, dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(sums.ravel()))
 
-def _coarse(hist: Column) -> Column:
-    width = H.BINS // COARSE
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(COARSE - 1)),
-        lambda i: F.aggregate(
-            F.slice(hist, i * width + 1, width), F.lit(0).cast("bigint"), lambda a, n: a + n
-        ),
-    )
+    return sketch
 
 
 def _widest(signed: DataFrame, axes: int) -> list[int]:
@@ -78,17 +80,17 @@ def duplicate_pairs(
     """
     if not 0 < threshold < 1:
         raise ValueError("threshold must lie strictly between 0 and 1")
-    hist = F.col("hist")
     keepers = fold_copies(library.select("image_id", F.col("hist").cast("array<bigint>").alias("hist")))
-    keepers = keepers.withColumn("total", H.total(hist)).filter(F.col("total") > 0)
+    keepers = keepers.withColumn("sketch", _sketch_kernel()("hist"))
     keepers = materialise(keepers, "keepers")
+    coarse = F.slice("sketch", SIGNS + 1, COARSE)
     signed = keepers.select(
         "image_id",
-        "total",
         "copies",
-        _coarse(hist).alias("coarse"),
-        *[_signed_sum(hist, b).alias(f"s{b}") for b in range(SIGNS)],
-    )
+        coarse.alias("coarse"),
+        H.total(coarse).alias("total"),
+        *[F.get("sketch", b).alias(f"s{b}") for b in range(SIGNS)],
+    ).filter(F.col("total") > 0)
     picked = _widest(signed, axes)
     reach = (1.0 - threshold) / threshold * (1 + 1e-9)
     ratio = max(LEVEL, 1.0 / threshold)

@@ -15,87 +15,132 @@ NEAR = 5  # gray steps within which a template pixel counts as matching
 BAND_PIXELS = 4 << 20
 HITS = "array<struct<x: int, y: int, matching: bigint, abs_diff: bigint>>"
 
-_STEP = np.arange(256, dtype=np.int64)
-_GAP = np.abs(_STEP[:, None] - _STEP[None, :])
-_MISS = 1 << 40  # one miss in the packed (misses, sum of differences) cost
+FEW = 16  # a sixteenth of the windows left is few enough to look at them one by one
 
 
-def _cost_table(mode: str) -> np.ndarray:
-    """Cost of one pixel pair: the difference below bit 40, a miss flag above it."""
-    missed = _GAP >= NEAR if mode == "score" else _GAP > NEAR
-    return _GAP + missed * _MISS
+def _most_misses(mode: str, threshold: float, n: int) -> float:
+    """The most pixels that may miss in a window of ``n`` pixels that is still a hit.
+
+    In score mode the score is (1 - misses/n + 1 - diff/(255 n)) / 2 and every difference is at
+    least 0, so misses <= 2 n (1 - t); in count mode misses <= n - int(n t).
+    """
+    if mode == "score":
+        return 2.0 * n * (1.0 - threshold) + 1e-6
+    return float(n - int(n * threshold))
+
+
+def _missed(gap: np.ndarray, mode: str) -> np.ndarray:
+    return gap >= NEAR if mode == "score" else gap > NEAR
 
 
-def _budget(mode: str, threshold: float, n: int) -> tuple[int, float]:
-    """Weight of a miss and the highest weighted cost a window may reach and still be a hit.
+def _gap(image: np.ndarray, value: int) -> np.ndarray:
+    value = np.uint8(value)
+    return np.where(image > value, image - value, value - image)
 
-    In score mode the score is (1 - misses/n + 1 - diff/(255 n)) / 2, so a hit needs
-    255 misses + diff <= 510 n (1 - t); in count mode it needs at most n - int(n t) misses.
+
+def _by_value(feature: np.ndarray, image: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Template pixels grouped by gray value, those rarest in the image first.
+
+    Rare values miss in most windows, so they rule windows out soonest.
     """
-    if mode == "score":
-        return 255, 510.0 * n * (1.0 - threshold) + 1e-3
-    return 0, float(n - int(n * threshold))
+    near = np.convolve(np.bincount(image.ravel(), minlength=256), np.ones(2 * NEAR - 1), "same")
+    flat = feature.ravel()
+    values = np.unique(flat)
+    return [(int(v), np.flatnonzero(flat == v)) for v in values[np.argsort(near[values], kind="stable")]]
 
 
-def _over(cost: np.ndarray, mode: str, limit: float) -> np.ndarray:
-    misses = cost >> 40
-    if mode == "count":
-        return misses > limit
-    return misses * 255 + (cost & (_MISS - 1)) > limit
+def _dense_sum(groups, image, shape, width, of, kind, most, stop=None):
+    """Sum over template pixels of a per-pixel map, for all windows at once.
 
+    ``of`` maps (image, value) to the cost of every image pixel against one template value, in the
+    small integer type ``kind`` that ``most`` additions cannot overflow. With ``stop``, returns
+    early once ``stop(sums)`` says that few windows are left.
+    """
+    rows, cols = shape
+    sums = np.zeros(shape, np.int64)
+    part, added = np.zeros(shape, kind), 0
+    for value, places in groups:
+        cost = of(image, value)
+        for k in places:
+            fy, fx = divmod(int(k), width)
+            part += cost[fy : fy + rows, fx : fx + cols]
+            added += 1
+            if added == most:
+                sums += part
+                part[...], added = 0, 0
+                if stop and stop(sums):
+                    return sums
+        if stop and added >= 4:
+            sums += part
+            part[...], added = 0, 0
+            if stop(sums):
+                return sums
+    return sums + part
 
-def _scan(image: np.ndarray, feature: np.ndarray, table: np.ndarray, mode: str, threshold: float):
-    """Windows of one image that can still be hits after every template pixel was charged.
 
-    The cost of a window only grows, so a window past its budget is dropped at once. Pixels
-    whose gray is rare in the image come first: they rule out windows soonest.
+def _exact(image, feature, at, mode, most):
+    """Misses and summed differences of the windows that start at flat positions ``at``.
+
+    Windows leave as soon as they have missed too often.
     """
-    h, w = image.shape
-    fh, fw = feature.shape
-    n = fh * fw
-    _, limit = _budget(mode, threshold, n)
-    rows, cols = h - fh + 1, w - fw + 1
-    flat_feature = feature.ravel()
-    seen = np.convolve(np.bincount(image.ravel(), minlength=256), np.ones(2 * NEAR - 1), "same")
-    # Spread equally rare pixels over the template rather than taking neighbours.
-    spread = (np.arange(n) * 7919) % n if n % 7919 else np.arange(n)
-    order = spread[np.argsort(seen[flat_feature[spread]], kind="stable")]
-
-    cost = np.zeros((rows, cols), np.int64)
-    used = 0
-    alive = None
-    while used < n:
-        for k in order[used : used + 4]:
-            fy, fx = divmod(int(k), fw)
-            cost += table[flat_feature[k]][image[fy : fy + rows, fx : fx + cols]]
-        used = min(used + 4, n)
-        fine = ~_over(cost, mode, limit)
-        if used == n or np.count_nonzero(fine) * 4 < fine.size:
-            y, x = np.nonzero(fine)
-            alive = cost[y, x]
+    w, fw = image.shape[1], feature.shape[1]
+    flat, wanted = image.ravel().astype(np.int16), feature.ravel().astype(np.int16)
+    ky, kx = np.divmod(np.arange(len(wanted)), fw)
+    offsets = ky * w + kx
+    chunk = max(1, (1 << 22) // max(len(at), 1))
+    misses, diff = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    for first in range(0, len(wanted), chunk):
+        if not len(at):
             break
-    flat = image.ravel()
-    at = y * w + x
-    while used < n and len(at):
-        for k in order[used : used + 8]:
-            fy, fx = divmod(int(k), fw)
-            alive += table[flat_feature[k]][flat[at + fy * w + fx]]
-        used = min(used + 8, n)
-        fine = ~_over(alive, mode, limit)
+        part = slice(first, first + chunk)
+        gap = np.abs(flat[at[:, None] + offsets[part]] - wanted[part])
+        misses += _missed(gap, mode).sum(axis=1)
+        diff += gap.sum(axis=1, dtype=np.int64)
+        fine = misses <= most
         if not fine.all():
-            at, y, x, alive = at[fine], y[fine], x[fine], alive[fine]
-    matching = n - (alive >> 40)
-    diff = alive & (_MISS - 1)
+            at, misses, diff = at[fine], misses[fine], diff[fine]
+    return at, misses, diff
+
+
+def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float):
+    """(x, y, matching, summed difference) of the windows of one image that are hits.
+
+    Misses only add up, so template pixels are charged to all windows at once until few windows can
+    still be hits; only those are compared in full.
+    """
+    (h, w), (fh, fw) = image.shape, feature.shape
+    n, shape = fh * fw, (h - fh + 1, w - fw + 1)
+    most = _most_misses(mode, threshold, n)
+    groups = _by_value(feature, image)
+    few = shape[0] * shape[1] // FEW
+    misses = _dense_sum(
+        groups,
+        image,
+        shape,
+        fw,
+        lambda i, v: _missed(_gap(i, v), mode).view(np.uint8),
+        np.uint8,
+        255,
+        lambda sums: np.count_nonzero(sums <= most) <= few,
+    )
+    y, x = np.nonzero(misses <= most)
+    if len(y) <= few:
+        at, missed, diff = _exact(image, feature, y * w + x, mode, most)
+        y, x = np.divmod(at, w)
+    else:
+        sums = _dense_sum(
+            groups, image, shape, fw, lambda i, v: _gap(i, v).astype(np.uint16), np.uint16, 257
+        )
+        missed, diff = misses[y, x], sums[y, x]
+    matching = n - missed
     if mode == "score":
-        score = (matching / n + (1.0 - diff / n / 255.0)) / 2.0
-        keep = score >= threshold
+        keep = (matching / n + (1.0 - diff / n / 255.0)) / 2.0 >= threshold
     else:
         keep = matching >= int(n * threshold)
     return x[keep], y[keep], matching[keep], diff[keep]
 
 
 def _scan_kernel(threshold: float, mode: str):
-    table = _cost_table(mode)
     hit = pa.struct(
         [("x", pa.int32()), ("y", pa.int32()), ("matching", pa.int64()), ("abs_diff", pa.int64())]
     )
@@ -108,7 +153,7 @@ def _scan_kernel(threshold: float, mode: str):
         shapes = zip(width.to_pylist(), fwidth.to_pylist(), top.to_pylist())
         for cell, small, (w, fw, y0) in zip(binary_cells(gray), binary_cells(feature), shapes):
             x, y, matching, diff = _scan(
-                cell.reshape(-1, w), small.reshape(-1, fw), table, mode, threshold
+                cell.reshape(-1, w), small.reshape(-1, fw), mode, threshold
             )
             found.append((x, y + y0, matching, diff))
             ends.append(ends[-1] + len(x))

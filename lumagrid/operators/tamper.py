@@ -1,7 +1,8 @@
 """Tamper detection: a suspect image against every library image of the same size.
 
-Two forms with equal results. The pixel form is plain joins and aggregates on the pixel table.
-The packed form compares whole images in an Arrow kernel and is the one for large libraries.
+Two forms with equal results. The pixel form unfolds pairs of images into pixel rows and
+aggregates them. The packed form compares whole images in an Arrow kernel and is the one for
+large libraries.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lumagrid import checks
 from lumagrid.operators.cells import binary_cells
+from lumagrid.operators.pixels import byte_values
 from lumagrid.sizing import pair_up
 
 BLOCK = 16
@@ -24,30 +26,48 @@ VERDICT = f"struct<matching_pixels: bigint, regions: array<struct<{REGION.replac
 # ---------------------------------------------------------------- pixel form
 
 
+def _same_size(library: DataFrame, suspects: DataFrame, exclude_self: bool, sizes: dict) -> DataFrame:
+    """Packed library images beside the packed suspects of their size."""
+    probes = suspects.select("suspect_id", "width", "height", F.col("gray").alias("suspect_gray"))
+    return pair_up(
+        library.select("image_id", "width", "height", "gray"),
+        probes,
+        ["width", "height"],
+        "suspect_gray",
+        F.col("image_id"),
+        F.col("image_id") != F.col("suspect_id") if exclude_self else None,
+        **sizes,
+    )
+
+
 def tamper_pixels(
     library: DataFrame,
-    suspect: DataFrame,
+    suspects: DataFrame,
     threshold: int = checks.TAMPER_THRESHOLD,
     exclude_self: bool = True,
+    **sizes,
 ) -> DataFrame:
-    """Library pixels beside the suspect's pixel at the same place, with a difference flag.
+    """One row per compared pixel with a difference flag.
 
-    Both sides are pixel tables; ``suspect`` holds one image. Its size and pixels decide the
-    join keys, so images of other sizes fall out in the join.
+    Images meet by size while still packed; only pairs of one size are unfolded, both images in
+    step, so pixels are never joined or shuffled.
     """
     checks.gray_step(threshold)
-    probe = suspect.select(
-        F.col("image_id").alias("suspect_id"),
+    samples = F.arrays_zip(byte_values("gray").alias("a"), byte_values("suspect_gray").alias("b"))
+    pairs = _same_size(library, suspects, exclude_self, sizes)
+    unfolded = pairs.select("suspect_id", "image_id", "width", "height", F.posexplode(samples).alias("pos", "s"))
+    gray, suspect_gray = F.ascii("s.a"), F.ascii("s.b")
+    return unfolded.select(
+        "suspect_id",
+        "image_id",
         "width",
         "height",
-        "x",
-        "y",
-        F.col("gray").alias("suspect_gray"),
+        F.pmod("pos", "width").alias("x"),
+        F.expr("cast(pos div width as int)").alias("y"),
+        gray.alias("gray"),
+        suspect_gray.alias("suspect_gray"),
+        (F.abs(gray - suspect_gray) > threshold).alias("differs"),
     )
-    joined = library.join(probe, ["width", "height", "x", "y"])
-    if exclude_self:
-        joined = joined.filter(F.col("image_id") != F.col("suspect_id"))
-    return joined.withColumn("differs", F.abs(F.col("gray") - F.col("suspect_gray")) > threshold)
 
 
 def tamper_blocks(compared: DataFrame) -> DataFrame:
@@ -183,19 +203,7 @@ def detect(
     the library is read once and not shuffled. ``merge`` joins adjoining blocks into one region.
     """
     checks.gray_step(threshold)
-    probes = suspects.select(
-        "suspect_id", "width", "height", F.col("gray").alias("suspect_gray")
-    )
-    condition = F.col("image_id") != F.col("suspect_id") if exclude_self else None
-    paired = pair_up(
-        library.select("image_id", "width", "height", "gray"),
-        probes,
-        ["width", "height"],
-        "suspect_gray",
-        F.col("image_id"),
-        condition,
-        **sizes,
-    )
+    paired = _same_size(library, suspects, exclude_self, sizes)
     verdict = _compare_kernel(threshold, merge)("gray", "suspect_gray", "width", "height")
     total = F.col("width").cast("bigint") * F.col("height")
     return (

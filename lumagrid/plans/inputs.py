@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumagrid.operators.pixels import byte_values, pack_values
+from lumagrid.session import spread
 
 TEXT_WIDTH = 32
 PLATE = 512
@@ -37,7 +38,7 @@ def as_images(rows: DataFrame, width: int) -> DataFrame:
 
 def doc_images(spark: SparkSession, folder: str) -> DataFrame:
     """One image per document, 32 wide."""
-    docs = read(spark, folder, "documents")
+    docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
     return as_images(docs.select(F.col("doc_id").alias("image_id"), F.encode("text", "UTF-8").alias("data")), TEXT_WIDTH)
 
 
@@ -55,7 +56,7 @@ def vec_values(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(0), F.least(F.lit(255), F.floor((v.cast("double") + 0.5) * 255.0).cast("int"))
         ),
     )
-    return read(spark, folder, "embeddings").select(
+    return spread(read(spark, folder, "embeddings")).select(
         F.col("vec_id").alias("image_id"), "label", gray.alias("values")
     )
 
@@ -126,7 +127,8 @@ def doc_suspects(spark: SparkSession, folder: str) -> DataFrame:
 def rgb_pixels(spark: SparkSession, folder: str) -> DataFrame:
     """(image_id, rgb): three text bytes in a row as one 24-bit colour."""
     data = F.encode("text", "UTF-8")
-    docs = read(spark, folder, "documents").select(F.col("doc_id").alias("image_id"), data.alias("data"))
+    docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
+    docs = docs.select(F.col("doc_id").alias("image_id"), data.alias("data"))
     docs = docs.withColumn("pixels", F.expr("cast((length(data) + 2) div 3 as int)")).filter("pixels > 0")
     docs = docs.select("image_id", F.expr("rpad(data, 3 * pixels, X'00')").alias("data"))
     samples = docs.select("image_id", byte_values("data").alias("s"))

@@ -22,7 +22,7 @@ from lumagrid.operators import (
 )
 from lumagrid.operators.pixels import pixel_table
 from lumagrid.plans import inputs, jobs
-from lumagrid.session import fresh_dir, tune
+from lumagrid.session import fresh_dir, materialise, tune
 from lumagrid.sources import files, table
 from lumagrid.streaming.ingest import ingest_stream
 from lumagrid.streaming.monitor import open_task_alerts
@@ -220,7 +220,7 @@ def watermark_images(spark, folder):
 @query
 def feature_plates(spark, folder):
     """A 64 x 64 template over 512 x 512 images, the sizes of the published timings."""
-    plates = inputs.plate_images(spark, folder)
+    plates = materialise(inputs.plate_images(spark, folder), "plates")
     return feature.feature_search(plates, inputs.crop(plates, 0, 0, 100, 200, 64, 64)).drop("matching")
 
 
@@ -232,8 +232,7 @@ def _plain_suspect(spark, folder):
 
 
 def _compared(spark, folder):
-    suspect = _query_image(inputs.doc_images(spark, folder))
-    return tamper.tamper_pixels(pixel_table(inputs.doc_images(spark, folder)), pixel_table(suspect))
+    return tamper.tamper_pixels(inputs.doc_images(spark, folder), _plain_suspect(spark, folder))
 
 
 @query
@@ -255,16 +254,17 @@ def tamper_regions(spark, folder):
 @query
 def tamper_rank(spark, folder):
     """A 512 x 512 suspect against all plates, which share its size."""
-    plates = inputs.plate_images(spark, folder)
+    plates = materialise(inputs.plate_images(spark, folder), "plates")
     suspect = _query_image(plates).withColumnRenamed("image_id", "suspect_id")
     return tamper.ranking(tamper.detect(plates, suspect)).drop("suspect_id")
 
 
 @query
 def tamper_rank_pixels(spark, folder):
-    """The same ranking by joins on the pixel table, for 8 x 8 images."""
+    """The same ranking from pixel rows, for 8 x 8 images."""
     images = inputs.vec_images(spark, folder)
-    compared = tamper.tamper_pixels(pixel_table(images), pixel_table(_query_image(images)))
+    suspect = _query_image(images).withColumnRenamed("image_id", "suspect_id")
+    compared = tamper.tamper_pixels(images, suspect)
     return tamper.block_ranking(tamper.tamper_blocks(compared)).drop("suspect_id")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -37,8 +37,22 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df, label: str):
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a file scan over all cores when the scan has fewer splits than there are cores.
+
+    A table of many files has more splits than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if _splits(df) < cores else df
+
+
+def _splits(df: DataFrame) -> int:
+    """Row groups bound the useful splits; small files hold one."""
+    return df.rdd.getNumPartitions() if df.inputFiles()[1:] else 1
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing to the shared folder and reading back (survives lost executors)."""
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spread(df.sparkSession.read.schema(df.schema).parquet(path))
