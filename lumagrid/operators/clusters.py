@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.functions import histograms as H
-
 
 def histogram_clusters(library: DataFrame, k: int = 8, seed: int = 17) -> DataFrame:
     """(image_id, cluster) by k-means on histograms scaled to sum 1."""
-    shares = F.transform("hist", lambda n: n / F.col("total"))
-    points = (
-        library.select("image_id", "hist")
-        .withColumn("total", H.total(F.col("hist")).cast("double"))
-        .filter(F.col("total") > 0)
-        .select("image_id", array_to_vector(shares).alias("features"))
-    )
+    counts = F.transform("hist", lambda n: n.cast("double"))
+    points = Normalizer(p=1.0, inputCol="counts", outputCol="features").transform(
+        library.select("image_id", array_to_vector(counts).alias("counts"))
+    ).select("image_id", "features")
     model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(points)
     return model.transform(points).select("image_id", "cluster")

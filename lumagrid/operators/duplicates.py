@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from lumagrid.functions import histograms as H
 from lumagrid.operators.cells import hist_matrix
 from lumagrid.session import materialise
-from lumagrid.sizing import SLICE_ROWS, split_hot_keys
+from lumagrid.sizing import SLICE_ROWS, split_hot_keys, within_broadcast
 
 LEVEL = 1.25  # least ratio between two size levels
 SIGNS = 8
@@ -33,17 +33,21 @@ def fold_copies(library: DataFrame) -> DataFrame:
     )
 
 
-def copies(library: DataFrame) -> DataFrame:
-    """(image_id, keeper): each image beyond the first with the same histogram."""
-    keepers = library.groupBy("hist").agg(F.min("image_id").alias("keeper"), F.count("*").alias("n"))
-    shared = keepers.filter(F.col("n") > 1).select("hist", "keeper")
-    # Only histograms that repeat reach the join; a long run of one histogram is split.
-    left, right = split_hot_keys(library.select("image_id", "hist"), shared, ["hist"], F.col("image_id"))
-    return (
-        left.join(right, ["hist", "slice"])
-        .filter(F.col("image_id") != F.col("keeper"))
-        .select("image_id", "keeper")
-    )
+def copies(library: DataFrame, rows_per_slice: int = SLICE_ROWS, **sizes) -> DataFrame:
+    """(image_id, keeper): each image beyond the first with the same histogram.
+
+    Only histograms that repeat reach the join. They are broadcast when few; otherwise the join
+    shuffles, with the images of a histogram shared by very many spread over slices.
+    """
+    library = library.select("image_id", "hist")
+    grouped = library.groupBy("hist").agg(F.min("image_id").alias("keeper"), F.count("*").alias("n"))
+    shared = materialise(grouped.filter(F.col("n") > 1).select("hist", "keeper"), "shared-histograms")
+    if within_broadcast(shared, **sizes):
+        joined = library.join(F.broadcast(shared), "hist")
+    else:
+        left, right = split_hot_keys(library, shared, ["hist"], F.col("image_id"), rows_per_slice)
+        joined = left.join(right, ["hist", "slice"])
+    return joined.filter(F.col("image_id") != F.col("keeper")).select("image_id", "keeper")
 
 
 def _sketch_kernel():

@@ -163,7 +163,8 @@ def _scan_kernel(threshold: float, mode: str):
         )
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
-    return scan
+    # Kept from being planned twice by filters inferred from its result.
+    return scan.asNondeterministic()
 
 
 def row_bands(pairs: DataFrame, spread: bool, band_pixels: int = BAND_PIXELS) -> DataFrame:

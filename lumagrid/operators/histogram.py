@@ -19,13 +19,12 @@ def histogram_bins(pixels: DataFrame) -> DataFrame:
 
 def dense_histogram(bins: DataFrame) -> DataFrame:
     """(image_id, hist): 256 counts, zero where a gray value does not occur."""
-    counts = F.map_from_entries(F.collect_list(F.struct("gray", "n")))
-    return bins.groupBy("image_id").agg(counts.alias("counts")).select(
-        "image_id",
-        F.transform(
-            F.sequence(F.lit(0), F.lit(H.BINS - 1)),
-            lambda g: F.coalesce(F.col("counts")[g], F.lit(0).cast("bigint")),
-        ).alias("hist"),
+    grays = F.sequence(F.lit(0), F.lit(H.BINS - 1))
+    # Repeating the map by reference has it built once per image, not once per gray value.
+    counts = F.array_repeat(F.map_from_entries(F.collect_list(F.struct("gray", "n"))), H.BINS)
+    zero = F.lit(0).cast("bigint")
+    return bins.groupBy("image_id").agg(
+        F.zip_with(grays, counts, lambda g, m: F.coalesce(F.try_element_at(m, g), zero)).alias("hist")
     )
 
 

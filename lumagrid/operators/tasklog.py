@@ -60,7 +60,8 @@ def incomplete(records: DataFrame) -> DataFrame:
 def summary(records: DataFrame) -> DataFrame:
     """One row: all records, records by status, and open tasks."""
     count = lambda s: F.count_if(F.col("status") == s).alias(s.lower())
-    still_open = incomplete(records).agg(F.count("*")).scalar()
+    last = records.groupBy("task_id").agg(F.max_by("status", "seq").alias("status"))
+    still_open = last.agg(F.count_if(F.col("status") == "STARTED")).scalar()
     return records.agg(F.count("*").alias("total"), *[count(s) for s in STATUSES]).select(
         "*", still_open.alias("open")
     )

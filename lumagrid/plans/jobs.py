@@ -15,8 +15,13 @@ def generate_histograms(images: DataFrame) -> DataFrame:
     return with_histogram(images).select("image_id", "width", "height", "hist")
 
 
-def search_images(query: DataFrame, library: DataFrame, n: int = 5) -> DataFrame:
-    """The ``n`` library images most like one query image; both are packed images."""
+def search_images(query: DataFrame, library: DataFrame, n: int = 5, strict: bool = False) -> DataFrame:
+    """The ``n`` library images most like one query image; both are packed images.
+
+    ``strict`` looks at one row first and raises when the library is empty.
+    """
+    if strict:
+        checks.not_empty(library)
     probe = with_histogram(query)
     return search.search(generate_histograms(library), probe, n)
 

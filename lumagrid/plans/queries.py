@@ -108,9 +108,8 @@ def histogram_detail(spark, folder):
 
 @query
 def histogram_clusters(spark, folder):
-    path = fresh_dir(spark, "histograms")
-    jobs.generate_histograms(inputs.doc_images(spark, folder)).select("image_id", "hist").write.parquet(path)
-    return clusters.histogram_clusters(spark.read.parquet(path))
+    library = jobs.generate_histograms(inputs.doc_images(spark, folder))
+    return clusters.histogram_clusters(materialise(library, "histograms"))
 
 
 @query
@@ -172,7 +171,8 @@ def duplicate_pairs(spark, folder):
 
 @query
 def duplicate_copies(spark, folder):
-    return duplicates.copies(jobs.generate_histograms(inputs.doc_images(spark, folder)))
+    library = jobs.generate_histograms(inputs.doc_images(spark, folder))
+    return duplicates.copies(library)
 
 
 # ----------------------------------------------------------------- feature
@@ -316,9 +316,12 @@ def tamper_percent(spark, folder):
 # ------------------------------------------------------------- image table
 
 
+BUCKETS = 8  # few, for tables of test size
+
+
 def _stored(spark, folder) -> str:
     path = fresh_dir(spark, "image-table")
-    table.ingest(spark, path, inputs.doc_images(spark, folder))
+    table.ingest(spark, path, inputs.doc_images(spark, folder), BUCKETS)
     return path
 
 
@@ -340,7 +343,7 @@ def hist_scan(spark, folder):
 @query
 def image_upsert(spark, folder):
     path = _stored(spark, folder)
-    table.ingest(spark, path, inputs.vec_images(spark, folder))
+    table.ingest(spark, path, inputs.vec_images(spark, folder), BUCKETS)
     return _sizes(table.scan(spark, path))
 
 
@@ -348,13 +351,13 @@ def image_upsert(spark, folder):
 def image_delete(spark, folder):
     path = _stored(spark, folder)
     keys = inputs.read(spark, folder, "labels").select(F.col("doc_id").alias("image_id"))
-    table.delete(spark, path, keys)
+    table.delete(spark, path, keys, BUCKETS)
     return _sizes(table.scan(spark, path))
 
 
 @query
 def image_get(spark, folder):
-    return table.get(spark, _stored(spark, folder), 7).select("image_id", "width", "height", F.hex("gray").alias("gray"))
+    return table.get(spark, _stored(spark, folder), 7, BUCKETS).select("image_id", "width", "height", F.hex("gray").alias("gray"))
 
 
 @query
@@ -556,7 +559,7 @@ def stream_ingest(spark, folder):
     images = inputs.as_images(
         docs.select(F.col("doc_id").alias("image_id"), F.encode("text", "UTF-8").alias("data")), inputs.TEXT_WIDTH
     )
-    ingest_stream(images, path, fresh_dir(spark, "stream-progress")).awaitTermination()
+    ingest_stream(images, path, fresh_dir(spark, "stream-progress"), BUCKETS).awaitTermination()
     return _sizes(table.scan(spark, path))
 
 

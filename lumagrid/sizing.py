@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumagrid.session import materialise
+
 BROADCAST_ROWS = 4096
 BROADCAST_BYTES = 64 << 20
 SLICE_ROWS = 100_000
@@ -46,12 +48,17 @@ def split_hot_keys(
             left.withColumn("slice", F.pmod(F.xxhash64(spread), slices).cast("int")),
             right.withColumn("slice", F.explode(F.sequence(F.lit(0), (slices - 1).cast("int")))),
         )
-    hot = (
+    hot = materialise(
         left.groupBy(*keys)
         .count()
         .filter(F.col("count") > rows_per_slice)
-        .select(*keys, F.ceil(F.col("count") / rows_per_slice).cast("int").alias("slices"))
+        .select(*keys, F.ceil(F.col("count") / rows_per_slice).cast("int").alias("slices")),
+        "hot-keys",
     )
+    if hot.isEmpty():
+        return left.withColumn("slice", F.lit(0)), right.withColumn("slice", F.lit(0))
+    if within_broadcast(hot):
+        hot = F.broadcast(hot)
     slices = F.coalesce(F.col("slices"), F.lit(1))
     return (
         left.join(hot, keys, "left")

@@ -61,7 +61,7 @@ def _gray_kernel(mode: str):
             out.append((0.299 * r + 0.587 * g + 0.114 * b).astype("uint8").tobytes())
         return pa.array(out, pa.binary())
 
-    return to_gray
+    return to_gray.asNondeterministic()
 
 
 def gray_images(scanned: DataFrame, mode: str = "srgb") -> DataFrame:

@@ -64,8 +64,10 @@ def test_hot_cells_are_split_without_loss(spark, rng):
 
 def test_copies_point_to_the_first(spark):
     a, b = np.eye(256, dtype=np.int64)[:2]
-    got = rows_of(duplicates.copies(library(spark, [a, b, a, a, b])))
-    assert got == [(2, 0), (3, 0), (4, 1)]
+    images = library(spark, [a, b, a, a, b])
+    want = [(2, 0), (3, 0), (4, 1)]
+    assert rows_of(duplicates.copies(images)) == want
+    assert rows_of(duplicates.copies(images, rows_per_slice=1, max_rows=1)) == want
 
 
 def test_threshold_is_checked(spark):

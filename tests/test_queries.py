@@ -69,4 +69,5 @@ def test_plans(spark):
     for name in ("tamper_regions", "feature_search"):
         text = plan(asked[name](spark, FOLDER))
         assert "SortMergeJoin" not in text and "hashpartitioning" not in text
+        assert text.count("ArrowEvalPython") == 1  # the kernel runs once per pair
     assert "CartesianProduct" not in "".join(plan(asked[n](spark, FOLDER)) for n in ("library_union", "log_summary"))
