@@ -40,15 +40,10 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 def spread(df: DataFrame) -> DataFrame:
     """Rows of a file scan over all cores when the scan has fewer splits than there are cores.
 
-    A table of many files has more splits than that and is left as it is.
+    A large table has more splits than that and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if _splits(df) < cores else df
-
-
-def _splits(df: DataFrame) -> int:
-    """Row groups bound the useful splits; small files hold one."""
-    return df.rdd.getNumPartitions() if df.inputFiles()[1:] else 1
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """The image table: one Parquet row per image, keyed by image_id.
 
-Rows are spread over ``bucket`` partitions by a hash of the key. A change rewrites only the
-buckets it touches (dynamic partition overwrite); a lookup reads one bucket. A deleted image stays
-as a row without data so that its bucket is rewritten, and is not seen by any read.
+Rows are spread over ``bucket`` partitions by a hash of the key; the number of buckets is itself
+a partition value, so readers need not be told. A change rewrites only the buckets it touches
+(dynamic partition overwrite); a lookup reads one bucket. A deleted image stays as a row
+without data so that its bucket is rewritten, and is not seen by any read.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from lumagrid.session import materialise
 
 BUCKETS = 64
 COLUMNS = ("image_id", "width", "height", "hist", "gray")
+LAYOUT = ("buckets", "bucket")
+HIDDEN = ("deleted", *LAYOUT)
 
 
-def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.col("buckets")).cast("int")
 
 
 # ------------------------------------------------- on DataFrames, no storage
@@ -96,66 +99,66 @@ def with_status(scanned: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- stored table
 
 
+def _placed(rows: DataFrame, buckets: int) -> DataFrame:
+    return rows.withColumn("buckets", F.lit(buckets)).withColumn("bucket", bucket_of(F.col("image_id")))
+
+
+def _clustered(rows: DataFrame) -> DataFrame:
+    """Rows of a bucket together, by key; a bucket larger than one task's share is cut."""
+    return rows.hint("rebalance", *[F.col(c) for c in LAYOUT]).sortWithinPartitions(*LAYOUT, "image_id")
+
+
 def create(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """First write: rows clustered by bucket, ordered by key.
+    """First write. Choose ``buckets`` so that one of them holds a few GB."""
+    rows = _placed(rows.withColumn("deleted", F.lit(False)), buckets)
+    _clustered(rows).write.partitionBy(*LAYOUT).parquet(path)
 
-    Rebalancing lets a bucket larger than one task's share be written by several tasks. Choose
-    ``buckets`` so that one holds a few GB; later calls must name the same number.
-    """
-    shaped = rows.withColumn("bucket", bucket_of(F.col("image_id"), buckets))
-    shaped = shaped.withColumn("deleted", F.lit(False))
-    (
-        shaped.hint("rebalance", F.col("bucket"))
-        .sortWithinPartitions("bucket", "image_id")
-        .write.partitionBy("bucket")
-        .parquet(path)
-    )
+
+def _buckets(stored: DataFrame) -> int:
+    return stored.select("buckets").first()[0]
 
 
-def _change(spark: SparkSession, path: str, changed: DataFrame, buckets: int) -> None:
+def _change(spark: SparkSession, path: str, changed: DataFrame) -> None:
     """Replace the rows of ``changed`` (one per key) in the buckets they fall into."""
-    changed = changed.withColumn("bucket", bucket_of(F.col("image_id"), buckets))
     stored = spark.read.parquet(path)
+    changed = _placed(changed, _buckets(stored))
     changed = changed.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema])
     changed = materialise(changed, "changes")
-    # The semi join on the partition column prunes the scan to the touched buckets.
-    touched = stored.join(changed.select("bucket").distinct(), "bucket", "left_semi")
-    rest = touched.join(changed.select("bucket", "image_id"), ["bucket", "image_id"], "left_anti")
+    # The semi join on the partition columns prunes the scan to the touched buckets.
+    touched = stored.join(changed.select(*LAYOUT).distinct(), [*LAYOUT], "left_semi")
+    rest = touched.join(changed.select(*LAYOUT, "image_id"), [*LAYOUT, "image_id"], "left_anti")
     (
-        rest.unionByName(changed)
-        .hint("rebalance", F.col("bucket"))
-        .sortWithinPartitions("bucket", "image_id")
+        _clustered(rest.unionByName(changed))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
+        .partitionBy(*LAYOUT)
         .parquet(path)
     )
 
 
-def put(spark: SparkSession, path: str, rows: DataFrame, buckets: int = BUCKETS, order: str | None = None) -> None:
+def put(spark: SparkSession, path: str, rows: DataFrame, order: str | None = None) -> None:
     """Insert or replace images. With ``order``, the last row per key by that column counts."""
     if order:
         rows = last_per_key(rows, order).drop(order)
-    _change(spark, path, rows.withColumn("deleted", F.lit(False)), buckets)
+    _change(spark, path, rows.withColumn("deleted", F.lit(False)))
 
 
-def delete(spark: SparkSession, path: str, keys: DataFrame, buckets: int = BUCKETS) -> None:
+def delete(spark: SparkSession, path: str, keys: DataFrame) -> None:
     """Remove images; keys the table does not hold are ignored."""
     stored = spark.read.parquet(path)
-    empty = {f.name: F.lit(None).cast(f.dataType) for f in stored.schema}
-    known = keys.select("image_id").distinct().withColumn(
-        "bucket", bucket_of(F.col("image_id"), buckets)
-    )
-    gone = stored.filter(~F.col("deleted")).join(known, ["bucket", "image_id"], "left_semi")
-    gone = gone.select(
-        "image_id", *[v.alias(k) for k, v in empty.items() if k not in ("image_id", "deleted", "bucket")]
-    )
-    _change(spark, path, gone.withColumn("deleted", F.lit(True)), buckets)
+    known = _placed(keys.select("image_id").distinct(), _buckets(stored))
+    gone = stored.filter(~F.col("deleted")).join(known, [*LAYOUT, "image_id"], "left_semi")
+    empty = [
+        F.lit(None).cast(f.dataType).alias(f.name)
+        for f in stored.schema
+        if f.name not in ("image_id", *HIDDEN)
+    ]
+    _change(spark, path, gone.select("image_id", *empty).withColumn("deleted", F.lit(True)))
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """All images; select the columns needed, the others are not read."""
-    return spark.read.parquet(path).filter(~F.col("deleted")).drop("deleted", "bucket")
+    return spark.read.parquet(path).filter(~F.col("deleted")).drop(*HIDDEN)
 
 
 def hist_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -165,13 +168,13 @@ def hist_scan(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def get(spark: SparkSession, path: str, image_id, buckets: int = BUCKETS) -> DataFrame:
+def get(spark: SparkSession, path: str, image_id) -> DataFrame:
     """The image with this key: one bucket, and within it the row groups whose range holds it."""
     stored = spark.read.parquet(path)
     key = F.lit(image_id).cast(stored.schema["image_id"].dataType)
     return stored.filter(
-        (F.col("bucket") == bucket_of(key, buckets)) & (F.col("image_id") == key) & ~F.col("deleted")
-    ).drop("deleted", "bucket")
+        (F.col("bucket") == bucket_of(key)) & (F.col("image_id") == key) & ~F.col("deleted")
+    ).drop(*HIDDEN)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -188,7 +191,10 @@ def count(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, path: str, images: DataFrame, buckets: int = BUCKETS) -> None:
-    """Packed images into the table with their histograms, creating it on first use."""
+    """Packed images into the table with their histograms, creating it on first use.
+
+    ``buckets`` counts only when the table is created.
+    """
     rows = with_histogram(images).select(*COLUMNS)
     try:
         spark.read.parquet(path)
@@ -197,4 +203,4 @@ def ingest(spark: SparkSession, path: str, images: DataFrame, buckets: int = BUC
             raise
         create(rows, path, buckets)
         return
-    put(spark, path, rows, buckets)
+    put(spark, path, rows)

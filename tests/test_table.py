@@ -25,16 +25,18 @@ def path(spark, pack, tmp_path):
 def test_ingest_scan_get_count(spark, path):
     assert seen(spark, path) == [(i, 3, 2, 6) for i in range(20)]
     assert table.count(spark, path).first()[0] == 20
-    got = table.get(spark, path, 7, B)
+    got = table.get(spark, path, 7)
     assert [(r.image_id, bytes(r.gray)) for r in got.collect()] == [(7, bytes(6))]
-    assert table.get(spark, path, 99, B).count() == 0
+    assert table.get(spark, path, 99).count() == 0
     assert table.exists(spark, path) and not table.exists(spark, path + "-none")
 
 
 def test_lookup_reads_one_bucket_and_pushes_the_key(spark, path):
-    plan = table.get(spark, path, 7, B)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan
+    plan = table.get(spark, path, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan
     assert "EqualTo(image_id,7)" in plan
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "bucket#" in filters and "pmod" in filters
 
 
 def test_histogram_scan_leaves_the_pixels_alone(spark, path):
@@ -54,16 +56,16 @@ def test_put_replaces_and_adds(spark, pack, path):
 def test_last_write_of_a_key_counts(spark, pack, path):
     one = with_histogram(pack({3: np.zeros((1, 1))})).withColumn("seq", F.lit(1))
     two = with_histogram(pack({3: np.zeros((2, 2))})).withColumn("seq", F.lit(2))
-    table.put(spark, path, two.unionByName(one), B, order="seq")
+    table.put(spark, path, two.unionByName(one), order="seq")
     assert (3, 2, 2, 4) in seen(spark, path) and len(seen(spark, path)) == 20
 
 
 def test_delete_then_put_again(spark, pack, path):
     keys = spark.createDataFrame([(i,) for i in (*range(15), 500)], "image_id bigint")
-    table.delete(spark, path, keys, B)
+    table.delete(spark, path, keys)
     assert seen(spark, path) == [(i, 3, 2, 6) for i in range(15, 20)]
-    assert table.get(spark, path, 3, B).count() == 0
-    table.delete(spark, path, spark.createDataFrame([(i,) for i in range(20)], "image_id bigint"), B)
+    assert table.get(spark, path, 3).count() == 0
+    table.delete(spark, path, spark.createDataFrame([(i,) for i in range(20)], "image_id bigint"))
     assert seen(spark, path) == [] and not table.exists(spark, path)
     table.ingest(spark, path, pack({3: np.zeros((5, 5))}), B)
     assert seen(spark, path) == [(3, 5, 5, 25)]
