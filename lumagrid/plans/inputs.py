@@ -25,8 +25,8 @@ def as_images(rows: DataFrame, width: int) -> DataFrame:
     """Packed images from (image_id, data)."""
     height = F.expr(f"cast((length(data) + {width - 1}) div {width} as int)")
     return (
-        rows.withColumn("height", height)
-        .filter(F.col("height") > 0)
+        rows.filter(F.length("data") > 0)
+        .withColumn("height", height)
         .select(
             "image_id",
             F.lit(width).alias("width"),
@@ -39,13 +39,13 @@ def as_images(rows: DataFrame, width: int) -> DataFrame:
 def doc_images(spark: SparkSession, folder: str) -> DataFrame:
     """One image per document, 32 wide."""
     docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
-    return as_images(docs.select(F.col("doc_id").alias("image_id"), F.encode("text", "UTF-8").alias("data")), TEXT_WIDTH)
+    return as_images(docs.select(F.col("doc_id").alias("image_id"), F.col("text").cast("binary").alias("data")), TEXT_WIDTH)
 
 
 def benchmark_images(spark: SparkSession, folder: str) -> DataFrame:
     """One image per benchmark item, 32 wide."""
     items = read(spark, folder, "benchmark")
-    return as_images(items.select(F.col("item_id").alias("image_id"), F.encode("text", "UTF-8").alias("data")), TEXT_WIDTH)
+    return as_images(items.select(F.col("item_id").alias("image_id"), F.col("text").cast("binary").alias("data")), TEXT_WIDTH)
 
 
 def vec_values(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,7 +74,7 @@ def plate_images(spark: SparkSession, folder: str) -> DataFrame:
     sheets = (
         read(spark, folder, "documents")
         .groupBy(F.expr(f"doc_id div {TEXTS_PER_PLATE}").alias("sheet"))
-        .agg(F.encode(text, "UTF-8").alias("data"))
+        .agg(text.cast("binary").alias("data"))
     )
     area = PLATE * PLATE
     last = F.expr(f"cast((length(data) - 1) div {area} as int)")
@@ -126,7 +126,7 @@ def doc_suspects(spark: SparkSession, folder: str) -> DataFrame:
 
 def rgb_pixels(spark: SparkSession, folder: str) -> DataFrame:
     """(image_id, rgb): three text bytes in a row as one 24-bit colour."""
-    data = F.encode("text", "UTF-8")
+    data = F.col("text").cast("binary")
     docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
     docs = docs.select(F.col("doc_id").alias("image_id"), data.alias("data"))
     docs = docs.withColumn("pixels", F.expr("cast((length(data) + 2) div 3 as int)")).filter("pixels > 0")

@@ -557,7 +557,7 @@ def stream_ingest(spark, folder):
     path = fresh_dir(spark, "streamed-table")
     docs = _stream_of(spark, folder, "documents")
     images = inputs.as_images(
-        docs.select(F.col("doc_id").alias("image_id"), F.encode("text", "UTF-8").alias("data")), inputs.TEXT_WIDTH
+        docs.select(F.col("doc_id").alias("image_id"), F.col("text").cast("binary").alias("data")), inputs.TEXT_WIDTH
     )
     ingest_stream(images, path, fresh_dir(spark, "stream-progress"), BUCKETS).awaitTermination()
     return _sizes(table.scan(spark, path))

@@ -112,9 +112,9 @@ def bitmap(width: int, height: int, gray: Column) -> Column:
 
 
 def write_packed(images: DataFrame, path: str, files: int | None = None) -> None:
-    """Many small images into few Parquet files, ordered by id within each file."""
-    packed = images.repartitionByRange(files, "image_id") if files else images.repartitionByRange("image_id")
-    packed.sortWithinPartitions("image_id").write.mode("errorifexists").parquet(path)
+    """Many small images into few Parquet files: ``files`` of them, or as many as their size asks for."""
+    packed = images.repartition(files) if files else images.hint("rebalance")
+    packed.sortWithinPartitions("image_id").write.parquet(path)
 
 
 def read_packed(spark: SparkSession, path: str) -> DataFrame:
