@@ -73,11 +73,14 @@ def tail(records: DataFrame, n: int = 20) -> DataFrame:
     return records.orderBy(F.desc("seq")).limit(n).orderBy("seq").withColumn("earlier", earlier)
 
 
-def append(records: DataFrame, path: str) -> None:
-    """Add records to a text log. Lines carry no number, so the sequence is written in front."""
-    records.select(
-        F.concat_ws("|", F.col("seq").cast("string"), *FIELDS).alias("value")
-    ).write.mode("append").text(path)
+def append(records: DataFrame, path: str, numbered: bool = True) -> None:
+    """Add records to a text log.
+
+    Text files read in parallel have no line order, so the sequence number is written in front
+    unless ``numbered`` is off.
+    """
+    number = [F.col("seq").cast("string")] if numbered else []
+    records.select(F.concat_ws("|", *number, *FIELDS).alias("value")).write.mode("append").text(path)
 
 
 def read_log(spark, path: str) -> DataFrame:

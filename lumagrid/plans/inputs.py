@@ -38,7 +38,7 @@ def as_images(rows: DataFrame, width: int) -> DataFrame:
 
 def doc_images(spark: SparkSession, folder: str) -> DataFrame:
     """One image per document, 32 wide."""
-    docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
+    docs = spread(read(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     return as_images(docs.select(F.col("doc_id").alias("image_id"), F.col("text").cast("binary").alias("data")), TEXT_WIDTH)
 
 
@@ -56,7 +56,7 @@ def vec_values(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(0), F.least(F.lit(255), F.floor((v.cast("double") + 0.5) * 255.0).cast("int"))
         ),
     )
-    return spread(read(spark, folder, "embeddings")).select(
+    return spread(read(spark, folder, "embeddings"), "vec_id").select(
         F.col("vec_id").alias("image_id"), "label", gray.alias("values")
     )
 
@@ -127,7 +127,7 @@ def doc_suspects(spark: SparkSession, folder: str) -> DataFrame:
 def rgb_pixels(spark: SparkSession, folder: str) -> DataFrame:
     """(image_id, rgb): three text bytes in a row as one 24-bit colour."""
     data = F.col("text").cast("binary")
-    docs = spread(read(spark, folder, "documents").select("doc_id", "text"))
+    docs = spread(read(spark, folder, "documents").select("doc_id", "text"), "doc_id")
     docs = docs.select(F.col("doc_id").alias("image_id"), data.alias("data"))
     docs = docs.withColumn("pixels", F.expr("cast((length(data) + 2) div 3 as int)")).filter("pixels > 0")
     docs = docs.select("image_id", F.expr("rpad(data, 3 * pixels, X'00')").alias("data"))

@@ -138,19 +138,29 @@ scored AS (
 SELECT image_id, inter::DOUBLE / (total + (SELECT sum(qn) FROM q) - inter)::DOUBLE AS similarity
 FROM scored ORDER BY similarity DESC, image_id LIMIT 5"""
 )
-ORACLES["hist_search_dense"] = (
-    DOC_BINS
-    + """, q AS (SELECT gray, n AS qn FROM doc_bins WHERE image_id = 0),
+
+
+def _dense_search(images: str, name: str) -> str:
+    return (
+        _with(images, _px(name), _bins(name))
+        + f""", q AS (SELECT gray, n AS qn FROM {name}_bins WHERE image_id = 0),
 scored AS (
   SELECT image_id, sum(least(coalesce(n, 0), coalesce(qn, 0))) AS low,
          sum(greatest(coalesce(n, 0), coalesce(qn, 0))) AS high
   FROM (SELECT i.image_id, g.gray, n, qn
-        FROM (SELECT image_id FROM doc) i CROSS JOIN (SELECT unnest(range(256))::INT AS gray) g
-        LEFT JOIN doc_bins h ON h.image_id = i.image_id AND h.gray = g.gray
+        FROM (SELECT image_id FROM {name}) i CROSS JOIN (SELECT unnest(range(256))::INT AS gray) g
+        LEFT JOIN {name}_bins h ON h.image_id = i.image_id AND h.gray = g.gray
         LEFT JOIN q ON q.gray = g.gray)
   GROUP BY image_id)
 SELECT image_id, low::DOUBLE / high::DOUBLE AS similarity
 FROM scored ORDER BY similarity DESC, image_id LIMIT 5"""
+    )
+
+
+ORACLES["hist_search_dense"] = _dense_search(DOC, "doc")
+ORACLES["search_plates"] = _dense_search(PLATE, "plate")
+ORACLES["histogram_plates"] = (
+    _with(PLATE, _px("plate"), _bins("plate"), _dense("plate")) + "SELECT image_id, csv FROM plate_dense"
 )
 ORACLES["hist_search_multi"] = (
     _with(DOC, _px("doc"), _bins("doc"), ITEM, _px("item"), _bins("item"))

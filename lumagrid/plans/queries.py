@@ -164,6 +164,20 @@ def hist_search_multi(spark, folder):
     return search.search_many(library, queries.withColumnRenamed("image_id", "query_id"))
 
 
+@query
+def histogram_plates(spark, folder):
+    """Histograms of 512 x 512 images."""
+    library = jobs.generate_histograms(inputs.plate_images(spark, folder))
+    return library.select("image_id", H.to_csv(F.col("hist")).alias("csv"))
+
+
+@query
+def search_plates(spark, folder):
+    """Whole-image search among 512 x 512 images."""
+    plates = materialise(inputs.plate_images(spark, folder), "plates")
+    return jobs.search_images(_query_image(plates), plates)
+
+
 @query
 def duplicate_pairs(spark, folder):
     return duplicates.duplicate_pairs(jobs.generate_histograms(inputs.doc_images(spark, folder)))

@@ -37,13 +37,13 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of a file scan over all cores when the scan has fewer splits than there are cores.
 
     A large table has more splits than that and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -62,6 +62,12 @@ def test_append_and_read(spark, lines, tmp_path):
     assert rows_of(tasklog.parse_lines(tasklog.read_log(spark, path))) == rows_of(records)
 
 
+def test_plain_lines_are_the_records(spark, lines, tmp_path):
+    records = tasklog.parse_lines(lines)
+    tasklog.append(records, str(tmp_path / "log"), numbered=False)
+    assert rows_of(spark.read.text(str(tmp_path / "log"))) == rows_of(tasklog.to_lines(records).select("line"))
+
+
 def test_log_without_numbers(spark, tmp_path):
     (tmp_path / "plain.log").write_text(
         "2024-01-01 10:00:00|T1|s|COMPLETED|same second\n2024-01-01 10:00:00|T1|s|STARTED|d\n"
