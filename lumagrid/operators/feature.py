@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumagrid import checks
 from lumagrid.operators.cells import binary_cells
-from lumagrid.sizing import pair_up
+from lumagrid.sizing import BROADCAST_ROWS, SLICE_ROWS, split_hot_keys, within_broadcast
 
 NEAR = 5  # gray steps within which a template pixel counts as matching
 BAND_PIXELS = 4 << 20
-HITS = "array<struct<x: int, y: int, matching: bigint, abs_diff: bigint>>"
+FLUSH = 1 << 20  # hits handed on at a time
 
 FEW = 16  # a sixteenth of the windows left is few enough to look at them one by one
 
@@ -140,60 +144,71 @@ def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float):
     return x[keep], y[keep], matching[keep], diff[keep]
 
 
-def _scan_kernel(threshold: float, mode: str):
-    hit = pa.struct(
-        [("x", pa.int32()), ("y", pa.int32()), ("matching", pa.int64()), ("abs_diff", pa.int64())]
-    )
-
-    @F.arrow_udf(HITS)
-    def scan(
-        gray: pa.Array, width: pa.Array, feature: pa.Array, fwidth: pa.Array, top: pa.Array
-    ) -> pa.Array:
-        ends, found = [0], []
-        shapes = zip(width.to_pylist(), fwidth.to_pylist(), top.to_pylist())
-        for cell, small, (w, fw, y0) in zip(binary_cells(gray), binary_cells(feature), shapes):
-            x, y, matching, diff = _scan(
-                cell.reshape(-1, w), small.reshape(-1, fw), mode, threshold
-            )
-            found.append((x, y + y0, matching, diff))
-            ends.append(ends[-1] + len(x))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0)] * 4
-        values = pa.StructArray.from_arrays(
-            [pa.array(c).cast(f.type) for c, f in zip(columns, hit)], fields=list(hit)
-        )
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-
-    # Kept from being planned twice by filters inferred from its result.
-    return scan.asNondeterministic()
-
-
-def row_bands(pairs: DataFrame, spread: bool, band_pixels: int = BAND_PIXELS) -> DataFrame:
-    """Cut each image into bands of rows that overlap by the template height less one.
+def _scanner(out: pa.Schema, mode: str, threshold: float, shipped=None):
+    """Kernel for ``mapInArrow``: hits of each image band for its own template or all shipped ones."""
+
+    def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            column = {name: part.column(name) for name in part.schema.names}
+            shape = zip(*(column[c].to_pylist() for c in ("width", "top", "starts")))
+            own = None
+            if shipped is None:
+                own = zip(
+                    column["feature_id"].to_pylist(),
+                    column["fwidth"].to_pylist(),
+                    binary_cells(column["feature"]),
+                )
+            found, ids, rows, waiting = [], [], [], 0
+            for row, (cell, (w, top, starts)) in enumerate(zip(binary_cells(column["gray"]), shape)):
+                image = cell.reshape(-1, w)
+                for feature_id, fw, data in [next(own)] if own else shipped.value:
+                    feature = np.frombuffer(data, np.uint8).reshape(-1, fw)
+                    band = image[: starts + len(feature) - 1]
+                    if len(feature) > len(band) or fw > w:
+                        continue
+                    x, y, matching, diff = _scan(band, feature, mode, threshold)
+                    if len(x):
+                        found.append((x, y + top, matching, diff, np.full(len(x), feature.size)))
+                        ids += [feature_id] * len(x)
+                        rows.append(np.full(len(x), row))
+                        waiting += len(x)
+                    if waiting > FLUSH:
+                        yield _hits(out, found, ids, rows, column)
+                        found, ids, rows, waiting = [], [], [], 0
+            if waiting:
+                yield _hits(out, found, ids, rows, column)
+
+    return scan
+
+
+def _hits(out: pa.Schema, found, ids, rows, column) -> pa.RecordBatch:
+    numbers = [np.concatenate(c) for c in zip(*found)]
+    arrays = [pa.array(ids), column["image_id"].take(pa.array(np.concatenate(rows))), *map(pa.array, numbers)]
+    return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, out)], schema=out)
+
+
+def row_bands(
+    images: DataFrame, overlap: Column, keys: list[str], spread: bool, band_pixels: int = BAND_PIXELS
+) -> DataFrame:
+    """Cut each image into bands of rows that overlap by ``overlap`` rows.
 
-    Adds ``top`` (first row of the band); every window lies in exactly one band. With ``spread``
-    the bands of an image that needs more than one go to different tasks; the other images are
-    never shuffled.
+    Adds ``top``, the first row of the band, and ``starts``, the number of rows at which a window
+    may start in it; every window lies in exactly one band. With ``spread`` the bands of an image
+    that needs more than one go to different tasks; the other images are never shuffled.
     """
-    step = F.greatest(F.floor(F.lit(band_pixels) / F.col("width")).cast("int"), F.lit(1))
-    windows = F.col("height") - F.col("fheight") + 1
+    height, width = F.col("height"), F.col("width")
+    uncut = lambda df: df.withColumn("top", F.lit(0)).withColumn("starts", height)
     if not spread:
-        return pairs.withColumn("top", F.lit(0))
-    pairs = pairs.withColumn("step", step)
-    whole = pairs.filter(windows <= F.col("step")).withColumn("top", F.lit(0))
+        return uncut(images)
+    step = F.greatest(F.floor(F.lit(band_pixels) / width).cast("int"), F.lit(1))
     tall = (
-        pairs.filter(windows > F.col("step"))
-        .withColumn("top", F.explode(F.sequence(F.lit(0), windows - 1, F.col("step"))))
-        .withColumn(
-            "gray",
-            F.substring(
-                "gray",
-                F.col("top") * F.col("width") + 1,
-                (F.col("step") + F.col("fheight") - 1) * F.col("width"),
-            ),
-        )
-        .repartition("image_id", "feature_id", "top")
+        images.filter(height > step)
+        .withColumn("starts", step)
+        .withColumn("top", F.explode(F.sequence(F.lit(0), height - 1, F.col("starts"))))
+        .withColumn("gray", F.substring("gray", F.col("top") * width + 1, (F.col("starts") + overlap) * width))
+        .repartition(*keys, "top")
     )
-    return whole.unionByName(tall).drop("step")
+    return uncut(images.filter(height <= step)).unionByName(tall)
 
 
 def _any_tall(images: DataFrame, band_pixels: int) -> bool:
@@ -208,49 +223,59 @@ def feature_search(
     threshold: float = checks.LOCAL_THRESHOLD,
     mode: str = "score",
     band_pixels: int = BAND_PIXELS,
-    **sizes,
+    max_batch: int = BROADCAST_ROWS,
+    rows_per_slice: int = SLICE_ROWS,
 ) -> DataFrame:
     """(feature_id, image_id, x, y, similarity, matching): every window that matches a feature.
 
     ``mode="score"`` averages the share of pixels closer than 5 and one less the mean difference,
     keeping scores of at least ``threshold``. ``mode="count"`` keeps windows with at least
     ``int(n * threshold)`` pixels within 5. Features that do not fit an image are skipped.
+
+    A batch of features within the broadcast bound is sent to the tasks once, and each image is read
+    once for all of them. More features than that meet the images in a join by slices.
     """
     checks.share(threshold)
     if mode not in ("score", "count"):
         raise ValueError("mode must be 'score' or 'count'")
-    probes = features.select(
-        "feature_id",
-        F.col("width").alias("fwidth"),
-        F.col("height").alias("fheight"),
-        F.col("gray").alias("feature"),
-    )
-    fits = (F.col("fwidth") <= F.col("width")) & (F.col("fheight") <= F.col("height"))
-    pairs = pair_up(
-        images.select("image_id", "width", "height", "gray"),
-        probes,
-        [],
-        "feature",
-        F.col("image_id"),
-        fits,
-        **sizes,
+    spark = images.sparkSession
+    out = T.StructType(
+        [
+            T.StructField("feature_id", features.schema["feature_id"].dataType),
+            T.StructField("image_id", images.schema["image_id"].dataType),
+            *[T.StructField(name, T.IntegerType()) for name in ("x", "y")],
+            *[T.StructField(name, T.LongType()) for name in ("matching", "abs_diff", "size")],
+        ]
     )
-    scan = _scan_kernel(threshold, mode)("gray", "width", "feature", "fwidth", "top")
-    size = (F.col("fwidth") * F.col("fheight")).cast("double")
-    share = F.col("hit.matching") / size
-    closeness = F.lit(1.0) - F.col("hit.abs_diff") / size / F.lit(255.0)
-    return (
-        row_bands(pairs, _any_tall(images, band_pixels), band_pixels)
-        .select("feature_id", "image_id", "fwidth", "fheight", scan.alias("hits"))
-        .select("feature_id", "image_id", "fwidth", "fheight", F.explode("hits").alias("hit"))
-        .select(
+    images = images.select("image_id", "width", "height", "gray")
+    spread = _any_tall(images, band_pixels)
+    if within_broadcast(features, "gray", max_batch):
+        batch = features.select("feature_id", "width", "height", "gray").collect()
+        shipped = spark.sparkContext.broadcast([(f.feature_id, f.width, bytes(f.gray)) for f in batch])
+        overlap = max((f.height for f in batch), default=1) - 1
+        bands = row_bands(images, F.lit(overlap), ["image_id"], spread, band_pixels)
+    else:
+        shipped = None
+        probes = features.select(
             "feature_id",
-            "image_id",
-            F.col("hit.x").alias("x"),
-            F.col("hit.y").alias("y"),
-            ((share + closeness) / F.lit(2.0)).alias("similarity"),
-            F.col("hit.matching").alias("matching"),
+            F.col("width").alias("fwidth"),
+            F.col("height").alias("fheight"),
+            F.col("gray").alias("feature"),
         )
+        fits = (F.col("fwidth") <= F.col("width")) & (F.col("fheight") <= F.col("height"))
+        left, right = split_hot_keys(images, probes, [], F.col("image_id"), rows_per_slice)
+        pairs = left.join(right, "slice").drop("slice").filter(fits)
+        bands = row_bands(pairs, F.col("fheight") - 1, ["image_id", "feature_id"], spread, band_pixels)
+    size = F.col("size").cast("double")
+    share = F.col("matching") / size
+    closeness = F.lit(1.0) - F.col("abs_diff") / size / F.lit(255.0)
+    return bands.mapInArrow(_scanner(to_arrow_schema(out), mode, threshold, shipped), out).select(
+        "feature_id",
+        "image_id",
+        "x",
+        "y",
+        ((share + closeness) / F.lit(2.0)).alias("similarity"),
+        "matching",
     )
 
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumagrid import checks
 from lumagrid.functions import histograms as H
@@ -123,17 +124,11 @@ def search_many(
     return partial.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= n)
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema)
-
-
 def _search_batch(library, queries, n, out):
     batch: pd.DataFrame = queries.toPandas()
     ids = batch["query_id"].tolist()
     probes = np.array(batch["hist"].tolist(), np.int64).reshape(len(ids), 256)
-    schema = _arrow(out)
+    schema = to_arrow_schema(out)
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(ids, probes, n)
@@ -151,7 +146,7 @@ def _search_grid(library, queries, n, out, max_batch):
     every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
     left = library.withColumn("row", cell("image_id", rows)).withColumn("col", every(cols))
     right = queries.withColumn("col", cell("query_id", cols)).withColumn("row", every(rows))
-    schema = _arrow(out)
+    schema = to_arrow_schema(out)
 
     def compare(images: pa.Table, probes: pa.Table) -> pa.Table:
         best = _Best(

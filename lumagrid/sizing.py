@@ -86,11 +86,8 @@ def pair_up(
     by shuffle on the keys with hot keys split.
     """
     if within_broadcast(probes, payload, max_rows):
-        probes = F.broadcast(probes)
-        if keys:
-            joined = library.join(probes, keys)
-            return joined.filter(condition) if condition is not None else joined
-        return library.join(probes, condition if condition is not None else F.lit(True))
-    library, probes = split_hot_keys(library, probes, keys, spread, rows_per_slice)
-    joined = library.join(probes, [*keys, "slice"]).drop("slice")
+        joined = library.join(F.broadcast(probes), keys)
+    else:
+        library, probes = split_hot_keys(library, probes, keys, spread, rows_per_slice)
+        joined = library.join(probes, [*keys, "slice"]).drop("slice")
     return joined.filter(condition) if condition is not None else joined

@@ -74,10 +74,18 @@ def test_bands_cover_every_window_once(spark, rng, pack):
 
 def test_many_features_take_the_shuffle_path(spark, rng, pack):
     images, features = scene(rng)
-    found = feature.feature_search(
-        pack(images), pack(features, "feature_id"), 0.75, max_rows=1, rows_per_slice=2
-    )
-    assert rows_of(found) == brute(images, features, 0.75, "score")
+    want = brute(images, features, 0.75, "score")
+    for pixels in (feature.BAND_PIXELS, 200):
+        found = feature.feature_search(
+            pack(images), pack(features, "feature_id"), 0.75, band_pixels=pixels, max_batch=1, rows_per_slice=2
+        )
+        assert rows_of(found) == want
+
+
+def test_no_features_no_hits(spark, rng, pack):
+    images, features = scene(rng)
+    none = pack(features, "feature_id").filter("feature_id < 0")
+    assert feature.feature_search(pack(images), none).count() == 0
 
 
 def test_threshold_edge_of_a_single_pixel(spark, pack):

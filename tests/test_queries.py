@@ -68,6 +68,8 @@ def test_plans(spark):
     # Comparing images and sliding templates are map-side: one broadcast of the small batch.
     for name in ("tamper_regions", "feature_search"):
         text = plan(asked[name](spark, FOLDER))
-        assert "SortMergeJoin" not in text and "hashpartitioning" not in text
-        assert text.count("ArrowEvalPython") == 1  # the kernel runs once per pair
+        assert "SortMergeJoin" not in text and "ENSURE_REQUIREMENTS" not in text
+        assert "NestedLoop" not in text and "Cartesian" not in text
+        # The kernel runs once per pair or image.
+        assert text.count("ArrowEvalPython") + text.count("MapInArrow") == 1
     assert "CartesianProduct" not in "".join(plan(asked[n](spark, FOLDER)) for n in ("library_union", "log_summary"))
