@@ -17,15 +17,29 @@ from lumagrid.operators.cells import binary_cells
 IMAGE_GLOB = "*.{[jJ][pP][gG],[jJ][pP][eE][gG],[pP][nN][gG],[bB][mM][pP]}"
 
 
+IMAGE_SCHEMA = (
+    "image struct<origin: string, height: int, width: int, nChannels: int, mode: int, data: binary>"
+)
+
+
 def scan_images(spark: SparkSession, folder: str) -> DataFrame:
     """(image_id, width, height, channels, data) of one folder level; width -1 marks a bad file."""
+    reader = spark.read.format("image").option("pathGlobFilter", IMAGE_GLOB)
     try:
-        raw = spark.read.format("image").option("pathGlobFilter", IMAGE_GLOB).load(folder)
+        return _decoded(reader.load(folder))
     except Exception as failure:
         if "PATH_NOT_FOUND" not in str(failure):
             raise
-        empty = "image_id string, width int, height int, channels int, data binary"
-        return spark.createDataFrame([], empty)
+        return _decoded(spark.createDataFrame([], IMAGE_SCHEMA))
+
+
+def stream_images(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as a stream of the files that arrive."""
+    reader = spark.readStream.format("image").schema(IMAGE_SCHEMA)
+    return _decoded(reader.option("pathGlobFilter", IMAGE_GLOB).load(folder))
+
+
+def _decoded(raw: DataFrame) -> DataFrame:
     return raw.select(
         file_name(F.col("image.origin")).alias("image_id"),
         F.col("image.width").alias("width"),

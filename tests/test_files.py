@@ -9,7 +9,8 @@ from conftest import rows_of
 from lumagrid.functions.gray import srgb_of_linear
 from lumagrid.operators import tamper
 from lumagrid.plans import jobs
-from lumagrid.sources import files
+from lumagrid.sources import files, table
+from lumagrid.streaming.ingest import ingest_stream
 
 
 def png(array: np.ndarray) -> bytes:
@@ -102,6 +103,24 @@ def test_sequence_files(spark, tmp_path):
     assert sorted((r.name, bytes(r.content)) for r in got.collect()) == [("a.jpg", b"\x01\x02"), ("b.jpg", b"")]
 
 
+def test_arriving_files_reach_the_table(spark, folder, tmp_path_factory):
+    where, progress = (str(tmp_path_factory.mktemp(n)) + "/x" for n in ("table", "progress"))
+
+    def run():
+        images = files.gray_images(files.stream_images(spark, folder))
+        ingest_stream(images, where, progress, 2).awaitTermination()
+        return rows_of(table.scan(spark, where).select("image_id", "width"))
+
+    names = ["UP.PNG", "gray.png", "rgb.png"]
+    assert run() == [(n, 16) for n in names]
+    with open(f"{folder}/new.png", "wb") as sink:
+        sink.write(png(RAMP[:, :4]))
+    assert run() == [("UP.PNG", 16), ("gray.png", 16), ("new.png", 4), ("rgb.png", 16)]
+    got = table.get(spark, where, "rgb.png").first()
+    assert (np.frombuffer(bytes(got.gray), np.uint8) == luma(RAMP.ravel())).all()
+    assert got.hist == np.bincount(luma(RAMP.ravel()), minlength=256).tolist()
+
+
 def test_export(spark, pack, tmp_path):
     verdicts = tamper.detect(pack({1: np.zeros((16, 16))}), pack({2: np.full((16, 16), 99)}, "suspect_id"))
     files.export_results(verdicts, str(tmp_path / "json"))
