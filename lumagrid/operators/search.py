@@ -45,12 +45,14 @@ def search(library: DataFrame, query: DataFrame, n: int = 5) -> DataFrame:
     """Top ``n`` images of a stored library for one query row, both with a dense ``hist``.
 
     The query enters as a scalar subquery: the library is scanned once (id and histogram only)
-    and reduced by a top-n per partition; nothing is shuffled but the winners.
+    and reduced by a top-n per partition; nothing is shuffled but the winners. The search fails
+    when the query has no row or more than one.
     """
     checks.count_of(n)
+    missing = F.raise_error(F.lit("the query image is missing")).cast(query.schema["hist"].dataType)
     return (
         library.select("image_id", "hist")
-        .withColumn("q", query.select("hist").scalar())
+        .withColumn("q", F.coalesce(query.select("hist").scalar(), missing))
         .select("image_id", H.similarity(F.col("hist"), F.col("q")).alias("similarity"))
         .orderBy(F.desc("similarity"), "image_id")
         .limit(n)

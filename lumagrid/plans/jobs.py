@@ -27,16 +27,28 @@ def search_images(query: DataFrame, library: DataFrame, n: int = 5, strict: bool
 
 
 def search_features(
-    features: DataFrame, library: DataFrame, threshold: float = checks.LOCAL_THRESHOLD, mode: str = "score"
+    features: DataFrame,
+    library: DataFrame,
+    threshold: float = checks.LOCAL_THRESHOLD,
+    mode: str = "score",
+    strict: bool = False,
 ) -> DataFrame:
     """Images that contain a feature, with the number of places and the best score."""
+    if strict:
+        checks.not_empty(library)
     return feature.feature_images(feature.feature_search(library, features, threshold, mode))
 
 
 def detect_tampering(
-    suspects: DataFrame, library: DataFrame, threshold: int = checks.TAMPER_THRESHOLD, **options
+    suspects: DataFrame,
+    library: DataFrame,
+    threshold: int = checks.TAMPER_THRESHOLD,
+    strict: bool = False,
+    **options,
 ) -> DataFrame:
     """The report on suspect images: best originals and regions that differ."""
+    if strict:
+        checks.not_empty(library)
     return tamper.report(tamper.detect(library, suspects, threshold, **options))
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -96,3 +97,20 @@ def test_text_ids(spark):
 def test_summary(spark, pack):
     library = jobs.generate_histograms(pack({4: np.array([[1, 1, 2]])}))
     assert rows_of(histogram.histogram_summary(library)) == [(4, 3, 1, 3, 2)]
+
+
+def test_missing_query_and_empty_library_fail(spark, pack):
+    images = pack({1: np.zeros((2, 2))})
+    with pytest.raises(Exception, match="the query image is missing"):
+        jobs.search_images(images.filter("image_id = 9"), images).collect()
+    nothing = images.filter("image_id = 9")
+    suspects, features = (images.withColumnRenamed("image_id", k) for k in ("suspect_id", "feature_id"))
+    for job, probe in (
+        (jobs.search_images, images),
+        (jobs.search_features, features),
+        (jobs.detect_tampering, suspects),
+    ):
+        with pytest.raises(ValueError, match="empty"):
+            job(probe, nothing, strict=True)
+    assert jobs.search_features(features, images).count() == 1
+    assert jobs.detect_tampering(suspects, images, exclude_self=False).count() == 1
