@@ -33,9 +33,11 @@ def open_task_alerts(log: DataFrame, patience: str = "30 minutes", lateness: str
             return
         newest = state.get if state.exists else None
         for part in parts:
-            row = part.sort_values("ts", kind="stable").iloc[-1]
-            if newest is None or row["ts"] >= newest[0]:
-                newest = (row["ts"], bool(row["status"] == "STARTED"))
+            times = part["ts"].to_numpy()
+            last = len(times) - 1 - int(times[::-1].argmax())
+            at = part["ts"].iat[last]
+            if newest is None or at >= newest[0]:
+                newest = (at, part["status"].iat[last] == "STARTED")
         if newest is None:
             return
         at, still_open = newest
