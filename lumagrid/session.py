@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def tune(spark: SparkSession) -> SparkSession:
     """Settings the operators rely on; all are run-time settings, safe on a live session."""
@@ -21,33 +18,33 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only on a local master."""
+    """The shared folder for tables between jobs: ``spark.checkpoint.dir``.
+
+    Where the session names none, a folder below the warehouse, which all executors reach as well.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_roots:
-        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lumagrid-")
-    return _local_roots[context.applicationId]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a file scan over all cores when the scan has fewer splits than there are cores.
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove what the operators have written so far; no DataFrame over it may be read later."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(folder) if system.exists(folder) else []:
+        system.delete(status.getPath(), True)
 
-    A large table has more splits than that and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Ask for even partitions of an input whose rows unfold into many; AQE settles their number."""
+    return df.hint("rebalance", *keys)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing to the shared folder and reading back (survives lost executors)."""
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return spread(df.sparkSession.read.schema(df.schema).parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
