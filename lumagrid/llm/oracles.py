@@ -38,6 +38,35 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP10 = rf"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+    FROM doc, unnest(range(1, 2 + greatest(len(w), 5) - 5)) AS t(i) WHERE len(w) > 0
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+    FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+link AS (
+    SELECT a, b FROM pair JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+    WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+),
+reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM doc
+    UNION
+    SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+),
+component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM doc LEFT JOIN size USING (doc_id) JOIN component USING (doc_id)
+"""
+
 LLM_ORACLES: dict[str, str] = {
     "op5_decontamination": OP5,
+    "op10_minhash": OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import decontamination
+from lumagrid.llm import decontamination, minhash
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -29,6 +29,14 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate component of every document, linked from a similarity of 0.85."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, threshold=85)
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
+    "op10_minhash": op10_minhash,
 }
