@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import decontamination, minhash
+from lumagrid.llm import bpe, decontamination, minhash
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
 
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the token ids of every document, and of the bytes that the ids decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(read(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    decoded = bpe.decode(bpe.fingerprint(encoded), path)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Hit words and occurring benchmark items of every document."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
@@ -37,6 +46,7 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op5_decontamination": op5_decontamination,
     "op10_minhash": op10_minhash,
 }
