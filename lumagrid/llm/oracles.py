@@ -38,6 +38,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP8 = """
+WITH usable AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+component AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS d FROM usable),
+score AS (
+    SELECT q.vec_id AS query_id, r.vec_id, CAST(sum(q.x * r.x) AS BIGINT) AS score
+    FROM component q JOIN component r ON q.d = r.d AND q.vec_id <> r.vec_id
+    WHERE q.vec_id % 50 = 0 GROUP BY ALL
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM score
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 OP10 = rf"""
 WITH RECURSIVE doc AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
@@ -68,5 +85,6 @@ FROM doc LEFT JOIN size USING (doc_id) JOIN component USING (doc_id)
 
 LLM_ORACLES: dict[str, str] = {
     "op5_decontamination": OP5,
+    "op8_topk": OP8,
     "op10_minhash": OP10,
 }

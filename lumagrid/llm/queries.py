@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, minhash
+from lumagrid.llm import bpe, decontamination, minhash, topk
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -38,6 +38,12 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best rows by whole-number inner product for every vector whose id is divisible by 50."""
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors.filter(F.col("vec_id") % 50 == 0), vectors, k=5)
+
+
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document, linked from a similarity of 0.85."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
@@ -48,5 +54,6 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op5_decontamination": op5_decontamination,
+    "op8_topk": op8_topk,
     "op10_minhash": op10_minhash,
 }
