@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, minhash, topk
+from lumagrid.llm import bpe, decontamination, minhash, pii, topk
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -38,6 +38,17 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Stands in for the secret that a real job is given; surrogates change with it.
+PII_KEY = b"given to the job by its owner"
+
+
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with surrogates in place of personal data."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    clean = pii.replace(docs, PII_KEY, counted="n_entities")
+    return clean.withColumn("text_sha256", F.sha2("text", 256))
+
+
 def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five best rows by whole-number inner product for every vector whose id is divisible by 50."""
     vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
@@ -54,6 +65,7 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op5_decontamination": op5_decontamination,
+    "op7_pii": op7_pii,
     "op8_topk": op8_topk,
     "op10_minhash": op10_minhash,
 }
