@@ -8,13 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, minhash, pii, topk
+from lumagrid.llm import bpe, decontamination, minhash, pii, quality, topk
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
 
+def source_parts() -> dict:
+    """Host and path of a document: its source, and the path in it or else the section of its language."""
+    source = F.col("source")
+    return {"host": quality.host_of(source), "path": F.coalesce(F.nullif(quality.path_of(source), F.lit("")), F.col("lang"))}
+
+
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Evidence, site posterior, posterior and decision for every document."""
+    docs = read(spark, folder, "documents")
+    scored = quality.score(docs, read(spark, folder, "labels"), **source_parts())
+    return scored.select("doc_id", "quality.*")
+
+
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the token ids of every document, and of the bytes that the ids decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,6 +76,7 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
     "op5_decontamination": op5_decontamination,
     "op7_pii": op7_pii,
