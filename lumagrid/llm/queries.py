@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, minhash, pii, quality, topk
+from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, quality, topk
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -36,6 +36,13 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, folder, "pages").select("page_id", "url", "html")
+    found = html.extract(pages, html.train(pages, "html", F.xxhash64("page_id", "url")))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Hit words and occurring benchmark items of every document."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
@@ -68,6 +75,19 @@ def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(vectors.filter(F.col("vec_id") % 50 == 0), vectors, k=5)
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    pieces = language.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    labelled = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    model = language.train(labelled, pieces, "text", "lang", F.xxhash64("doc_id"))
+    told = language.predict(docs.select("doc_id", "text"), model, into="told")
+    return told.select(
+        "doc_id", held_out.alias("held_out"), F.col("told.lang").alias("lang_pred"), F.col("told.score").alias("score")
+    )
+
+
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document, linked from a similarity of 0.85."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
@@ -78,8 +98,10 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op4_html": op4_html,
     "op5_decontamination": op5_decontamination,
     "op7_pii": op7_pii,
     "op8_topk": op8_topk,
+    "op9_language": op9_language,
     "op10_minhash": op10_minhash,
 }
