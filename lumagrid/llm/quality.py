@@ -238,7 +238,8 @@ def score(
     known = docs.select(F.col(key).alias("key"), hosted.alias("host"), pathed.alias("path"), _features_column(F.col(text)).alias("f"))
     known = materialise(known.select("key", "host", "path", "f.words", "f.x"), "features")
     told = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
-    model = fit(known.filter("words > 0").join(told, "key").select("x", "label"))
+    labelled = known.filter("words > 0").join(told, "key").select("x", "label")
+    model = fit(materialise(labelled, "labelled"))
     coefficients, intercept, base = model or (np.zeros(len(FEATURES)), 0.0, 0.0)
 
     def odds(x: Column) -> Column:
