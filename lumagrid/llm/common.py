@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumagrid.session import materialise, tune
 
-__all__ = ["identity", "materialise", "read", "ready"]
+__all__ = ["bitmap", "hash_of", "materialise", "read", "ready"]
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -21,9 +23,42 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def identity(key: str, text: str) -> Column:
-    """Which rows are one document: those that agree in key and text.
+def hash_of(text: str) -> Column:
+    """Tells documents of one key apart; stable over scans, so that a document can be met again by a join."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
-    Stable over scans, so a document can be met again by a join; orders repeated and null keys too.
+
+#: A membership bitmap never has more bits than this (8 MB), however many keys it stands for.
+MOST_BITS = 1 << 26
+
+
+def bitmap(keys: DataFrame, column: str):
+    """A function from a 64-bit hash column to a test that is true for every hash in ``keys``, and for few others.
+
+    The bitmap (a Bloom filter) is built by a grouped sum and is of bounded size, so it may be broadcast; beyond
+    its room it only lets more rows pass. Used to shuffle few rows before an exact join, never instead of one.
     """
-    return F.struct(F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
+    spark = keys.sparkSession
+    count = keys.count()
+    bits = 1 << 16
+    while bits < MOST_BITS and bits < 12 * count:
+        bits *= 2
+
+    def places(hashed: Column) -> list[Column]:
+        return [F.pmod(F.hash(hashed, F.lit(j)), F.lit(bits)) for j in range(3)]
+
+    set_ = keys.select(F.explode(F.array(*places(F.col(column)))).alias("p")).groupBy((F.col("p") / 64).cast("int").alias("w"))
+    set_ = set_.agg(F.expr("bit_or(shiftleft(1L, p % 64))").alias("b")).toPandas()
+    words = np.zeros(bits // 64, np.uint64)
+    words[set_["w"].to_numpy(np.int64)] = set_["b"].to_numpy(np.int64).view(np.uint64)
+    sent = spark.sparkContext.broadcast(words)
+
+    @F.arrow_udf("boolean")
+    def known(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+        hit = np.ones(len(a), bool)
+        for column in (a, b, c):
+            p = column.to_numpy()
+            hit &= (sent.value[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return pa.array(hit)
+
+    return lambda hashed: known(*places(hashed))

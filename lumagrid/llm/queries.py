@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, quality, topk
+from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, quality, suffix, topk
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -58,6 +58,12 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes left of every document once repeated strings of 100 bytes are gone."""
+    kept = suffix.remove(read(spark, folder, "documents").select("doc_id", "text"), size=100)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: Stands in for the secret that a real job is given; surrogates change with it.
 PII_KEY = b"given to the job by its owner"
 
@@ -100,6 +106,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op4_html": op4_html,
     "op5_decontamination": op5_decontamination,
+    "op6_suffix": op6_suffix,
     "op7_pii": op7_pii,
     "op8_topk": op8_topk,
     "op9_language": op9_language,
