@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, quality, suffix, topk
+from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, quality, suffix, topk, warc
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -36,6 +36,15 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and conversion records of every page, held in a response record."""
+    pages = read(spark, folder, "pages")
+    date = F.lit("2024-01-01T00:00:00Z")
+    records = warc.responses(pages, F.col("page_id"), F.col("url"), F.col("html"), date)
+    derived = warc.derivatives(records, "key").withColumnRenamed("key", "page_id")
+    return derived.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
 def op4_html(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of every page."""
     pages = read(spark, folder, "pages").select("page_id", "url", "html")
@@ -104,6 +113,7 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op3_warc": op3_warc,
     "op4_html": op4_html,
     "op5_decontamination": op5_decontamination,
     "op6_suffix": op6_suffix,
