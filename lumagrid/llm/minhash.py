@@ -8,9 +8,10 @@ reaches the threshold; a component's id is its smallest document key.
    set. Documents with one set are a class; from here on only classes are handled, so a text copied into a
    third of all rows is one node.
 2. 32 bands of 4 minima put classes into buckets. A similarity of 0.8 is missed by all bands with a
-   probability below 1e-7. First each member is held against the smallest member of its bucket. Those
-   links merge most of a large group. Then every pair of members that are still in different components
-   is compared by signature, in cells of bounded size; no pair list of a bucket is made.
+   probability below 1e-7. First each member is held against the smallest member of its bucket, then, in
+   buckets that still span several components, against the member most like the others. Those links merge
+   large groups. At last every pair of members that are still in different components is compared by
+   signature, in cells of bounded size, and only the pairs that come close are written.
 3. Pairs whose signatures come within 4.5 standard deviations of the threshold are confirmed on
    the full sets of both texts.
 4. Components: large-star and small-star in turn until the edges stay the same; each round is a
@@ -28,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.llm import words as W
-from lumagrid.llm.common import materialise, ready
+from lumagrid.llm.common import bitmap, hash_of, materialise, ready
 
 WIDTH = 5
 MINIMA, ROWS = 128, 4
@@ -87,30 +89,26 @@ def signatures(docs: DataFrame, key: str, text: str, width: int = WIDTH) -> Data
                 ["n", "node", "sig"],
             )
 
-    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    return docs.select(F.col(key).alias("key"), hashed.alias("text_hash"), sign(F.col(text)).alias("s")).select(
+    return docs.select(F.col(key).alias("key"), hash_of(text).alias("text_hash"), sign(F.col(text)).alias("s")).select(
         "key", "text_hash", "s.n", "s.node", "s.sig"
     )
 
 
 def _band_rows(classes: DataFrame) -> DataFrame:
-    """(band, node, n): one row per class and band."""
+    """(band, id): one row per class and band. An id stands for a node until its signature is fetched."""
 
     @F.arrow_udf("array<bigint>")
     def keys(sigs: pa.Array) -> pa.Array:
-        data, _ = W.text_buffer(sigs)
-        quads = np.frombuffer(data.tobytes(), np.uint64).reshape(-1, BANDS)
-        made = W.mix(quads + np.arange(BANDS, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15))
+        quads = np.frombuffer(W.text_buffer(sigs)[0].tobytes(), np.uint64).reshape(-1, BANDS)
         return pa.ListArray.from_arrays(
-            pa.array(np.arange(len(quads) + 1) * BANDS, pa.int32()), pa.array(made.reshape(-1).view(np.int64))
+            pa.array(np.arange(len(quads) + 1) * BANDS, pa.int32()), pa.array(_band_keys(quads).reshape(-1).view(np.int64))
         )
 
-    return classes.select(F.explode(keys("sig")).alias("band"), "node", "n")
+    return classes.select(F.explode(keys("sig")).alias("band"), F.xxhash64("node").alias("id"))
 
 
-def _similar_enough(threshold: int):
-    """Column test on set sizes: only such pairs can reach the threshold (hundredths)."""
-    return lambda a, b: (F.least(a, b) * 100 >= F.greatest(a, b) * threshold)
+def _band_keys(quads: np.ndarray) -> np.ndarray:
+    return W.mix(quads + np.arange(BANDS, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _least_matches(threshold: int) -> int:
@@ -119,7 +117,7 @@ def _least_matches(threshold: int) -> int:
 
 
 def _signed_pairs(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """The pairs whose signatures do not rule the threshold out."""
+    """(a, b): nodes of the id pairs that neither their sizes nor their signatures rule out."""
     least = _least_matches(threshold)
 
     @F.arrow_udf("int")
@@ -127,22 +125,29 @@ def _signed_pairs(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataF
         a, b = (np.frombuffer(W.text_buffer(x)[0].tobytes(), np.uint16).reshape(-1, MINIMA) for x in (left, right))
         return pa.array((a == b).sum(axis=1), pa.int32())
 
-    side = lambda name: classes.select(F.col("node").alias(name), F.col("sig").alias(f"sig_{name}"))
+    def side(name: str) -> DataFrame:
+        return classes.select(
+            F.xxhash64("node").alias(name),
+            F.struct("node", "n", "sig").alias(f"of_{name}"),
+        )
+
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-    return both.filter(matches("sig_a", "sig_b") >= least).select("a", "b")
+    x, y = F.col("of_a"), F.col("of_b")
+    both = both.filter(F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * threshold)
+    return both.filter(matches(x["sig"], y["sig"]) >= least).select(x["node"].alias("a"), y["node"].alias("b"))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int, width: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold. texts: (node, text) of all nodes in the pairs."""
+    """The pairs whose full sets reach the threshold. texts: (node, packed) of all nodes in the pairs."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for name in ("a", "b"):
-                nodes = batch.column(name).dictionary_encode()
-                at = nodes.indices.to_numpy(zero_copy_only=False)
+                at = batch.column(name).dictionary_encode().indices.to_numpy(zero_copy_only=False)
                 _, one = np.unique(at, return_index=True)
-                data, offsets = W.text_buffer(batch.column(f"text_{name}").take(pa.array(one)))
+                packed = batch.column(f"packed_{name}").take(pa.array(one)).to_pylist()
+                data, offsets = W.text_buffer(pa.array([zstandard.decompress(p) for p in packed], pa.large_binary()))
                 own: list[np.ndarray] = []
                 for start, stop in W.runs(offsets):
                     values, begin = sets(
@@ -157,67 +162,83 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int, width: int) -
                 keep.append(100 * shared >= threshold * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda name: texts.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
+    side = lambda name: texts.select(F.col("node").alias(name), F.col("packed").alias(f"packed_{name}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     return both.mapInArrow(confirm, "a binary, b binary")
 
 
 def _texts(docs: DataFrame, key: str, text: str, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, text) of one document of each class in the pairs."""
+    """(node, packed): the text of one document of each class in the pairs."""
+
+    @F.arrow_udf("binary")
+    def pack(texts: pa.Array) -> pa.Array:
+        return pa.array([zstandard.compress(t.encode(), 3) for t in texts.to_pylist()], pa.binary())
+
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))).distinct()
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "first.key", "first.text_hash")
-    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    own = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), hashed.alias("_hash"))
+    wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", "first.key", "first.text_hash"), "wanted")
+    maybe = bitmap(wanted, "text_hash")
+    own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), hash_of(text).alias("_hash"))
+    own = own.filter(maybe(F.col("_hash"))).select("_key", "_hash", pack("_text").alias("packed"))
     joined = own.join(wanted, own["_key"].eqNullSafe(wanted["key"]) & (own["_hash"] == wanted["text_hash"]))
-    return joined.select("node", "text").dropDuplicates(["node"])
+    return materialise(joined.select("node", "packed").dropDuplicates(["node"]), "texts")
 
 
-def _cell_pairs(rows: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) within bucket cells that are in different components and pass the signature test.
+def _compare(group: dict[str, np.ndarray], band: int, threshold: int, centre: bool) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs of one cell, or of two cells of a bucket, in different components whose signatures come close.
 
-    rows: (band, one, two, cell, node, root, n, sig); rows of one (band, one, two) are a group of at most
-    about two cells. Groups follow each other in sorted partitions and are cut out of the stream.
+    centre: only pairs with the member that is most like the others; else each pair, in its first common band.
     """
-    least = _least_matches(threshold)
+    least, (nodes, roots, cells, n, sigs) = _least_matches(threshold), group.values()
+    order = np.argsort(n, kind="stable")
+    nodes, roots, cells, n, sigs = (x[order] for x in (nodes, roots, cells, n, sigs))
+    if centre:
+        alike = np.array([(sigs == s).sum() for s in sigs])
+        i = int(alike.argmax())
+        rest = np.flatnonzero((roots != roots[i]) & ((sigs == sigs[i]).sum(axis=1) >= least))
+        yield from ((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in rest)
+        return
+    split = (cells != cells[0]).any()
+    quads = np.ascontiguousarray(sigs).view(np.uint64)
+    for i in range(len(n) - 1):
+        rest = np.arange(i + 1, np.searchsorted(n, n[i] * 100 / threshold, side="right"))
+        rest = rest[(roots[rest] != roots[i]) & (not split or cells[rest] != cells[i])]
+        rest = rest[(sigs[rest] == sigs[i]).sum(axis=1) >= least] if len(rest) else rest
+        if len(rest):
+            first = (quads[rest] == quads[i]).argmax(axis=1)
+            mine = _band_keys(quads[i : i + 1])[0].view(np.int64)[first] == band
+            yield from ((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in rest[mine])
+
+
+def _cell_pairs(rows: DataFrame, threshold: int, centre: bool) -> DataFrame:
+    """Pairs (a, b) of all groups. rows: (band, one, two, cell, node, root, n, sig), a group per (band, one, two).
+
+    A group has at most about two cells. Groups follow each other in sorted partitions and are cut from the stream.
+    """
+    rows = rows.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
 
-    def compare(nodes, roots, cells, n, sigs) -> list[tuple[bytes, bytes]]:
-        order = np.argsort(n, kind="stable")
-        out = []
-        for place, i in enumerate(order):
-            stop = np.searchsorted(n[order], n[i] * 100 / threshold, side="right")
-            rest = order[place + 1 : stop]
-            rest = rest[roots[rest] != roots[i]]
-            if cells[0] != cells[-1] or (cells != cells[0]).any():
-                rest = rest[cells[rest] != cells[i]]
-            if len(rest):
-                close = rest[(sigs[rest] == sigs[i]).sum(axis=1) >= least]
-                out += [tuple(sorted((nodes[i], nodes[j]))) for j in close]
-        return out
+    def done(table: pa.Table) -> pa.RecordBatch:
+        keys = np.stack([table.column(c).to_numpy() for c in ("band", "one", "two")])
+        edge = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        columns = {
+            "nodes": np.array(table.column("node").to_pylist(), object),
+            "roots": table.column("root").to_numpy(),
+            "cells": table.column("cell").to_numpy(),
+            "n": table.column("n").to_numpy(),
+            "sigs": np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, MINIMA),
+        }
+        found: set[tuple[bytes, bytes]] = set()
+        for a, b in zip([0, *edge.tolist()], [*edge.tolist(), table.num_rows]):
+            if b - a > 1:
+                found.update(_compare({k: v[a:b] for k, v in columns.items()}, keys[0, a], threshold, centre))
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-
-        def done(table: pa.Table) -> pa.RecordBatch:
-            keys = np.stack([table.column(c).to_numpy() for c in ("band", "one", "two")])
-            edge = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            nodes = np.array(table.column("node").to_pylist(), object)
-            roots = np.array(table.column("root").to_pylist(), object)
-            cells, n = table.column("cell").to_numpy(), table.column("n").to_numpy()
-            sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, MINIMA)
-            found: set[tuple[bytes, bytes]] = set()
-            for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(nodes)]):
-                if b - a > 1:
-                    found.update(compare(nodes[a:b], roots[a:b], cells[a:b], n[a:b], sigs[a:b]))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"]
-            )
-
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            last = tuple(held.column(c)[-1].as_py() for c in ("band", "one", "two"))
             keys = np.stack([held.column(c).to_numpy() for c in ("band", "one", "two")])
-            open_from = int(np.argmax((keys == np.array(last)[:, None]).all(axis=0)))
+            open_from = int(np.argmax((keys == keys[:, -1:]).all(axis=0)))
             if open_from:
                 yield done(held.slice(0, open_from))
                 held = held.slice(open_from).combine_chunks()
@@ -254,41 +275,39 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def links(
-    docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: int, width: int = WIDTH
-) -> tuple[DataFrame, DataFrame | None]:
-    """Confirmed links (a, b) between classes: against the bucket's smallest member, then the rest."""
-    close = _similar_enough(threshold)
-    bands = materialise(_band_rows(classes), "bands")
-    hub = F.min(F.struct("node", "n")).alias("hub")
-    buckets = bands.groupBy("band").agg(F.count("*").alias("m"), hub).filter("m > 1")
-    buckets = materialise(buckets, "buckets")
-    stars = bands.join(buckets, "band").filter(F.col("node") != F.col("hub.node"))
-    stars = stars.filter(close(F.col("n"), F.col("hub.n"))).select(
-        F.col("hub.node").alias("a"), F.col("node").alias("b")
-    )
-    pairs = materialise(_signed_pairs(stars.distinct(), classes, threshold), "star-pairs")
-    found = materialise(
-        _confirmed(pairs, _texts(docs, key, text, classes, pairs), threshold, width), "star-links"
-    )
-    roots = materialise(components(found), "star-roots")
-
-    placed = bands.join(buckets.filter("m > 2").select("band", "m"), "band").join(roots, "node", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "node"))
+def _mixed(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Members, with cell and signature, of the buckets of three and more that span several components."""
+    roots = components(found).select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
+    placed = members.filter("m > 2").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = materialise(placed.select("band", "id", "m", "root"), "placed")
     mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
     cells = F.ceil(F.col("m") / F.lit(CELL)).cast("int")
-    cell = F.pmod(F.xxhash64("node"), cells).cast("int")
-    rows = placed.join(mixed.select("band"), "band").withColumn("cell", cell)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), cells - 1)))
+    rows = placed.join(mixed.select("band"), "band").withColumn("cells", cells)
+    rows = rows.withColumn("cell", F.pmod(F.hash("id"), F.col("cells")))
+    return rows.join(classes.select(F.xxhash64("node").alias("id"), "node", "n", "sig"), "id")
+
+
+def links(
+    docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: int, width: int = WIDTH
+) -> DataFrame:
+    """Confirmed links (a, b) between classes; enough of them to tell all components."""
+    bands = _band_rows(classes)
+    buckets = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("hub")).filter("m > 1")
+    members = materialise(bands.join(buckets, "band"), "members")
+
+    def settled(pairs: DataFrame) -> DataFrame:
+        pairs = materialise(pairs, "pairs")
+        return materialise(_confirmed(pairs, _texts(docs, key, text, classes, pairs), threshold, width), "links")
+
+    stars = members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    found = settled(_signed_pairs(stars, classes, threshold))
+    columns = ("band", "one", "two", "cell", "node", "root", "n", "sig")
+    rows = _mixed(members, classes, found).withColumns({"one": F.col("cell"), "two": F.col("cell")})
+    found = found.union(settled(_cell_pairs(rows.select(*columns), threshold, centre=True)))
+    rows = _mixed(members, classes, found)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     rows = rows.withColumn("one", F.least("cell", "other")).withColumn("two", F.greatest("cell", "other"))
-    rows = rows.join(classes.select("node", "sig"), "node")
-    rows = rows.select("band", "one", "two", "cell", "node", "root", "n", "sig")
-    rows = rows.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
-    rest = materialise(_cell_pairs(rows, threshold), "rest-pairs")
-    if rest.isEmpty():
-        return found, None
-    more = _confirmed(rest, _texts(docs, key, text, classes, rest), threshold, width)
-    return found, materialise(more, "rest-links")
+    return found.union(settled(_cell_pairs(rows.select(*columns), threshold, centre=False)))
 
 
 def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -> DataFrame:
@@ -304,8 +323,7 @@ def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -
         ),
         "classes",
     )
-    found, more = links(docs, classes, key, text, threshold, width)
-    roots = materialise(components(found if more is None else found.union(more)), "roots")
+    roots = materialise(components(links(docs, classes, key, text, threshold, width)), "roots")
     members = classes.select("node", F.col("first.key").alias("first_key")).join(roots, "node", "left")
     members = members.withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("first_key").alias("component_id"))
@@ -337,12 +355,17 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: i
     """
     found = materialise(_grouped(docs, key, text, threshold, WIDTH), "grouped")
     order = F.struct(F.col("key").isNull().alias("unnamed"), "key", "text_hash")
-    chosen = found.filter("node is not null").groupBy("root").agg(F.min(order).alias("first"))
-    alone = found.filter("node is null").select("key", "text_hash").distinct()
-    chosen = chosen.select("first.key", "first.text_hash").union(alone).withColumnsRenamed(
-        {"key": "_kept_key", "text_hash": "_kept_hash"}
+    first = found.filter("node is not null").groupBy("root").agg(F.min(order).alias("first"))
+    first = first.select("root", F.col("first.key").alias("first_key"), F.col("first.text_hash").alias("first_hash"))
+    same = F.col("key").eqNullSafe(F.col("first_key")) & (F.col("text_hash") == F.col("first_hash"))
+    gone = found.filter("node is not null").join(first, "root").filter(~same)
+    gone = materialise(gone.select(F.col("key").alias("_key"), F.col("text_hash").alias("_hash")).distinct(), "gone")
+    maybe = bitmap(gone, "_hash")
+    # Documents outside the bitmap stay where they are; only the others meet the rejected ones in a join.
+    marked = docs.withColumn("_maybe", maybe(hash_of(text)))
+    rest = marked.filter("_maybe").join(
+        gone, docs[key].eqNullSafe(F.col("_key")) & (hash_of(text) == F.col("_hash")), "left_anti"
     )
-    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    kept = docs.join(chosen, docs[key].eqNullSafe(F.col("_kept_key")) & (hashed == F.col("_kept_hash")), "left_semi")
+    kept = marked.filter(~F.col("_maybe")).union(rest).drop("_maybe")
     repeated = found.groupBy("key", "text_hash").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([key, text])
