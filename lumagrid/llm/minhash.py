@@ -8,10 +8,10 @@ reaches the threshold; a component's id is its smallest document key.
    set. Documents with one set are a class; from here on only classes are handled, so a text copied into a
    third of all rows is one node.
 2. 32 bands of 4 minima put classes into buckets. A similarity of 0.8 is missed by all bands with a
-   probability below 1e-7. First each member is held against the smallest member of its bucket, then, in
-   buckets that still span several components, against the member most like the others. Those links merge
-   large groups. At last every pair of members that are still in different components is compared by
-   signature, in cells of bounded size, and only the pairs that come close are written.
+   probability below 1e-7. In buckets of more than two, each class is first held against the smallest members of
+   two of its buckets, then against the member of its largest bucket that is most like the others. Those
+   links merge large groups. At last every pair of members that are still in different components is compared
+   by signature, in cells of bounded size, and only the pairs that come close are written.
 3. Pairs whose signatures come within 4.5 standard deviations of the threshold are confirmed on
    the full sets of both texts.
 4. Components: large-star and small-star in turn until the edges stay the same; each round is a
@@ -275,10 +275,10 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _mixed(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    """Members, with cell and signature, of the buckets of three and more that span several components."""
-    roots = components(found).select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
-    placed = members.filter("m > 2").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+def _mixed(placed: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (band, id, m) of buckets that span several roots, with root, cell and signature."""
+    named = roots.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
+    placed = placed.join(named, "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = materialise(placed.select("band", "id", "m", "root"), "placed")
     mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
     cells = F.ceil(F.col("m") / F.lit(CELL)).cast("int")
@@ -289,25 +289,40 @@ def _mixed(members: DataFrame, classes: DataFrame, found: DataFrame) -> DataFram
 
 def links(
     docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: int, width: int = WIDTH
-) -> DataFrame:
-    """Confirmed links (a, b) between classes; enough of them to tell all components."""
+) -> tuple[DataFrame, DataFrame | None]:
+    """Confirmed links (a, b) between classes, enough of them to tell all components; those components if known."""
     bands = _band_rows(classes)
     buckets = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("hub")).filter("m > 1")
     members = materialise(bands.join(buckets, "band"), "members")
+    large = members.filter("m > 2")
 
     def settled(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs, "pairs")
+        if pairs.isEmpty():
+            return pairs
         return materialise(_confirmed(pairs, _texts(docs, key, text, classes, pairs), threshold, width), "links")
 
-    stars = members.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    found = settled(_signed_pairs(stars, classes, threshold))
+    # All pairs of buckets of two; in larger ones two pairs per class, with its least and its most frequent hub.
+    hubs = large.groupBy("id").agg(F.min("hub").alias("a"), F.max_by("hub", "m").alias("c"))
+    stars = members.filter("m = 2 and id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    stars = stars.union(hubs.select("a", F.col("id").alias("b"))).union(hubs.select("c", F.col("id").alias("b")))
+    found = settled(_signed_pairs(stars.filter("a != b").distinct(), classes, threshold))
+
+    # The centre of each class's largest bucket; a class goes by its least neighbour so far.
+    around = found.union(found.select("b", "a")).toDF("node", "other").groupBy("node").agg(F.min("other").alias("other"))
+    roots = around.select("node", F.least("node", "other").alias("root"))
+    largest = large.groupBy("id").agg(F.max(F.struct("m", "band")).alias("x")).select("x.band", "id", "x.m")
     columns = ("band", "one", "two", "cell", "node", "root", "n", "sig")
-    rows = _mixed(members, classes, found).withColumns({"one": F.col("cell"), "two": F.col("cell")})
+    rows = _mixed(largest, classes, roots).withColumns({"one": F.col("cell"), "two": F.col("cell")})
     found = found.union(settled(_cell_pairs(rows.select(*columns), threshold, centre=True)))
-    rows = _mixed(members, classes, found)
+
+    # Whatever is still in different components.
+    roots = materialise(components(found), "roots")
+    rows = _mixed(large.select("band", "id", "m"), classes, roots)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     rows = rows.withColumn("one", F.least("cell", "other")).withColumn("two", F.greatest("cell", "other"))
-    return found.union(settled(_cell_pairs(rows.select(*columns), threshold, centre=False)))
+    more = settled(_cell_pairs(rows.select(*columns), threshold, centre=False))
+    return (found, roots) if more.isEmpty() else (found.union(more), None)
 
 
 def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -> DataFrame:
@@ -323,7 +338,8 @@ def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -
         ),
         "classes",
     )
-    roots = materialise(components(links(docs, classes, key, text, threshold, width)), "roots")
+    found, roots = links(docs, classes, key, text, threshold, width)
+    roots = materialise(components(found), "roots") if roots is None else roots
     members = classes.select("node", F.col("first.key").alias("first_key")).join(roots, "node", "left")
     members = members.withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("first_key").alias("component_id"))
