@@ -150,24 +150,28 @@ def picked(data: np.ndarray, offsets: np.ndarray, shape: Shape) -> tuple[np.ndar
     if len(data) < size:
         return none, none.view(np.uint64), none.view(np.uint64), none, none
     prefix = W.Prefix(data)
-    at = np.arange(len(data) - k + 1)
-    grams = prefix.hashes(at, at + k)
+    grams = prefix.rolling(k)
     last = np.uint64((1 << _TIE) - 1)
-    least = (grams >> np.uint64(_TIE) << np.uint64(_TIE)) | (last - (at.astype(np.uint64) & last))
+    # Hash above, place below: the least value is the rightmost of the least hashes.
+    least = (grams | last) ^ (np.arange(len(grams), dtype=np.uint64) & last)
     wide, span = size - k + 1, 1
     while span * 2 <= wide:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     if span < wide:
         least = np.minimum(least[: len(least) - (wide - span)], least[wide - span :])
-    window = np.arange(len(least))
-    start = np.repeat(offsets[:-1], np.diff(offsets))
-    stop = np.repeat(offsets[1:], np.diff(offsets))
-    inside = window + size <= stop[window]
-    low = (last - (least & last)).astype(np.int64)
-    place = window + ((low - window) & int(last))
-    p = np.unique(place[inside])
-    begin, end = np.maximum(start[p], p - shape.left), np.minimum(stop[p], p + size)
+    long = np.flatnonzero(np.diff(offsets) >= size)
+    step = np.zeros(len(least) + 1, np.int8)
+    np.add.at(step, offsets[long], 1)
+    np.add.at(step, offsets[long + 1] - size + 1, -1)
+    window = np.flatnonzero(np.cumsum(step[:-1], dtype=np.int8))
+    least = least[window]
+    new = np.ones(len(window), bool)
+    new[1:] = least[1:] != least[:-1]
+    window, low = window[new], (last - (least[new] & last)).astype(np.int64)
+    p = window + ((low - window) & int(last))
+    row = np.searchsorted(offsets, p, side="right") - 1
+    begin, end = np.maximum(offsets[row], p - shape.left), np.minimum(offsets[row + 1], p + size)
     context = W.mix(prefix.hashes(begin, end) + (p - begin).astype(np.uint64))
     return p, grams[p], context, p - begin, end - p
 
@@ -199,7 +203,9 @@ def _occurrences(batch: pa.RecordBatch, shape: Shape) -> dict[str, np.ndarray]:
         same[1:] &= column[by_key][1:] == column[by_key][:-1]
     rank = np.empty(len(by_key), np.int64)
     rank[by_key] = np.cumsum(~same)
-    order = np.lexsort((p, rank[row], context, gram))
+    # Equal contexts side by side, in order of document and place.
+    order = np.argsort(rank[row], kind="stable")
+    order = order[np.argsort(W.mix(gram[order]) + context[order], kind="stable")]
     row, p, gram, context, left, right = (x[order] for x in (row, p, gram, context, left, right))
     head = np.ones(len(p), bool)
     head[1:] = (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])

@@ -85,7 +85,7 @@ def scores(queries: Terms, n_queries: int, rows: Terms, n_rows: int) -> np.ndarr
         else:
             for i, w in zip(q.tolist(), weight):
                 total[i, r] += w * posting
-    return total
+    return total if exact else np.minimum(np.maximum(total, -_LIMIT - 1), _LIMIT)
 
 
 def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:

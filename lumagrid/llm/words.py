@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 2 << 20
+RUN_BYTES = 512 << 10
 
 _draw = np.random.default_rng(20240229)
 _CODES = _draw.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,19 +76,40 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+_known = {_BASE: np.zeros(0, np.uint64), _BASE_INVERSE: np.zeros(0, np.uint64)}
+
+
+def _known_powers(base: int, count: int) -> np.ndarray:
+    """Powers of a base, kept for runs of the usual size."""
+    if count > 2 * RUN_BYTES:
+        return _powers(base, count)
+    if len(_known[base]) < count:
+        _known[base] = _powers(base, 2 * RUN_BYTES)
+    return _known[base][:count]
+
+
 class Prefix:
     """Hashes of any byte ranges of one buffer, from prefix sums modulo 2**64."""
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        self._inverse = _powers(_BASE_INVERSE, n + 1)
+        self._inverse = _known_powers(_BASE_INVERSE, n + 1)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_CODES[data] * _powers(_BASE, n), out=self._sums[1:])
+        np.cumsum(_CODES[data] * _known_powers(_BASE, n), out=self._sums[1:])
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         value = (self._sums[ends] - self._sums[starts]) * self._inverse[starts]
         return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
+    def rolling(self, size: int) -> np.ndarray:
+        """A hash of each range of ``size`` bytes, not comparable with those of ``hashes``."""
+        value = self._sums[size:] - self._sums[:-size]
+        value *= self._inverse[: len(value)]
+        value ^= value >> np.uint64(31)
+        value *= np.uint64(0xD6E8FEB86659FD93)
+        value ^= value >> np.uint64(32)
+        return value
+
 
 def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of maximal stretches of bytes in ``table``, and each row's first word (one more at the end)."""
