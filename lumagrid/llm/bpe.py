@@ -2,7 +2,7 @@
 
 Encoding:
 
-1. ``pretokens`` explodes texts into pre-tokens with their positions, block by block (about 16 MB of
+1. ``pretokens`` explodes texts into pre-tokens with their positions, block by block (about 6 MB of
    text): per block a number for each distinct pre-token, the numbers in order of position, and the
    distinct pre-tokens themselves in packets, one for each hash bucket.
 2. ``encoded_packets`` shuffles the packets by bucket, so that all appearances of a pre-token meet in
@@ -37,11 +37,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import materialise, ready
+from lumagrid.llm.common import ready
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 #: The documents of a block travel in pieces of about this many token numbers.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -151,23 +151,29 @@ class _Block:
         self.keys.append(key)
         self.size += size
 
-    def packets(self, block: int) -> Iterator[tuple[int, int, bytes, bytes]]:
-        """(block, bucket, numbers, pre-tokens), then pieces of documents: (block, -1 - piece, numbers, keys)."""
+    def packets(self, block: int, of_words: bool) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """(block, bucket, numbers, pre-tokens), or pieces of documents: (block, -1 - piece, numbers, keys).
+
+        A piece's keys start with the number of pre-tokens of the block, against which they are checked.
+        """
         words = [w.encode() for w in self.numbers]
         use = np.bincount(np.concatenate(self.seen), minlength=len(words))
         number = np.empty(len(words), np.uint32)
         number[np.argsort(-use, kind="stable")] = np.arange(len(words), dtype=np.uint32)
-        bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(self.buckets)
-        by_bucket = np.lexsort((number, bucket))
-        edges = np.searchsorted(bucket[by_bucket], np.arange(self.buckets + 1))
-        for b in np.flatnonzero(np.diff(edges)).tolist():
-            own = by_bucket[edges[b] : edges[b + 1]]
-            steps = np.diff(number[own].astype(np.int64), prepend=0)
-            yield block, b, _pack_numbers(steps), _pack_bytes([words[i] for i in own.tolist()])
+        if of_words:
+            bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(self.buckets)
+            by_bucket = np.lexsort((number, bucket))
+            edges = np.searchsorted(bucket[by_bucket], np.arange(self.buckets + 1))
+            for b in np.flatnonzero(np.diff(edges)).tolist():
+                own = by_bucket[edges[b] : edges[b + 1]]
+                steps = np.diff(number[own].astype(np.int64), prepend=0)
+                yield block, b, _pack_numbers(steps), _pack_bytes([words[i] for i in own.tolist()])
+            return
         counts = np.array([len(x) for x in self.seen])
         for piece, (lo, hi) in enumerate(_slices(counts, PIECE)):
             tokens = number[np.concatenate(self.seen[lo:hi])]
-            yield block, -1 - piece, _pack_numbers(tokens), _pack_keys(self.keys[lo:hi], counts[lo:hi])
+            keys = struct.pack("<I", len(words)) + _pack_keys(self.keys[lo:hi], counts[lo:hi])
+            yield block, -1 - piece, _pack_numbers(tokens), keys
 
 
 def _pack_keys(keys: list[int | None], counts: np.ndarray) -> bytes:
@@ -192,8 +198,11 @@ def _rows_out(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
 _PACKET = "block bigint, bucket int, numbers binary, data binary"
 
 
-def pretokens(docs: DataFrame, text: str, key: str, pattern: str, buckets: int) -> DataFrame:
-    """Blocks of numbered pre-tokens: packets of distinct ones, and the numbers of each document in order."""
+def pretokens(docs: DataFrame, text: str, key: str, pattern: str, buckets: int, of_words: bool) -> DataFrame:
+    """Blocks of numbered pre-tokens: packets of the distinct ones, or the numbers of each document in order.
+
+    Both come from the same blocks, so ``docs`` must give the same partitions each time, as a table scan does.
+    """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
@@ -203,10 +212,10 @@ def pretokens(docs: DataFrame, text: str, key: str, pattern: str, buckets: int)
                 own = own.as_py() or ""
                 block.add(name, split(own), len(own))
                 if block.size >= BLOCK_BYTES:
-                    yield _rows_out(list(block.packets(task << 32 | made)))
+                    yield _rows_out(list(block.packets(task << 32 | made, of_words)))
                     made, block = made + 1, _Block(buckets)
         if block.keys:
-            yield _rows_out(list(block.packets(task << 32 | made)))
+            yield _rows_out(list(block.packets(task << 32 | made, of_words)))
 
     return docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).mapInArrow(explode, _PACKET)
 
@@ -239,44 +248,31 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     spark = ready(docs.sparkSession)
     buckets = 2 * max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranks = spark.sparkContext.broadcast(read_ranks(path))
-    packets = materialise(pretokens(docs, text, key, pattern, buckets), "pretokens")
-    words = encoded_packets(packets.filter("bucket >= 0"), ranks)
-    together = words.unionByName(packets.filter("bucket < 0"))
-    together = together.repartition("block").sortWithinPartitions("block", F.col("bucket").desc())
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids_of, starts, sizes, flat = None, [], None, None, None
-        for batch in batches:
-            for block, bucket, numbers, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if block != at:
-                    at, ids_of, flat = block, [], None
-                if bucket >= 0:
-                    ids_of.append((np.cumsum(_unpack_numbers(numbers)), _unpack_bytes(data)))
-                    continue
-                if flat is None:
-                    flat, starts, sizes = _by_number(ids_of)
-                    ids_of = []
-                keys, counts = _unpack_keys(data)
-                tokens = _unpack_numbers(numbers)
-                ends = np.cumsum(counts, dtype=np.int64)
-                for lo, hi in _slices(counts):
-                    own = tokens[ends[lo] - counts[lo] : ends[hi - 1]]
-                    n = sizes[own] if len(own) else np.zeros(0, np.int64)
-                    stops = np.cumsum(n)
-                    ids = flat[np.repeat(starts[own] - stops + n, n) + np.arange(stops[-1])] if len(own) else flat[:0]
-                    bounds = np.concatenate(([0], stops))[np.concatenate(([0], ends[lo:hi] - ends[lo] + counts[lo]))]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            keys[lo:hi],
-                            pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32))),
-                        ],
-                        [key, "ids"],
-                    )
-
-    return together.mapInArrow(assemble, f"`{key}` bigint, ids array<int>")
-
-
-def _slices(counts: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    words = encoded_packets(pretokens(docs, text, key, pattern, buckets, of_words=True), ranks)
+    pieces = pretokens(docs, text, key, pattern, buckets, of_words=False)
+
+    def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
+        packets = zip(left.column("numbers").to_pylist(), left.column("data").to_pylist())
+        flat, starts, sizes = _by_number([(np.cumsum(_unpack_numbers(n)), _unpack_bytes(d)) for n, d in packets])
+        found = []
+        for numbers, data in zip(right.column("numbers").to_pylist(), right.column("data").to_pylist()):
+            if struct.unpack_from("<I", data)[0] != len(sizes):
+                raise ValueError("the documents came in other partitions when they were read again")
+            keys, counts = _unpack_keys(data[4:])
+            tokens = _unpack_numbers(numbers)
+            n = sizes[tokens]
+            stops = np.cumsum(n)
+            ids = flat[np.repeat(starts[tokens] - stops + n, n) + np.arange(n.sum())].astype(np.int32)
+            bounds = np.concatenate(([0], stops))[np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+            found.append(pa.Table.from_arrays([keys, lists], [key, "ids"]))
+        return pa.concat_tables(found)
+
+    both = words.groupBy("block").cogroup(pieces.groupBy("block"))
+    return both.applyInArrow(assemble, f"`{key}` bigint, ids array<int>")
+
+
+def _slices(counts: np.ndarray, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
     start, held = 0, 0
     for i, n in enumerate(counts.tolist()):
         if held and held + n > most:
@@ -315,18 +311,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded
     table = token_bytes(ready(encoded.sparkSession), path)
 
     @F.arrow_udf("binary")
-    def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def joined(column: pa.Array) -> pa.Array:
         find = table.value.__getitem__
-        for column in batches:
-            values = column.values.to_numpy(zero_copy_only=False)
-            ends = column.offsets.to_numpy()
-            yield pa.array(
-                [
-                    b"".join(map(find, values[a:b].tolist())) if some else None
-                    for a, b, some in zip(ends[:-1].tolist(), ends[1:].tolist(), column.is_valid().to_pylist())
-                ],
-                pa.binary(),
-            )
+        values = column.values.to_numpy(zero_copy_only=False)
+        ends = column.offsets.to_numpy().tolist()
+        rows = zip(ends[:-1], ends[1:], column.is_valid().to_pylist())
+        return pa.array([b"".join(map(find, values[a:b].tolist())) if some else None for a, b, some in rows], pa.binary())
 
     return encoded.withColumn(into, joined(F.col(ids)))
 

@@ -32,7 +32,7 @@ def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the token ids of every document, and of the bytes that the ids decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(read(spark, folder, "documents"), path, public_tokenizers.PATTERN)
-    decoded = bpe.decode(bpe.fingerprint(encoded), path)
+    decoded = bpe.fingerprint(bpe.decode(encoded, path))
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
