@@ -9,9 +9,9 @@ reaches the threshold; a component's id is its smallest document key.
    third of all rows is one node.
 2. 32 bands of 4 minima put classes into buckets. A similarity of 0.8 is missed by all bands with a
    probability below 1e-7. In buckets of more than two, each class is first held against the smallest members of
-   two of its buckets, then against the member of its largest bucket that is most like the others. Those
-   links merge large groups. At last every pair of members that are still in different components is compared
-   by signature, in cells of bounded size, and only the pairs that come close are written.
+   two of its buckets, then against the nearest members of other components. Those links merge nearly all of
+   a large group. At last every pair of members that are still in different components is compared,
+   in cells of bounded size that hold signatures and texts, and only links are written.
 3. Pairs whose signatures come within 4.5 standard deviations of the threshold are confirmed on
    the full sets of both texts.
 4. Components: large-star and small-star in turn until the edges stay the same; each round is a
@@ -146,14 +146,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int, width: int) -
             for name in ("a", "b"):
                 at = batch.column(name).dictionary_encode().indices.to_numpy(zero_copy_only=False)
                 _, one = np.unique(at, return_index=True)
-                packed = batch.column(f"packed_{name}").take(pa.array(one)).to_pylist()
-                data, offsets = W.text_buffer(pa.array([zstandard.decompress(p) for p in packed], pa.large_binary()))
-                own: list[np.ndarray] = []
-                for start, stop in W.runs(offsets):
-                    values, begin = sets(
-                        data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start], width
-                    )
-                    own += np.split(values, begin[1:-1])
+                own = _unpacked(batch.column(f"packed_{name}").take(pa.array(one)).to_pylist(), width)
                 found.append((at, own))
             keep = []
             for i, j in zip(found[0][0].tolist(), found[1][0].tolist()):
@@ -167,15 +160,15 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int, width: int) -
     return both.mapInArrow(confirm, "a binary, b binary")
 
 
-def _texts(docs: DataFrame, key: str, text: str, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, packed): the text of one document of each class in the pairs."""
+def _texts(docs: DataFrame, key: str, text: str, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, packed): the text of one document of each class in ``nodes``."""
 
     @F.arrow_udf("binary")
     def pack(texts: pa.Array) -> pa.Array:
         return pa.array([zstandard.compress(t.encode(), 3) for t in texts.to_pylist()], pa.binary())
 
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b"))).distinct()
-    wanted = materialise(classes.join(nodes, "node", "left_semi").select("node", "first.key", "first.text_hash"), "wanted")
+    wanted = classes.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "first.key", "first.text_hash")
+    wanted = materialise(wanted, "wanted")
     maybe = bitmap(wanted, "text_hash")
     own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), hash_of(text).alias("_hash"))
     own = own.filter(maybe(F.col("_hash"))).select("_key", "_hash", pack("_text").alias("packed"))
@@ -183,34 +176,59 @@ def _texts(docs: DataFrame, key: str, text: str, classes: DataFrame, pairs: Data
     return materialise(joined.select("node", "packed").dropDuplicates(["node"]), "texts")
 
 
-def _compare(group: dict[str, np.ndarray], band: int, threshold: int, centre: bool) -> Iterator[tuple[bytes, bytes]]:
+def _unpacked(packed: list[bytes], width: int) -> list[np.ndarray]:
+    """The shingle sets of packed texts."""
+    own: list[np.ndarray] = []
+    for at in range(0, len(packed), 64):
+        part = [zstandard.decompress(p) for p in packed[at : at + 64]]
+        data, offsets = W.text_buffer(pa.array(part, pa.large_binary()))
+        for start, stop in W.runs(offsets):
+            values, begin = sets(data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start], width)
+            own += np.split(values, begin[1:-1])
+    return own
+
+
+def _compare(
+    group: dict[str, np.ndarray], band: int, threshold: int, nearest: int, width: int
+) -> Iterator[tuple[bytes, bytes]]:
     """Pairs of one cell, or of two cells of a bucket, in different components whose signatures come close.
 
-    centre: only pairs with the member that is most like the others; else each pair, in its first common band.
+    nearest: only so many pairs for each member, with those most like it, to be confirmed later; 0 for each pair, in
+    its first common band, confirmed here on the full sets, so that only links leave the task.
     """
-    least, (nodes, roots, cells, n, sigs) = _least_matches(threshold), group.values()
-    order = np.argsort(n, kind="stable")
-    nodes, roots, cells, n, sigs = (x[order] for x in (nodes, roots, cells, n, sigs))
-    if centre:
-        alike = np.array([(sigs == s).sum() for s in sigs])
-        i = int(alike.argmax())
-        rest = np.flatnonzero((roots != roots[i]) & ((sigs == sigs[i]).sum(axis=1) >= least))
-        yield from ((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in rest)
+    least, order = _least_matches(threshold), np.argsort(group["n"], kind="stable")
+    nodes, roots, cells, n, sigs = (group[c][order] for c in ("nodes", "roots", "cells", "n", "sigs"))
+    if nearest:
+        for i in range(len(n)):
+            alike = (sigs == sigs[i]).sum(axis=1)
+            alike[roots == roots[i]] = 0
+            for j in np.argsort(-alike, kind="stable")[:nearest].tolist():
+                if alike[j] >= least:
+                    yield min(nodes[i], nodes[j]), max(nodes[i], nodes[j])
         return
     split = (cells != cells[0]).any()
-    quads = np.ascontiguousarray(sigs).view(np.uint64)
+    quads, full = np.ascontiguousarray(sigs).view(np.uint64), None
     for i in range(len(n) - 1):
         rest = np.arange(i + 1, np.searchsorted(n, n[i] * 100 / threshold, side="right"))
         rest = rest[(roots[rest] != roots[i]) & (not split or cells[rest] != cells[i])]
         rest = rest[(sigs[rest] == sigs[i]).sum(axis=1) >= least] if len(rest) else rest
         if len(rest):
             first = (quads[rest] == quads[i]).argmax(axis=1)
-            mine = _band_keys(quads[i : i + 1])[0].view(np.int64)[first] == band
-            yield from ((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in rest[mine])
+            rest = rest[_band_keys(quads[i : i + 1])[0].view(np.int64)[first] == band]
+        if len(rest):
+            if full is None:
+                full = _unpacked(group["packed"][order].tolist(), width)
+            own = full[i]
+            sizes = n[rest]
+            values = np.concatenate([full[j] for j in rest])
+            place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+            shared = np.add.reduceat(own[place] == values, np.cumsum(sizes) - sizes)
+            linked = rest[100 * shared >= threshold * (n[i] + sizes - shared)]
+            yield from ((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in linked)
 
 
-def _cell_pairs(rows: DataFrame, threshold: int, centre: bool) -> DataFrame:
-    """Pairs (a, b) of all groups. rows: (band, one, two, cell, node, root, n, sig), a group per (band, one, two).
+def _cell_pairs(rows: DataFrame, threshold: int, width: int, nearest: int) -> DataFrame:
+    """Pairs (a, b) of all groups. rows: (band, one, two, cell, node, root, n, sig[, packed]), grouped by the first three.
 
     A group has at most about two cells. Groups follow each other in sorted partitions and are cut from the stream.
     """
@@ -224,12 +242,13 @@ def _cell_pairs(rows: DataFrame, threshold: int, centre: bool) -> DataFrame:
             "roots": table.column("root").to_numpy(),
             "cells": table.column("cell").to_numpy(),
             "n": table.column("n").to_numpy(),
+            "packed": np.array(table.column("packed").to_pylist() if nearest == 0 else [None] * table.num_rows, object),
             "sigs": np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, MINIMA),
         }
         found: set[tuple[bytes, bytes]] = set()
         for a, b in zip([0, *edge.tolist()], [*edge.tolist(), table.num_rows]):
             if b - a > 1:
-                found.update(_compare({k: v[a:b] for k, v in columns.items()}, keys[0, a], threshold, centre))
+                found.update(_compare({k: v[a:b] for k, v in columns.items()}, keys[0, a], threshold, nearest, width))
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +319,8 @@ def links(
         pairs = materialise(pairs, "pairs")
         if pairs.isEmpty():
             return pairs
-        return materialise(_confirmed(pairs, _texts(docs, key, text, classes, pairs), threshold, width), "links")
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+        return materialise(_confirmed(pairs, _texts(docs, key, text, classes, nodes), threshold, width), "links")
 
     # All pairs of buckets of two; in larger ones two pairs per class, with its least and its most frequent hub.
     hubs = large.groupBy("id").agg(F.min("hub").alias("a"), F.max_by("hub", "m").alias("c"))
@@ -308,20 +328,23 @@ def links(
     stars = stars.union(hubs.select("a", F.col("id").alias("b"))).union(hubs.select("c", F.col("id").alias("b")))
     found = settled(_signed_pairs(stars.filter("a != b").distinct(), classes, threshold))
 
-    # The centre of each class's largest bucket; a class goes by its least neighbour so far.
-    around = found.union(found.select("b", "a")).toDF("node", "other").groupBy("node").agg(F.min("other").alias("other"))
-    roots = around.select("node", F.least("node", "other").alias("root"))
-    largest = large.groupBy("id").agg(F.max(F.struct("m", "band")).alias("x")).select("x.band", "id", "x.m")
+    # Each class with its nearest ones of other components: in its largest bucket, then in all.
     columns = ("band", "one", "two", "cell", "node", "root", "n", "sig")
-    rows = _mixed(largest, classes, roots).withColumns({"one": F.col("cell"), "two": F.col("cell")})
-    found = found.union(settled(_cell_pairs(rows.select(*columns), threshold, centre=True)))
+    largest = large.groupBy("id").agg(F.max(F.struct("m", "band")).alias("x")).select("x.band", "id", "x.m")
+    for buckets, nearest in ((largest, 3), (large.select("band", "id", "m"), 1)):
+        roots = materialise(components(found), "roots")
+        rows = _mixed(buckets, classes, roots).withColumns({"one": F.col("cell"), "two": F.col("cell")})
+        found = found.union(settled(_cell_pairs(rows.select(*columns), threshold, width, nearest)))
 
-    # Whatever is still in different components.
+    # Whatever is still in different components: all pairs, confirmed where they meet.
     roots = materialise(components(found), "roots")
-    rows = _mixed(large.select("band", "id", "m"), classes, roots)
+    rows = materialise(_mixed(large.select("band", "id", "m"), classes, roots), "mixed")
+    if rows.isEmpty():
+        return found, roots
+    rows = rows.join(_texts(docs, key, text, classes, rows), "node")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     rows = rows.withColumn("one", F.least("cell", "other")).withColumn("two", F.greatest("cell", "other"))
-    more = settled(_cell_pairs(rows.select(*columns), threshold, centre=False))
+    more = materialise(_cell_pairs(rows.select(*columns, "packed"), threshold, width, nearest=0), "rest-links")
     return (found, roots) if more.isEmpty() else (found.union(more), None)
 
 
