@@ -15,7 +15,8 @@ __all__ = ["bitmap", "hash_of", "materialise", "read", "ready"]
 def ready(spark: SparkSession) -> SparkSession:
     """Bound Arrow batches by bytes: documents differ in length by five orders of magnitude."""
     tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
 
 
