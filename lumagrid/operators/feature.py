@@ -280,12 +280,13 @@ def feature_search(
 
 
 def feature_images(
-    hits: DataFrame, library: DataFrame | None = None, locations: bool = False
+    hits: DataFrame, library: DataFrame | None = None, locations: bool = False, features: DataFrame | None = None
 ) -> DataFrame:
     """(feature_id, image_id, match_count, best) per image with hits.
 
     ``locations`` adds the list of places in row order, as long as the image has hits; the flat
-    form is :func:`feature_search`. With ``library``, images without a hit appear with count 0.
+    form is :func:`feature_search`. With ``library`` and ``features``, every image appears for every feature,
+    with count 0 where it has no hit; the result then is as long as both together ask for.
     """
     found = [F.count("*").alias("match_count"), F.max("similarity").alias("best")]
     if locations:
@@ -294,8 +295,17 @@ def feature_images(
     counted = hits.groupBy("feature_id", "image_id").agg(*found)
     if library is None:
         return counted
-    return (
-        library.select("image_id")
-        .join(counted, "image_id", "left")
-        .withColumn("match_count", F.coalesce("match_count", F.lit(0).cast("bigint")))
+    if features is None:
+        raise ValueError("images without hits are counted per feature: give the features, too")
+    ids = F.sort_array(features.agg(F.collect_set("feature_id")).scalar())
+    every = library.select("image_id", F.explode(ids).alias("feature_id"))
+    return every.join(counted, ["feature_id", "image_id"], "left").withColumn(
+        "match_count", F.coalesce("match_count", F.lit(0).cast("bigint"))
     )
+
+
+def location_text(hits: DataFrame) -> DataFrame:
+    """(feature_id, image_id, locations): the places of each image as text, in row order."""
+    found = feature_images(hits, locations=True)
+    place = lambda p: F.concat(F.lit("("), p["x"].cast("string"), F.lit(","), p["y"].cast("string"), F.lit(")"))
+    return found.select("feature_id", "image_id", F.array_join(F.transform("locations", place), " ").alias("locations"))

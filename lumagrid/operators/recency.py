@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Results kept, and how long each lasts.
 KEPT = 20
 LIFETIME_SECONDS = 3600
 
@@ -36,13 +37,21 @@ def recent_live(log: DataFrame, as_of: Column | None = None, n: int = KEPT) -> D
 
 
 def reuse(requests: DataFrame, results: DataFrame) -> DataFrame:
-    """(result_key, requests, hit): which requested results are stored already.
+    """(seq, result_key, ts, hit): for each request whether its value was there.
 
-    Requests are counted per key first, so a key asked for very often is one row in the join.
-    The rows without a hit are the work left to run.
+    It was if the key was written before, by ``seq``, and last less than an hour before the request. Both sides
+    (seq, ts, result_key); the last write before a request is found by one window over both.
     """
-    wanted = requests.groupBy("result_key").agg(F.count("*").alias("requests"))
-    stored = results.select("result_key").distinct().withColumn("hit", F.lit(True))
-    return wanted.join(stored, "result_key", "left").withColumn(
-        "hit", F.coalesce("hit", F.lit(False))
+    sides = results.select("seq", "ts", "result_key", F.lit(True).alias("put")).unionByName(
+        requests.select("seq", "ts", "result_key", F.lit(False).alias("put"))
     )
+    written = F.last(F.when(F.col("put"), F.col("ts")), ignorenulls=True)
+    earlier = Window.partitionBy("result_key").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    age = F.timestamp_diff("SECOND", F.col("written"), F.col("ts"))
+    asked = sides.withColumn("written", written.over(earlier)).filter(~F.col("put"))
+    return asked.select("seq", "result_key", "ts", F.coalesce(age < LIFETIME_SECONDS, F.lit(False)).alias("hit"))
+
+
+def misses(reused: DataFrame) -> DataFrame:
+    """(result_key, requests): the work left to run, each key once."""
+    return reused.filter(~F.col("hit")).groupBy("result_key").agg(F.count("*").alias("requests"))

@@ -29,7 +29,8 @@ def search_bins(bins: DataFrame, query: DataFrame, n: int = 5) -> DataFrame:
     """
     checks.count_of(n)
     probe = query.groupBy("gray").agg(F.sum("n").alias("qn"))
-    query_total = query.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    missing = F.raise_error(F.lit("the query image is missing")).cast("bigint")
+    query_total = F.coalesce(query.agg(F.sum("n")).scalar(), missing)
     shared = F.least("n", F.coalesce("qn", F.lit(0)))
     return (
         bins.join(F.broadcast(probe), "gray", "left")

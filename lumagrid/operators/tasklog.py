@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The states, fields and time format of a log line.
 STATUSES = ("STARTED", "COMPLETED", "FAILED")
 FIELDS = ("ts", "task_id", "task_type", "status", "details")
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -83,20 +84,38 @@ def append(records: DataFrame, path: str, numbered: bool = True) -> None:
     records.select(F.concat_ws("|", *number, *FIELDS).alias("value")).write.mode("append").text(path)
 
 
+def _text(spark, path: str) -> DataFrame:
+    """Lines with the place they stand at; a log that does not exist yet is empty."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "value string, file string, start bigint, place bigint")
+    placed = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    return placed
+
+
 def read_log(spark, path: str) -> DataFrame:
     """(seq, line) from a log written by :func:`append`."""
     parts = F.split("value", r"\|", 2)
-    return spark.read.text(path).select(
+    return _text(spark, path).select(
         parts[0].try_cast("bigint").alias("seq"), F.coalesce(F.get(parts, 1), F.lit("")).alias("line")
     )
 
 
 def read_plain_log(spark, path: str) -> DataFrame:
-    """(seq, line) from a log without numbers: ordered by time, a start before other records."""
-    ts = F.split("value", r"\|", 2)[0]
-    status = F.get(F.split("value", r"\|", 5), 3)
-    second = F.try_to_timestamp(ts, F.lit(TIME_FORMAT)).cast("bigint")
-    return spark.read.text(path).select(
-        (second * 2 + F.when(status == "STARTED", 0).otherwise(1)).alias("seq"),
-        F.col("value").alias("line"),
-    )
+    """(seq, line) from a log without numbers, in the order of its lines; several files by name.
+
+    A split of a file is read in order by one task, so lines are numbered within their split, and the splits'
+    line counts, one row each, are added up before it.
+    """
+    lines = _text(spark, path)
+    split = ["file", "start"]
+    within = lines.withColumn("task", F.shiftright("place", 33)).withColumn("line_no", F.col("place").bitwiseAND((1 << 33) - 1))
+    sizes = within.groupBy(*split, "task").agg(F.count("*").alias("n"), F.min("line_no").alias("first"))
+    before = F.sum("n").over(Window.orderBy(*split)) - F.col("n")
+    offsets = sizes.select(*split, (before - F.col("first")).alias("offset"))
+    return within.join(offsets, split).select((F.col("line_no") + F.col("offset")).alias("seq"), F.col("value").alias("line"))

@@ -236,14 +236,17 @@ ORACLES["feature_search"] = (
     _windows("score", "0.95") + "SELECT feature_id, image_id, x, y, similarity FROM found"
 )
 ORACLES["feature_images"] = _windows("score", "0.95") + _COUNTED
-ORACLES["feature_images_all"] = (
-    _windows("score", "0.95")
-    + f"""SELECT image_id, coalesce(match_count, 0) AS match_count, best
-FROM doc LEFT JOIN ({_COUNTED}) c USING (image_id) WHERE coalesce(feature_id, 0) = 0"""
-).replace("FROM found GROUP BY", "FROM found WHERE feature_id = 0 GROUP BY")
-ORACLES["feature_first"] = (
-    _windows("score", "0.95") + _COUNTED + " ORDER BY image_id, feature_id LIMIT 5"
-)
+ORACLES["feature_images_all"] = _windows("score", "0.95") + f"""
+SELECT f.feature_id::BIGINT AS feature_id, doc.image_id, coalesce(match_count, 0) AS match_count, best
+FROM doc CROSS JOIN (SELECT DISTINCT feature_id FROM feature) f
+LEFT JOIN ({_COUNTED}) c ON c.image_id = doc.image_id AND c.feature_id = f.feature_id"""
+ORACLES["feature_locations"] = _windows("score", "0.95") + """
+SELECT feature_id, image_id, string_agg('(' || x || ',' || y || ')', ' ' ORDER BY y, x) AS locations
+FROM found GROUP BY feature_id, image_id"""
+ORACLES["feature_first"] = _windows("score", "0.95") + f"""
+SELECT * EXCLUDE (place, total), greatest(total - 5, 0) AS more FROM (
+  SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY image_id) AS place,
+    count(*) OVER (PARTITION BY feature_id) AS total FROM ({_COUNTED}) c) WHERE place <= 5"""
 ORACLES["feature_search_count"] = (
     _windows("count", "0.9")
     + "SELECT feature_id, image_id, count(*) AS match_count FROM found GROUP BY ALL"
@@ -355,6 +358,12 @@ ORACLES["image_upsert"] = (
     _with(DOC, VEC)
     + f"{_VEC_SIZES} UNION ALL {_DOC_SIZES} WHERE image_id NOT IN (SELECT image_id FROM vec)"
 )
+ORACLES["image_last_write"] = (
+    _with(DOC)
+    + """SELECT image_id % 150 AS image_id, width, height, len(b)::BIGINT AS pixels FROM doc
+WHERE image_id % 2 = 0 OR image_id % 3 = 1
+QUALIFY row_number() OVER (PARTITION BY image_id % 150 ORDER BY image_id % 3 = 1 DESC, image_id DESC) = 1"""
+)
 ORACLES["image_delete"] = (
     _with(DOC) + f"{_DOC_SIZES} WHERE image_id NOT IN (SELECT doc_id FROM labels)"
 )
@@ -406,6 +415,7 @@ LOG = """task_log AS (
   FROM events),
 latest AS (
   SELECT * FROM task_log QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY seq DESC) = 1)"""
+ORACLES["batch_upload"] = ORACLES["ingest_counters"]
 ORACLES["log_roundtrip"] = (
     _with(LOG) + "SELECT seq, ts, task_id, task_type, status, details FROM task_log"
 )
@@ -422,6 +432,7 @@ ORACLES["log_rejects"] = (
 UNION ALL SELECT seq, concat_ws('|', ts, task_id, task_type), 'too few parts'
 FROM task_log WHERE task_type = 'error' AND value > 50"""
 )
+ORACLES["log_plain_latest"] = _with(LOG) + "SELECT task_id, task_type, status, details FROM latest"
 ORACLES["log_latest"] = _with(LOG) + "SELECT task_id, status FROM latest"
 ORACLES["log_incomplete"] = (
     _with(LOG) + "SELECT task_id, status FROM latest WHERE status = 'STARTED'"
@@ -464,11 +475,14 @@ ORACLES["recent_results_live"] = (
   (SELECT max(ts) FROM access_log) - last_put >= INTERVAL 3600 SECOND, TRUE) AS expired
 FROM stats {_RECENT}"""
 )
-ORACLES["result_reuse"] = (
-    _with(ACCESS)
-    + """SELECT result_key, count(*) AS requests,
-  result_key IN (SELECT result_key FROM access_log WHERE op = 'put') AS hit
-FROM access_log WHERE op = 'get' GROUP BY result_key"""
+_REUSED = """SELECT seq, result_key, ts,
+  coalesce(epoch_us(ts) - epoch_us(written) < 3600000000, false) AS hit FROM (
+  SELECT *, last_value(CASE WHEN op = 'put' THEN ts END IGNORE NULLS) OVER (
+    PARTITION BY result_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS written
+  FROM access_log) WHERE op = 'get'"""
+ORACLES["result_reuse"] = _with(ACCESS) + _REUSED
+ORACLES["result_misses"] = (
+    _with(ACCESS) + f"SELECT result_key, count(*) AS requests FROM ({_REUSED}) WHERE NOT hit GROUP BY result_key"
 )
 ORACLES["result_preview"] = """SELECT doc_id,
   CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS preview FROM documents"""

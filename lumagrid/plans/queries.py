@@ -210,9 +210,13 @@ def feature_images(spark, folder):
 
 @query
 def feature_images_all(spark, folder):
-    return feature.feature_images(
-        _hits(spark, folder).filter(F.col("feature_id") == 0), inputs.doc_images(spark, folder)
-    ).select("image_id", "match_count", "best")
+    features = inputs.doc_features(spark, folder)
+    return feature.feature_images(_hits(spark, folder), inputs.doc_images(spark, folder), features=features)
+
+
+@query
+def feature_locations(spark, folder):
+    return feature.location_text(_hits(spark, folder))
 
 
 @query
@@ -361,6 +365,25 @@ def image_upsert(spark, folder):
     return _sizes(table.scan(spark, path))
 
 
+@query
+def image_last_write(spark, folder):
+    """Keys that repeat within a batch and across two batches: the last row of the last batch counts."""
+    rows = inputs.doc_images(spark, folder).withColumn("seq", F.col("image_id"))
+    rows = rows.withColumn("image_id", F.col("image_id") % 150)
+    path = fresh_dir(spark, "image-table")
+    for batch in (rows.filter("seq % 2 = 0"), rows.filter("seq % 3 = 1")):
+        table.ingest(spark, path, batch, BUCKETS, order="seq")
+    table.compact(spark, path, BUCKETS * 2)
+    return _sizes(table.scan(spark, path))
+
+
+@query
+def batch_upload(spark, folder):
+    scanned = _image_files(spark, folder)
+    path = fresh_dir(spark, "image-table")
+    return table.upload(spark, path, scanned, files.gray_images(scanned), BUCKETS)
+
+
 @query
 def image_delete(spark, folder):
     path = _stored(spark, folder)
@@ -376,8 +399,7 @@ def image_get(spark, folder):
 
 @query
 def image_exists(spark, folder):
-    path = _stored(spark, folder)
-    return table.count(spark, path).select((F.col("images") > 0).alias("has_images"))
+    return spark.range(1).select(F.lit(table.exists(spark, _stored(spark, folder))).alias("has_images"))
 
 
 @query
@@ -489,6 +511,16 @@ def log_rejects(spark, folder):
     return tasklog.rejected_lines(inputs.task_lines(spark, folder))
 
 
+@query
+def log_plain_latest(spark, folder):
+    """From a log without numbers, in which tasks have several records per second."""
+    path = fresh_dir(spark, "plain-log")
+    ordered = inputs.task_log(spark, folder).withColumn("ts", F.substring("ts", 1, 10)).orderBy("seq")
+    tasklog.append(ordered.withColumn("ts", F.concat("ts", F.lit(" 00:00:00"))), path, numbered=False)
+    records = tasklog.parse_lines(tasklog.read_plain_log(spark, path))
+    return tasklog.latest(records).select("task_id", "task_type", "status", "details")
+
+
 @query
 def log_latest(spark, folder):
     return tasklog.latest(inputs.task_log(spark, folder)).select("task_id", "status")
@@ -540,6 +572,11 @@ def result_reuse(spark, folder):
     return recency.reuse(log.filter(F.col("op") == "get"), log.filter(F.col("op") == "put"))
 
 
+@query
+def result_misses(spark, folder):
+    return recency.misses(result_reuse(spark, folder))
+
+
 @query
 def result_preview(spark, folder):
     docs = inputs.read(spark, folder, "documents")

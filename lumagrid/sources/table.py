@@ -1,9 +1,12 @@
 """The image table: one Parquet row per image, keyed by image_id.
 
-Rows are spread over ``bucket`` partitions by a hash of the key; the number of buckets is itself
-a partition value, so readers need not be told. A change rewrites only the buckets it touches
-(dynamic partition overwrite); a lookup reads one bucket. A deleted image stays as a row
-without data so that its bucket is rewritten, and is not seen by any read.
+A change never touches what is stored. It writes the changed rows, a deleted image as a row without data, to a
+version folder of its own and then publishes the version by an empty file; readers take published versions
+only, the newest row of each key counts. What an interrupted change leaves behind is never read. ``compact``
+writes all living rows as a new base when the changes have grown; it may also change the number of buckets.
+
+Rows are spread over ``bucket`` partitions by a hash of the key, so that a lookup reads one bucket of each version; the
+number of buckets is itself a partition value, so readers need not be told.
 """
 
 from __future__ import annotations
@@ -13,12 +16,12 @@ from pyspark.sql import functions as F
 
 from lumagrid.functions import histograms as H
 from lumagrid.operators.histogram import with_histogram
-from lumagrid.session import materialise
 
 BUCKETS = 64
 COLUMNS = ("image_id", "width", "height", "hist", "gray")
 LAYOUT = ("buckets", "bucket")
-HIDDEN = ("deleted", *LAYOUT)
+HIDDEN = ("deleted", "version", *LAYOUT)
+PUBLISHED = "_published"
 
 
 def bucket_of(key: Column) -> Column:
@@ -108,57 +111,103 @@ def _clustered(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *[F.col(c) for c in LAYOUT]).sortWithinPartitions(*LAYOUT, "image_id")
 
 
-def create(rows: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """First write. Choose ``buckets`` so that one of them holds a few GB."""
-    rows = _placed(rows.withColumn("deleted", F.lit(False)), buckets)
-    _clustered(rows).write.partitionBy(*LAYOUT).parquet(path)
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def _buckets(stored: DataFrame) -> int:
-    return stored.select("buckets").first()[0]
+def _names(spark: SparkSession, path: str) -> list[str]:
+    system, where = _folder(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(where)] if system.exists(where) else []
 
 
-def _change(spark: SparkSession, path: str, changed: DataFrame) -> None:
-    """Replace the rows of ``changed`` (one per key) in the buckets they fall into."""
-    stored = spark.read.parquet(path)
-    changed = _placed(changed, _buckets(stored))
-    changed = changed.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema])
-    changed = materialise(changed, "changes")
-    # The semi join on the partition columns prunes the scan to the touched buckets.
-    touched = stored.join(changed.select(*LAYOUT).distinct(), [*LAYOUT], "left_semi")
-    rest = touched.join(changed.select(*LAYOUT, "image_id"), [*LAYOUT, "image_id"], "left_anti")
-    (
-        _clustered(rest.unionByName(changed))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LAYOUT)
-        .parquet(path)
-    )
+def versions(spark: SparkSession, path: str) -> tuple[list[int], int]:
+    """Published versions from the newest base on, and the number of buckets; none for a table without a write."""
+    found = sorted((int(n), kind, int(b)) for n, kind, b in (x.split("-") for x in _names(spark, f"{path}/{PUBLISHED}")))
+    bases = [i for i, (_, kind, _) in enumerate(found) if kind == "base"]
+    if not bases:
+        return [], 0
+    return [n for n, _, _ in found[bases[-1] :]], found[bases[-1]][2]
 
 
-def put(spark: SparkSession, path: str, rows: DataFrame, order: str | None = None) -> None:
-    """Insert or replace images. With ``order``, the last row per key by that column counts."""
+def _publish(spark: SparkSession, path: str, rows: DataFrame, kind: str, buckets: int) -> None:
+    """Write a version and make it known. Several writers at once need a lock of their own."""
+    used = [int(x.partition("=")[2]) for x in _names(spark, path) if x.startswith("version=")]
+    number = max(used, default=0) + 1
+    _clustered(_placed(rows, buckets)).write.partitionBy(*LAYOUT).parquet(f"{path}/version={number}")
+    system, where = _folder(spark, f"{path}/{PUBLISHED}/{number}-{kind}-{buckets}")
+    system.create(where).close()
+
+
+def _one_per_key(rows: DataFrame, order: str | None) -> DataFrame:
     if order:
-        rows = last_per_key(rows, order).drop(order)
-    _change(spark, path, rows.withColumn("deleted", F.lit(False)))
+        return last_per_key(rows, order).drop(order)
+    if not rows.groupBy("image_id").count().filter("count > 1").isEmpty():
+        raise ValueError("several rows of one image; name the column that orders them")
+    return rows
+
+
+def create(rows: DataFrame, path: str, buckets: int = BUCKETS, order: str | None = None) -> None:
+    """First write; nothing is written without rows. Choose ``buckets`` so that one of them holds a few GB."""
+    rows = _one_per_key(rows, order)
+    if not rows.isEmpty():
+        _publish(rows.sparkSession, path, rows.withColumn("deleted", F.lit(False)), "base", buckets)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of the published versions."""
+    numbers, _ = versions(spark, path)
+    if not numbers:
+        raise FileNotFoundError(f"no image table at {path}")
+    return spark.read.option("basePath", path).parquet(*(f"{path}/version={n}" for n in numbers))
+
+
+def _living(stored: DataFrame, base: int) -> DataFrame:
+    """The newest row of each key unless it is deleted. Only keys of the changes are compared, no pixels."""
+    changed = stored.filter(F.col("version") > base).groupBy("image_id").agg(F.max("version").alias("newest"))
+    rows = stored.join(changed, "image_id", "left").filter(F.col("newest").isNull() | (F.col("version") == F.col("newest")))
+    return rows.filter(~F.col("deleted")).drop("newest")
+
+
+def _rows(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
+    stored, (numbers, _) = _stored(spark, path), versions(spark, path)
+    stored = stored if where is None else stored.filter(where)
+    return _living(stored, numbers[0]) if len(numbers) > 1 else stored.filter(~F.col("deleted"))
+
+
+def put(spark: SparkSession, path: str, rows: DataFrame, order: str | None = None) -> None:
+    """Insert or replace images. The last row per key by ``order`` counts; without it a key may not repeat."""
+    rows = _one_per_key(rows, order)
+    stored = _stored(spark, path)
+    rows = rows.withColumn("deleted", F.lit(False))
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema if f.name not in (*LAYOUT, "version")])
+    if not rows.isEmpty():
+        _publish(spark, path, rows, "change", versions(spark, path)[1])
 
 
 def delete(spark: SparkSession, path: str, keys: DataFrame) -> None:
     """Remove images; keys the table does not hold are ignored."""
-    stored = spark.read.parquet(path)
-    known = _placed(keys.select("image_id").distinct(), _buckets(stored))
-    gone = stored.filter(~F.col("deleted")).join(known, [*LAYOUT, "image_id"], "left_semi")
+    living = _rows(spark, path)
+    gone = living.select("image_id").join(keys.select("image_id").distinct(), "image_id", "left_semi")
     empty = [
         F.lit(None).cast(f.dataType).alias(f.name)
-        for f in stored.schema
+        for f in living.schema
         if f.name not in ("image_id", *HIDDEN)
     ]
-    _change(spark, path, gone.select("image_id", *empty).withColumn("deleted", F.lit(True)))
+    gone = gone.select("image_id", *empty, F.lit(True).alias("deleted"))
+    if not gone.isEmpty():
+        _publish(spark, path, gone, "change", versions(spark, path)[1])
+
+
+def compact(spark: SparkSession, path: str, buckets: int | None = None) -> None:
+    """Write all living images as a new base, with another number of buckets if one is given."""
+    rows = _rows(spark, path).drop("version", *LAYOUT)
+    _publish(spark, path, rows, "base", buckets or versions(spark, path)[1])
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """All images; select the columns needed, the others are not read."""
-    return spark.read.parquet(path).filter(~F.col("deleted")).drop(*HIDDEN)
+    return _rows(spark, path).drop(*HIDDEN)
 
 
 def hist_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -170,37 +219,40 @@ def hist_scan(spark: SparkSession, path: str) -> DataFrame:
 
 def get(spark: SparkSession, path: str, image_id) -> DataFrame:
     """The image with this key: one bucket, and within it the row groups whose range holds it."""
-    stored = spark.read.parquet(path)
-    key = F.lit(image_id).cast(stored.schema["image_id"].dataType)
-    return stored.filter(
-        (F.col("bucket") == bucket_of(key)) & (F.col("image_id") == key) & ~F.col("deleted")
-    ).drop(*HIDDEN)
+    key = F.lit(image_id).cast(_stored(spark, path).schema["image_id"].dataType)
+    return _rows(spark, path, (F.col("bucket") == bucket_of(key)) & (F.col("image_id") == key)).drop(*HIDDEN)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return not scan(spark, path).isEmpty()
-    except Exception as failure:
-        if "PATH_NOT_FOUND" in str(failure):
-            return False
-        raise
+    return bool(versions(spark, path)[0]) and not scan(spark, path).isEmpty()
 
 
 def count(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path).agg(F.count("*").alias("images"))
 
 
-def ingest(spark: SparkSession, path: str, images: DataFrame, buckets: int = BUCKETS) -> None:
+def ingest(
+    spark: SparkSession, path: str, images: DataFrame, buckets: int = BUCKETS, order: str | None = None
+) -> None:
     """Packed images into the table with their histograms, creating it on first use.
 
-    ``buckets`` counts only when the table is created.
+    ``buckets`` counts only when the table is created. The last image per key by ``order`` counts; without it
+    a key may not repeat.
+    """
+    ordered = [order] if order else []
+    rows = with_histogram(images).select(*COLUMNS, *ordered)
+    if versions(spark, path)[0]:
+        put(spark, path, rows, order)
+    else:
+        create(rows, path, buckets, order)
+
+
+def upload(
+    spark: SparkSession, path: str, scanned: DataFrame, grays: DataFrame, buckets: int = BUCKETS, order: str | None = None
+) -> DataFrame:
+    """Scanned files into the table; (status, images) counts what was stored and what could not be read.
+
+    scanned: files with their size, -1 where they are broken; grays: the packed images of the others.
     """
-    rows = with_histogram(images).select(*COLUMNS)
-    try:
-        spark.read.parquet(path)
-    except Exception as failure:
-        if "PATH_NOT_FOUND" not in str(failure) and "UNABLE_TO_INFER_SCHEMA" not in str(failure):
-            raise
-        create(rows, path, buckets)
-        return
-    put(spark, path, rows)
+    ingest(spark, path, grays, buckets, order)
+    return outcome_counters(with_status(scanned))

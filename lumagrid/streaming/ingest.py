@@ -14,12 +14,12 @@ def ingest_stream(
     """Take what has arrived into the table at ``path`` and stop.
 
     Each micro-batch is an upsert by key, so a batch that is replayed after a failure leaves the
-    table as it was. ``order`` names the column that decides between rows of one key in a batch.
+    table as it was, and an empty one writes nothing. ``order`` names the column that decides between rows
+    of one key in a batch; without it a batch that repeats a key fails.
     """
 
     def take(batch: DataFrame, _: int) -> None:
-        rows = table.last_per_key(batch, order).drop(order) if order else batch
-        table.ingest(batch.sparkSession, path, rows, buckets)
+        table.ingest(batch.sparkSession, path, batch, buckets, order)
 
     return (
         images.writeStream.foreachBatch(take)

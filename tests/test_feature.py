@@ -104,8 +104,12 @@ def test_images_with_and_without_hits(spark, rng, pack):
     counted = feature.feature_images(hits, locations=True).collect()
     assert [(r.feature_id, r.image_id, r.match_count, r.best) for r in counted] == [(10, 1, 1, 1.0)]
     assert [(p.y, p.x, p.similarity) for p in counted[0].locations] == [(5, 7, 1.0)]
-    every = feature.feature_images(hits, library)
-    assert {r.image_id: r.match_count for r in every.collect()} == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
+    both = pack({10: features[10], 11: features[10][:2]}, "feature_id")
+    every = feature.feature_images(hits, library, features=both)
+    counts = {(r.feature_id, r.image_id): r.match_count for r in every.collect()}
+    assert counts == {(f, i): int((f, i) == (10, 1)) for f in (10, 11) for i in (1, 2, 3, 4, 5)}
+    with pytest.raises(ValueError):
+        feature.feature_images(hits, library)
 
 
 def test_arguments(spark, pack):

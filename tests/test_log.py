@@ -68,13 +68,32 @@ def test_plain_lines_are_the_records(spark, lines, tmp_path):
     assert rows_of(spark.read.text(str(tmp_path / "log"))) == rows_of(tasklog.to_lines(records).select("line"))
 
 
-def test_log_without_numbers(spark, tmp_path):
+def test_log_without_numbers_keeps_the_order_of_its_lines(spark, tmp_path):
+    """The later line wins, also within a second and where the time cannot be read."""
     (tmp_path / "plain.log").write_text(
-        "2024-01-01 10:00:00|T1|s|COMPLETED|same second\n2024-01-01 10:00:00|T1|s|STARTED|d\n"
-        "2024-01-01 10:00:01|T2|s|STARTED|d\n\n"
+        "2024-01-01 10:00:00|T1|s|COMPLETED|same second\n2024-01-01 10:00:00|T1|s|STARTED|again\n"
+        "2024-01-01 10:00:01|T2|s|STARTED|d\nnot a time|T3|s|STARTED|d\nnot a time|T3|s|FAILED|d\n\n"
     )
     records = tasklog.parse_lines(tasklog.read_plain_log(spark, str(tmp_path / "plain.log")))
-    assert rows_of(tasklog.incomplete(records).select("task_id")) == [("T2",)]
+    assert rows_of(tasklog.incomplete(records).select("task_id", "details")) == [("T1", "again"), ("T2", "d")]
+    assert rows_of(tasklog.latest(records).filter("task_id = 'T3'").select("status")) == [("FAILED",)]
+
+
+def test_plain_log_over_many_splits(spark, tmp_path):
+    lines = [f"t|T{i % 7}|s|{'STARTED' if i % 2 else 'FAILED'}|{i}" for i in range(3000)]
+    (tmp_path / "plain.log").write_text("\n".join(lines))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = tasklog.read_plain_log(spark, str(tmp_path / "plain.log")).orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [r.line for r in rows] == lines and [r.seq for r in rows] == list(range(3000))
+
+
+def test_missing_log_is_empty(spark, tmp_path):
+    assert tasklog.read_log(spark, str(tmp_path / "none")).count() == 0
+    assert tasklog.read_plain_log(spark, str(tmp_path / "none")).count() == 0
 
 
 def at(minute):
@@ -98,5 +117,11 @@ def test_recency(spark):
     assert live == {"A": True, "B": False, "C": True}  # A written an hour ago, C never
     early = recency.recent_live(log, F.lit(at(59)).cast("timestamp_ntz"))
     assert {r.result_key: r.expired for r in early.collect()}["A"] is False
-    reused = recency.reuse(log.filter("op = 'get'"), log.filter("op = 'put'"))
-    assert rows_of(reused) == [("A", 1, True), ("B", 1, True), ("C", 1, False)]
+    more = spark.createDataFrame(
+        [(0, at(-5), "A", "get"), (6, at(61), "A", "get"), (7, at(62), "C", "put"), (8, at(63), "C", "get")], log.schema
+    )
+    both = log.unionByName(more)
+    reused = recency.reuse(both.filter("op = 'get'"), both.filter("op = 'put'"))
+    hits = {r.seq: r.hit for r in reused.collect()}
+    assert hits == {0: False, 3: True, 4: False, 5: True, 6: False, 8: True}
+    assert rows_of(recency.misses(reused)) == [("A", 2), ("C", 1)]

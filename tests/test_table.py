@@ -60,6 +60,54 @@ def test_last_write_of_a_key_counts(spark, pack, path):
     assert (3, 2, 2, 4) in seen(spark, path) and len(seen(spark, path)) == 20
 
 
+def test_repeated_keys_need_an_order(spark, pack, path, tmp_path):
+    two = pack({3: np.zeros((2, 2))}).unionByName(pack({3: np.zeros((4, 4))}))
+    with pytest.raises(ValueError, match="several rows"):
+        table.ingest(spark, path, two, B)
+    with pytest.raises(ValueError, match="several rows"):
+        table.ingest(spark, str(tmp_path / "new"), two, B)
+    table.ingest(spark, path, two.withColumn("seq", F.col("width")), B, order="seq")
+    assert (3, 4, 4, 16) in seen(spark, path) and len(seen(spark, path)) == 20
+    table.ingest(spark, str(tmp_path / "new"), two.withColumn("seq", -F.col("width")), B, order="seq")
+    assert seen(spark, str(tmp_path / "new")) == [(3, 2, 2, 4)]
+
+
+def test_empty_first_batch(spark, pack, tmp_path):
+    where, images = str(tmp_path / "late"), pack({3: np.zeros((2, 2))})
+    table.ingest(spark, where, images.limit(0), B)
+    assert not table.exists(spark, where)
+    table.ingest(spark, where, images, B)
+    table.ingest(spark, where, images.limit(0), B)
+    assert seen(spark, where) == [(3, 2, 2, 4)]
+
+
+def test_interrupted_change_is_not_seen(spark, pack, path, monkeypatch):
+    before = seen(spark, path)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(table, "_clustered", fail)
+        with pytest.raises(OSError):
+            table.ingest(spark, path, pack({3: np.zeros((9, 9))}), B)
+    spark.read.parquet(f"{path}/version=1").write.parquet(f"{path}/version=2")  # written, not published
+    assert seen(spark, path) == before
+    table.ingest(spark, path, pack({3: np.zeros((5, 5))}), B)
+    assert (3, 5, 5, 25) in seen(spark, path) and len(seen(spark, path)) == 20
+
+
+def test_readers_keep_their_rows_and_changes_read_no_pixels(spark, pack, path):
+    old = table.scan(spark, path)
+    table.ingest(spark, path, pack({3: np.zeros((5, 5))}), B)
+    assert old.filter("width = 5").count() == 0 and old.count() == 20
+    plan = table.scan(spark, path).select("image_id")._jdf.queryExecution().executedPlan().toString()
+    assert "gray" not in plan
+    table.compact(spark, path, 2)
+    assert len(table.versions(spark, path)[0]) == 1 and table.versions(spark, path)[1] == 2
+    assert len(seen(spark, path)) == 20 and table.get(spark, path, 3).first().width == 5
+
+
 def test_delete_then_put_again(spark, pack, path):
     keys = spark.createDataFrame([(i,) for i in (*range(15), 500)], "image_id bigint")
     table.delete(spark, path, keys)
