@@ -13,6 +13,9 @@ brought together:
    contexts meet again with their bytes, cut into blocks aligned to the gram. The suffix array of the blocks
    (``suffix_array``) puts all places with nine equal blocks next to each other; the bytes before and after
    those blocks then tell the equal windows, the first of which stays.
+4. A gram with more contexts than one suffix array takes (the edge of a passage that many documents share) is left
+   out of step 3. Its windows meet one by one, by a hash of all their bytes, after each task has settled the
+   repeats among its own; so no group grows with the number of documents that share the passage.
 
 Edge cases: texts are UTF-8 bytes, null and empty ones have none; a text shorter than ``size`` loses nothing; documents
 of one key are told apart, and ordered, by a hash of their text, and rows that agree in both are one document; a
@@ -33,7 +36,7 @@ from lumagrid.llm import words as W
 from lumagrid.llm.common import bitmap, materialise, ready
 
 SIZE = 100
-#: Contexts that share one suffix array.
+#: Contexts that share one suffix array, at most; a gram with more of them is solved window by window.
 TOGETHER = 4096
 _TIE = 26
 
@@ -253,13 +256,20 @@ def _first_pass(known: DataFrame, shape: Shape) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _contexts(known: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
-    """(meet, key, text_hash, p, left, right, bytes): contexts, once for each three quarters they may share."""
-    lists = wanted.groupBy("key", "text_hash").agg(F.collect_list("at").alias("at"))
+def _met(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(key, text_hash, text, at, far): documents beside their wanted contexts, those of large grams in ``far``."""
+    lists = wanted.groupBy("key", "text_hash").agg(
+        F.collect_list(F.when(~F.col("large"), F.col("at"))).alias("at"),
+        F.collect_list(F.when(F.col("large"), F.col("at"))).alias("far"),
+    )
     lists = materialise(lists, "wanted-contexts")
     maybe = bitmap(lists.select(F.xxhash64("key", "text_hash").alias("h")), "h")
     own = known.filter(maybe(F.xxhash64("key", "text_hash"))).dropDuplicates(["key", "text_hash"])
-    met = own.join(lists, _equal(own, lists)).select(own["key"], own["text_hash"], "text", "at")
+    return own.join(lists, _equal(own, lists)).select(own["key"], own["text_hash"], "text", "at", "far")
+
+
+def _contexts(met: DataFrame, shape: Shape) -> DataFrame:
+    """(meet, key, text_hash, p, left, right, bytes): contexts, once for each three quarters they may share."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,6 +298,63 @@ def _contexts(known: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
     return met.mapInArrow(cut, "meet bigint, key bigint, text_hash int, p bigint, left int, right int, body binary")
 
 
+def _window_spans(met: DataFrame, shape: Shape) -> DataFrame:
+    """(key, text_hash, spans) of the repeated windows in contexts of large grams."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = W.text_buffer(batch.column("text"))
+            raw = data.tobytes()
+            named = batch.column("key").is_valid().to_numpy(zero_copy_only=False)
+            key, text_hash = batch.column("key").fill_null(0).to_numpy(), batch.column("text_hash").to_numpy()
+            by_doc = np.lexsort((text_hash, key, named))
+            far = batch.column("far")
+            doc = np.repeat(np.arange(len(batch)), far.value_lengths().to_numpy(zero_copy_only=False))
+            at = far.flatten().to_numpy()
+            # Documents in order, so that the repeats of a slice are settled by its first places.
+            rank = np.empty(len(batch), np.int64)
+            rank[by_doc] = np.arange(len(batch))
+            by = np.argsort(rank[doc], kind="stable")
+            doc, at = doc[by], at[by]
+            for a in range(0, len(at), TOGETHER):
+                own, p, left, right = doc[a : a + TOGETHER], *((x[a : a + TOGETHER]) for x in (at >> 20, (at >> 10) & 1023, at & 1023))
+                many = left + right - shape.size + 1
+                start = np.repeat(p - left, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                # Neighbouring contexts share windows: each place once, in order.
+                when = np.unique((np.repeat(rank[own], many) << 36) + start)
+                row, start = by_doc[when >> 36], when & ((1 << 36) - 1)
+                q = (offsets[row] + start).tolist()
+                digests = b"".join(hashlib.blake2b(raw[i : i + shape.size], digest_size=16).digest() for i in q)
+                w, v = np.frombuffer(digests, np.int64).reshape(-1, 2).T
+                order = np.lexsort((np.arange(len(w)), v, w))
+                head = np.ones(len(w), bool)
+                head[1:] = (w[order][1:] != w[order][:-1]) | (v[order][1:] != v[order][:-1])
+                first, later = np.sort(order[head]), np.sort(order[~head])
+                docs, edges = np.unique(rank[row[later]], return_index=True)
+                merged = [_merged(x, x + shape.size) for x in (np.split(start[later], edges[1:]) if len(docs) else [])]
+                spans = [(i, x["start"], x["stop"]) for i, own_spans in zip(by_doc[docs].tolist(), merged) for x in own_spans]
+                row_, start_, stop_ = np.array(spans, np.int64).reshape(-1, 3).T
+                # Settled spans need no meeting: any even deal does.
+                deal = W.mix((text_hash[row_].astype(np.int64) << 32 ^ start_).view(np.uint64)).view(np.int64)
+                rows = pa.array(np.concatenate((row[first], row_)))
+                found = batch.select(["key", "text_hash"]).take(rows)
+                columns = [
+                    np.concatenate((np.zeros(len(first), bool), np.ones(len(row_), bool))),
+                    np.concatenate((w[first], deal)),
+                    np.concatenate((v[first], start_)),
+                    np.concatenate((start[first], start_)),
+                    np.concatenate((start[first] + shape.size, stop_)),
+                ]
+                names = ["key", "text_hash", "settled", "w", "v", "start", "stop"]
+                yield pa.RecordBatch.from_arrays([*found.columns, *map(pa.array, columns)], names)
+
+    schema = "key bigint, text_hash int, settled boolean, w bigint, v bigint, start bigint, stop bigint"
+    rows = met.filter(F.size("far") > 0).mapInArrow(windows, schema)
+    place = F.rank().over(Window.partitionBy("w", "v", "settled").orderBy("key", "text_hash", "start"))
+    rows = rows.withColumn("place", place).filter("settled or place > 1")
+    return rows.select("key", "text_hash", F.array(F.struct("start", "stop")).alias("spans"))
+
+
 def repeats(bodies: list[bytes], left: np.ndarray, right: np.ndarray, rank: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """(context, start in the context's frame) of windows that a context of smaller (rank, start) has too.
 
@@ -425,16 +492,20 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = S
     settled, first = _first_pass(known.filter(F.octet_length("text") >= size), shape)
     order = ["key", "text_hash", F.shiftright("at", 20)]
     gram, context = Window.partitionBy("gram"), Window.partitionBy("gram", "context").orderBy(*order)
-    ranked = first.withColumn("rank", F.rank().over(context))
-    ranked = ranked.withColumns({"x": F.min("context").over(gram), "y": F.max("context").over(gram)})
-    ranked = ranked.filter("rank > 1 or x <> y").select("key", "text_hash", "at", "rank")
+    # Dealt by gram once, which serves both windows.
+    ranked = first.repartition("gram").withColumn("rank", F.rank().over(context))
+    several = F.sum(F.when(F.col("rank") == 1, 1)).over(gram)
+    ranked = ranked.withColumns({"x": F.min("context").over(gram), "y": F.max("context").over(gram), "n": several})
+    large = (F.col("n") > TOGETHER).alias("large")
+    ranked = ranked.filter("rank > 1 or x <> y").select("key", "text_hash", "at", "rank", large)
     ranked = materialise(ranked, "gram-occurrences")
     p, left, right = F.shiftright("at", 20), F.shiftright("at", 10).bitwiseAND(1023), F.col("at").bitwiseAND(1023)
     copies = ranked.filter("rank > 1").select(
         "key", "text_hash", F.array(F.struct((p - left).alias("start"), (p + right).alias("stop"))).alias("spans")
     )
-    contexts = _contexts(known, ranked.filter("rank = 1"), shape)
-    spans = settled.union(copies).union(_array_spans(contexts, shape))
+    met = _met(known, ranked.filter("rank = 1"))
+    contexts = _contexts(met.filter(F.size("at") > 0), shape)
+    spans = settled.union(copies).union(_array_spans(contexts, shape)).union(_window_spans(met, shape))
     return spans.groupBy("key", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 

@@ -125,6 +125,27 @@ def test_repeated_passages_are_removed_exactly(spark, monkeypatch, together):
     assert got == _removed(texts, 100)
 
 
+def test_passage_of_many_documents_gives_no_large_suffix_array(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "TOGETHER", 50)
+    largest, arrays = [], suffix._array_spans
+
+    def watched(contexts, shape):
+        largest.append(contexts.groupBy("meet").count().agg(F.max("count")).first()[0] or 0)
+        return arrays(contexts, shape)
+
+    monkeypatch.setattr(suffix, "_array_spans", watched)
+    rng = random.Random(7)
+    say = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    line, passage = say(80), say(240)
+    texts = [(i, say(60) + (line if i % 2 else passage) + say(rng.randint(20, 60)) + passage[: 110 * (i % 3)]) for i in range(300)]
+    # Neighbours that some of the documents share too, and repeats in one document.
+    texts += [(400 + i, f"{i}" * 30 + texts[i % 5][1][30:]) for i in range(20)] + [(500, (line + "-" * 30) * 6 + line)]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in suffix.remove(table).collect())
+    assert got == _removed(texts, 100)
+    assert max(largest) <= 50
+
+
 def test_repeated_rows_of_a_document_are_one(spark):
     rng = random.Random(1)
     body = "".join(rng.choice("abcdef") for _ in range(300))
