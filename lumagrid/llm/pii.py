@@ -51,6 +51,18 @@ ENDINGS = {
     ("cyrillic", "m"): ["ов", "ин"], ("cyrillic", "f"): ["ова", "ина"], ("cyrillic", "n"): ["енко", "ко"],
 }
 
+# Characters of an IBAN by country.
+IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
 _GENDER = {form: gender for gender, titles in TITLES.items() for title in titles for form in (title, title.upper())}
 _TITLE = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
 _WORDS = ("password", "passwd", "token", "secret", "api_key", "apikey")
@@ -94,6 +106,29 @@ def iban_check(value: str) -> int:
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97
 
 
+def card_in(value: str) -> int:
+    """Length of the longest card number that ``value`` starts with, cut only at separators; 0 if none."""
+    for stop in [len(value), *(i for i in range(len(value) - 1, 0, -1) if value[i] in " -")]:
+        digits = re.sub(r"\D", "", value[:stop])
+        if len(digits) < 13:
+            break
+        if luhn(digits) and len(set(digits)) > 1:
+            return stop
+    return 0
+
+
+def iban_in(value: str) -> int:
+    """Length of the IBAN that ``value`` starts with, cut only at spaces, where known to the country's length; 0 if none."""
+    known = IBAN_LENGTH.get(value[:2])
+    for stop in [len(value), *(i for i in range(len(value) - 1, 0, -1) if value[i] == " ")]:
+        own = value[:stop].replace(" ", "")
+        if stop < len(value) and (len(own) != known if known else len(own) < 15):
+            continue
+        if iban_check(own) == 1:
+            return stop
+    return 0
+
+
 def script_of(word: str) -> str:
     return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
 
@@ -103,8 +138,9 @@ def mentions(text: str) -> list[dict]:
     if not text or not hinted(text):
         return []
     found = []
-    for m in PATTERN.finditer(text):
-        kind = m.lastgroup
+    after = 0
+    while m := PATTERN.search(text, after):
+        kind, after = m.lastgroup, m.end()
         if kind == "title" or kind == "name":
             gender, at = _GENDER[m["title"]], m.start("name")
             parts = m["name"].split(" ")
@@ -115,15 +151,14 @@ def mentions(text: str) -> list[dict]:
                 at += len(part) + 1
             continue
         value, start, stop = m[kind], m.start(kind), m.end(kind)
-        if kind == "card":
-            digits = re.sub(r"\D", "", value)
-            if not luhn(digits) or len(set(digits)) == 1:
-                continue
-            entity = digits
-        elif kind == "iban":
-            entity = value.replace(" ", "")
-            if iban_check(entity) != 1:
+        if kind in ("card", "iban"):
+            # What follows a number may look like more of it; what is none may hold one further on.
+            size = card_in(value) if kind == "card" else iban_in(value)
+            stop = start + size
+            after = stop if size else start + 1
+            if not size:
                 continue
+            entity = re.sub(r"\D", "", value[:size]) if kind == "card" else value[:size].replace(" ", "")
         elif kind == "email":
             entity = value.lower()
         elif kind in ("phone", "ssn"):

@@ -214,6 +214,24 @@ def test_surrogates_keep_type_form_and_identity(spark):
     assert got != {r["doc_id"]: r["text"] for r in pii.replace(docs_of(spark, texts), b"other key").collect()}
 
 
+@pytest.mark.parametrize(
+    ("text", "shown"),
+    [
+        ("pay 4111111111111111 12/25 ok", ["4111111111111111"]),
+        ("4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+        ("4111-1111-1111-1111-12", ["4111-1111-1111-1111"]),
+        ("no 99 4111111111111111", ["4111111111111111"]),
+        ("BE68 5390 0754 7034 PAID", ["BE68 5390 0754 7034"]),
+        ("BE68539007547034 OK", ["BE68539007547034"]),
+        ("DE89 3704 0044 0532 0130 00 PAID", ["DE89 3704 0044 0532 0130 00"]),
+        ("AB12 4111111111111111", ["4111111111111111"]),
+        ("1234567890123456 12", []),
+    ],
+)
+def test_numbers_end_where_other_text_follows(text, shown):
+    assert [text[m["start"] : m["stop"]] for m in pii.mentions(text)] == shown
+
+
 def test_surrogates_never_collide(spark):
     rows = [("ip", f"{a}.{b}.1.1") for a in range(1, 10) for b in range(1, 10)] + [("given:latin:m", f"name{i}") for i in range(60)]
     table = spark.createDataFrame(rows + rows[:20], "kind string, entity string")
