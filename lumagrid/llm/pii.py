@@ -3,11 +3,15 @@
 Found are e-mail addresses, phone numbers, IPv4 addresses, payment cards (valid check digit), IBANs (valid
 check number), social security numbers, credentials, and names after a form of address. A mention is cut into
 entities: a name into given names and surname, so "Ms Anna Stone" and "Ms Stone" share a surrogate surname.
+The parts of a name are looked for again in the whole document, so a lone "Anna" or "Stone" gets them too. The
+gender of a name is that of any titled mention: "Dr Anna Stone" follows "Ms Anna Stone"; a name with titles of
+both genders keeps them apart.
 
 A surrogate is drawn with HMAC(key, kind, entity, attempt) and has the entity's form: digits for digits of the
 same script, letters for letters, the same separators, valid check digits, given names of the same gender and
-script. Collision checks keep distinct entities distinct: among entities of a kind that draw the same surrogate,
-one keeps it, the others, and any whose surrogate occurs in the corpus itself, draw again, until all differ.
+script. Collision checks keep distinct entities distinct: among entities of a kind (for names: of a script, whatever
+the gender) that draw the same surrogate, one keeps it, the others, and any whose surrogate occurs in the corpus
+itself, draw again, until all differ.
 This runs over the table of distinct entities, by shuffles. Documents with mentions then meet their
 surrogates in a join; documents without mentions pass by.
 
@@ -65,6 +69,7 @@ IBAN_LENGTH = {
 
 _GENDER = {form: gender for gender, titles in TITLES.items() for title in titles for form in (title, title.upper())}
 _TITLE = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
+_GENDERED = "^((?:given|surname):[a-z]+):[mfn]$"
 _WORDS = ("password", "passwd", "token", "secret", "api_key", "apikey")
 _NAME = r"(?:[^\W\d_a-zа-яß-öø-ÿ][^\W\d_]+(?:[-'’][^\W\d_]+)*)"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -80,6 +85,7 @@ PATTERN = re.compile(
     r"|(?:(?<!\w)(?i:password|passwd|token|secret|api_?key)[ \t]*[=:][ \t]*[\"']?(?P<secret>[^\s\"']{8,})[\"']?)"
     rf"|(?:(?<!\w)(?P<title>{_TITLE})\.?[  ](?P<name>{_NAME}(?: {_NAME}){{0,2}}))"
 )
+_WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)(?:[-'’][^\W\d_]+(?!\w))*")
 _DIGIT_OR_AT = re.compile(r"[\d@]")
 
 
@@ -166,7 +172,38 @@ def mentions(text: str) -> list[dict]:
         else:
             entity = value
         found.append({"kind": kind, "entity": entity, "start": start, "stop": stop})
-    return found
+    return _with_repeats(text, found)
+
+
+def _with_repeats(text: str, found: list[dict]) -> list[dict]:
+    """``found``, gender settled within the text, and every other place where a part of a found name stands."""
+    names = [m for m in found if m["kind"].startswith(("given:", "surname:"))]
+    if not names:
+        return found
+    kinds = {}
+    for m in names:
+        kinds.setdefault((m["kind"][:-1], m["entity"]), set()).add(m["kind"][-1])
+    known = {}
+    for m in names:
+        base = m["kind"][:-1]
+        told = kinds[base, m["entity"]] - {"n"}
+        if m["kind"][-1] == "n" and len(told) == 1:
+            m["kind"] = base + min(told)
+        known.setdefault(m["entity"], m["kind"])
+    more, at = [], 0
+    for word in _WORD.finditer(text):
+        pieces = [(word[0], word.start())]
+        if word[0].casefold() not in known:
+            pieces = [(x[0], word.start() + x.start()) for x in re.finditer(r"[^\W\d_]+", word[0])]
+        for shown, start in pieces:
+            if (kind := known.get(shown.casefold())) is None or shown[0].islower():
+                continue
+            stop = start + len(shown)
+            while at < len(found) and found[at]["stop"] <= start:
+                at += 1
+            if at == len(found) or found[at]["start"] >= stop:
+                more.append({"kind": kind, "entity": shown.casefold(), "start": start, "stop": stop})
+    return sorted(found + more, key=lambda m: m["start"])
 
 
 class _Draw:
@@ -266,23 +303,26 @@ def _surrogate_column(key: bytes):
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, entity, surrogate) for distinct (kind, entity): no two alike in a kind, none an entity itself.
 
+    Given names of a script count as one kind here, and so do surnames.
+
     A form with less room than it has entities (single digits, say) cannot be told apart by its form alone; after
     64 attempts such an entity gets a number appended.
     """
     drawn = _surrogate_column(key)
     entities = materialise(entities.select("kind", "entity").distinct(), "entities")
-    taken = entities.select("kind", F.col("entity").alias("surrogate"))
+    among = F.regexp_replace("kind", _GENDERED, "$1").alias("among")
+    taken = entities.select(among, F.col("entity").alias("surrogate"))
     open_, done = entities.withColumn("attempt", F.lit(0)), None
     for attempt in range(65):
         tried = open_.withColumn("surrogate", drawn("kind", "entity", "attempt"))
         if attempt == 64:
             tried = tried.withColumn("surrogate", F.concat("surrogate", F.lit("-"), F.hex(F.xxhash64("kind", "entity"))))
         tried = materialise(tried, "tried")
-        first = tried.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
-        kept = first.join(taken, ["kind", "surrogate"], "left_anti") if attempt < 64 else first
-        kept = materialise(kept.select("kind", "entity", "surrogate"), "assigned")
+        first = tried.groupBy(among, "surrogate").agg(F.min(F.struct("entity", "kind")).alias("e"))
+        kept = first.join(taken, ["among", "surrogate"], "left_anti") if attempt < 64 else first
+        kept = materialise(kept.select("e.kind", "e.entity", "surrogate"), "assigned")
         done = kept if done is None else done.union(kept)
-        taken = taken.union(kept.select("kind", "surrogate"))
+        taken = taken.union(kept.select(among, "surrogate"))
         open_ = tried.join(kept, ["kind", "entity"], "left_anti")
         open_ = materialise(open_.select("kind", "entity", (F.col("attempt") + 1).alias("attempt")), "collided")
         if open_.isEmpty():
@@ -290,6 +330,17 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     return done
 
 
+def resolved(entities: DataFrame) -> DataFrame:
+    """(kind, entity, as_kind) for distinct (kind, entity): names without a gender take the one they have elsewhere."""
+    entities = materialise(entities.select("kind", "entity").distinct(), "kinds")
+    base = F.regexp_extract("kind", _GENDERED, 1)
+    told = entities.filter(F.col("kind").rlike("^(given|surname):.*:[mf]$")).groupBy(base.alias("base"), "entity")
+    told = told.agg(F.min("kind").alias("told"), F.max("kind").alias("last")).filter("told = last").drop("last")
+    bare = F.when(F.col("kind").rlike("^(given|surname):.*:n$"), base)
+    found = entities.withColumn("base", bare).join(told, ["base", "entity"], "left")
+    return found.select("kind", "entity", F.coalesce("told", "kind").alias("as_kind"))
+
+
 def _find_all(texts: pa.Array) -> pa.Array:
     return pa.array([mentions(t) for t in texts.to_pylist()], _MENTION)
 
@@ -315,7 +366,9 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", counted: str | None
     hits = found.filter(F.size("_pii_found") > 0).withColumn("_pii_row", F.monotonically_increasing_id())
     hits = materialise(hits, "mentions")
     single = hits.select("_pii_row", F.explode("_pii_found").alias("m")).select("_pii_row", "m.*")
-    chosen = assign(single, key)
+    kinds = materialise(resolved(single), "resolved")
+    chosen = assign(kinds.select(F.col("as_kind").alias("kind"), "entity"), key)
+    chosen = kinds.join(chosen.withColumnRenamed("kind", "as_kind"), ["as_kind", "entity"]).drop("as_kind")
     single = single.join(chosen, ["kind", "entity"])
     single = single.groupBy("_pii_row").agg(
         F.collect_list(F.struct("kind", "start", "stop", "surrogate")).alias("_pii_chosen")

@@ -232,6 +232,27 @@ def test_numbers_end_where_other_text_follows(text, shown):
     assert [text[m["start"] : m["stop"]] for m in pii.mentions(text)] == shown
 
 
+def test_a_person_has_one_name_in_all_forms(spark):
+    texts = [
+        (1, "Anna came. Ms Anna Stone left; Anna's hat, STONE and a stone. Annabel too."),
+        (2, "Dr Anna Stone spoke."),
+        (3, "Dr Kim Stone, Mr Kim Reed and Ms Kim Reed."),
+    ]
+    got = {r["doc_id"]: r["text"] for r in pii.replace(docs_of(spark, texts), b"k").collect()}
+    m = re.fullmatch(r"(\S+) came\. Ms (\S+) (\S+) left; (\S+)'s hat, (\S+) and a stone\. Annabel too\.", got[1])
+    assert m[1] == m[2] == m[4] != "Anna" and m[5] == m[3].upper() != "STONE"
+    assert got[2] == f"Dr {m[2]} {m[3]} spoke."
+    assert "Kim" not in got[3] and f" {m[3]}, Mr " in got[3]
+
+
+def test_surrogate_names_are_nobody_elses(spark):
+    rows = [("given:latin:n", f"name{i}") for i in range(30)]
+    rows += [("given:latin:m", x.lower()) for x in pii.GIVEN["latin", "n"]] + [("given:latin:f", f"name{i}") for i in range(30)]
+    found = pii.assign(spark.createDataFrame(rows, "kind string, entity string"), b"key").collect()
+    assert len(found) == len(rows) == len({r["surrogate"] for r in found})
+    assert not {r["surrogate"] for r in found} & {entity for _, entity in rows}
+
+
 def test_surrogates_never_collide(spark):
     rows = [("ip", f"{a}.{b}.1.1") for a in range(1, 10) for b in range(1, 10)] + [("given:latin:m", f"name{i}") for i in range(60)]
     table = spark.createDataFrame(rows + rows[:20], "kind string, entity string")
