@@ -364,6 +364,11 @@ ORACLES["image_last_write"] = (
 WHERE image_id % 2 = 0 OR image_id % 3 = 1
 QUALIFY row_number() OVER (PARTITION BY image_id % 150 ORDER BY image_id % 3 = 1 DESC, image_id DESC) = 1"""
 )
+ORACLES["image_last_write_all"] = (
+    _with(DOC)
+    + """SELECT image_id // 2 AS image_id, width, height, len(b)::BIGINT AS pixels FROM doc
+QUALIFY row_number() OVER (PARTITION BY image_id // 2 ORDER BY image_id % 3 <> 0 DESC, image_id DESC) = 1"""
+)
 ORACLES["image_delete"] = (
     _with(DOC) + f"{_DOC_SIZES} WHERE image_id NOT IN (SELECT doc_id FROM labels)"
 )

@@ -377,6 +377,18 @@ def image_last_write(spark, folder):
     return _sizes(table.scan(spark, path))
 
 
+@query
+def image_last_write_all(spark, folder):
+    """As ``image_last_write``, with every row in one of the batches at least, and as many keys as half the rows."""
+    rows = inputs.doc_images(spark, folder).withColumn("seq", F.col("image_id"))
+    rows = rows.withColumn("image_id", F.expr("seq div 2"))
+    path = fresh_dir(spark, "image-table")
+    for batch in (rows.filter("seq % 3 <> 2"), rows.filter("seq % 3 <> 0")):
+        table.ingest(spark, path, batch, BUCKETS, order="seq")
+    table.compact(spark, path, BUCKETS * 2)
+    return _sizes(table.scan(spark, path))
+
+
 @query
 def batch_upload(spark, folder):
     scanned = _image_files(spark, folder)
