@@ -91,7 +91,7 @@ _DIGIT_OR_AT = re.compile(r"[\d@]")
 
 def hinted(text: str) -> bool:
     """False only if a text has no mention; far quicker than the pattern."""
-    if _DIGIT_OR_AT.search(text) or any(title in text for title in _GENDER):
+    if _DIGIT_OR_AT.search(text) or "AKIA" in text or "ASIA" in text or any(title in text for title in _GENDER):
         return True
     lower = text.lower()
     return any(word in lower for word in _WORDS)
