@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, quality, suffix, topk, warc
+from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, piece_counts, quality, suffix, topk, warc
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -110,6 +110,12 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op13_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it exceeds the window of 4,096 tokens."""
+    pieces = piece_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return piece_counts.count(read(spark, folder, "documents"), pieces, limit=4096)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -121,4 +127,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_minhash": op10_minhash,
+    "op13_piece_counts": op13_piece_counts,
 }
