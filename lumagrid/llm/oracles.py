@@ -83,8 +83,65 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM doc LEFT JOIN size USING (doc_id) JOIN component USING (doc_id)
 """
 
+
+
+def _codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds as a chain of tables: book0, then pick1 (nearest entries) and book1 (their floored means), and so on."""
+
+    def pick(n: int, book: str) -> str:
+        return f"""pick{n} AS MATERIALIZED (
+    SELECT v, vec_id, part, v_part, min(struct_pack(d := d, entry := entry)) AS best
+    FROM (SELECT k.v, k.vec_id, k.part, k.v_part, b.entry,
+                 list_sum(list_transform(list_zip(k.v_part, b.value), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+          FROM piece k JOIN {book} b USING (part))
+    GROUP BY v, vec_id, part, v_part
+)"""
+
+    def moved(n: int) -> str:
+        return f"""mean{n} AS (
+    SELECT part, entry, list(m ORDER BY pos) AS value
+    FROM (SELECT part, best.entry AS entry, pos, CAST(floor(sum(v_part[pos]) / count(*)) AS BIGINT) AS m
+          FROM pick{n}, unnest(range(1, len(v_part) + 1)) AS t(pos) GROUP BY part, best.entry, pos)
+    GROUP BY part, entry
+),
+book{n} AS MATERIALIZED (
+    SELECT part, entry, coalesce(m.value, b.value) AS value
+    FROM book{n - 1} b LEFT JOIN mean{n} m USING (part, entry)
+)"""
+
+    chain = ",\n".join(f"{pick(n, f'book{n - 1}')},\n{moved(n)}" for n in range(1, rounds + 1))
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS v, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS value
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+),
+piece AS MATERIALIZED (
+    SELECT v, vec_id, part, value[part * len(value) // {parts} + 1 : (part + 1) * len(value) // {parts}] AS v_part
+    FROM kept, unnest(range({parts})) AS t(part)
+),
+book0 AS MATERIALIZED (SELECT part, v - 1 AS entry, v_part AS value FROM piece WHERE v <= {entries}),
+{chain},
+{pick(rounds + 1, f"book{rounds}")},
+coded AS (
+    SELECT v, vec_id, string_agg(printf('%02x', CAST(best.entry AS INTEGER)), '' ORDER BY part) AS code,
+           CAST(sum(best.d) AS BIGINT) AS error
+    FROM pick{rounds + 1} GROUP BY v, vec_id
+),
+book AS (
+    SELECT sha256(string_agg(array_to_string(value, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}
+),
+labelled AS (SELECT c.*, k.label FROM coded c JOIN kept k USING (v)),
+by_label AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM labelled GROUP BY label)
+SELECT l.vec_id, l.code, l.error, b.label_error, book.codebooks_sha256
+FROM labelled l JOIN by_label b ON l.label IS NOT DISTINCT FROM b.label CROSS JOIN book
+"""
+
+
 LLM_ORACLES: dict[str, str] = {
     "op5_decontamination": OP5,
     "op8_topk": OP8,
     "op10_minhash": OP10,
+    "op12_codes": _codes(),
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, decontamination, html, language, minhash, pii, piece_counts, quality, suffix, topk, warc
+from lumagrid.llm import bpe, codes, decontamination, html, language, minhash, pii, piece_counts, quality, suffix, topk, warc
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -110,6 +110,12 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op12_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors: 8 parts, 16 entries, 6 rounds."""
+    found, book = codes.compress(read(spark, folder, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    return found.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(book)).alias("codebooks_sha256"))
+
+
 def op13_piece_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it exceeds the window of 4,096 tokens."""
     pieces = piece_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
@@ -127,5 +133,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_minhash": op10_minhash,
+    "op12_codes": op12_codes,
     "op13_piece_counts": op13_piece_counts,
 }
