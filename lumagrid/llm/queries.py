@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumagrid.llm import bpe, codes, decontamination, html, language, minhash, pii, piece_counts, quality, suffix, topk, warc
+from lumagrid.llm import bpe, codes, conversations, decontamination, html, language, minhash, pii, piece_counts, quality, suffix, topk, warc
 from lumagrid.llm.common import read
 from lumagrid.llm.oracles import LLM_ORACLES
 
@@ -110,6 +110,18 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of damaged conversations, the cheapest edits that repair them, and a digest of the result."""
+    given = read(spark, folder, "conversations")
+    found = conversations.repair(conversations.damage(given)).digests()
+    every = given.select("conv_id").distinct()
+    joined = every.join(found, every["conv_id"].eqNullSafe(found["key"]), "left").drop("key")
+    nothing = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in conversations.COUNTS}
+    nothing["audit"] = F.coalesce("audit", F.lit(""))
+    nothing["repaired_sha256"] = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))
+    return joined.withColumns(nothing)
+
+
 def op12_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Codes of all vectors: 8 parts, 16 entries, 6 rounds."""
     found, book = codes.compress(read(spark, folder, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
@@ -133,6 +145,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_language": op9_language,
     "op10_minhash": op10_minhash,
+    "op11_conversations": op11_conversations,
     "op12_codes": op12_codes,
     "op13_piece_counts": op13_piece_counts,
 }
