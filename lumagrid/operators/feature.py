@@ -1,4 +1,11 @@
-"""Local-feature search: a small template slid over every library image."""
+"""Local-feature search: a small template slid over every library image.
+
+A batch of templates within the broadcast bound is sent to the tasks once. More templates than that are dealt into
+blocks of bounded bytes, and the images are read once for each block: no pixel is joined or shuffled. There each image
+band has a summed-area table, from which the sums of the pixels under any part of any window come by four look-ups.
+The difference between such a sum and the template's own bounds the summed differences of the pixels from below, and
+through them the number of misses, so most windows are ruled out before a pixel is compared.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +20,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumagrid import checks
 from lumagrid.operators.cells import binary_cells
-from lumagrid.sizing import BROADCAST_ROWS, SLICE_ROWS, split_hot_keys, within_broadcast
+from lumagrid.session import fresh_dir
+from lumagrid.sizing import BROADCAST_BYTES, BROADCAST_ROWS, within_broadcast
 
 NEAR = 5  # gray steps within which a template pixel counts as matching
 BAND_PIXELS = 4 << 20
 FLUSH = 1 << 20  # hits handed on at a time
 
+SOON = 1 << 15  # pixels that are compared at once rather than ruled out
 FEW = 16  # a sixteenth of the windows left is few enough to look at them one by one
 
 
@@ -106,17 +115,70 @@ def _exact(image, feature, at, mode, most):
     return at, misses, diff
 
 
-def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float):
+def summed_areas(image: np.ndarray) -> np.ndarray:
+    """Sums of all pixels above and left of each corner, one row and column more than the image."""
+    table = np.zeros((image.shape[0] + 1, image.shape[1] + 1), np.int64)
+    np.cumsum(np.cumsum(image, axis=0, dtype=np.int64), axis=1, out=table[1:, 1:])
+    return table
+
+
+def _parts(feature: np.ndarray, count: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(top, left, bottom, right, sum) of a template cut into about ``count`` x ``count`` parts."""
+    rows, cols = (np.unique(np.linspace(0, size, count + 1).astype(int)) for size in feature.shape)
+    for top, bottom in zip(rows[:-1].tolist(), rows[1:].tolist()):
+        for left, right in zip(cols[:-1].tolist(), cols[1:].tolist()):
+            yield top, left, bottom, right, int(feature[top:bottom, left:right].sum(dtype=np.int64))
+
+
+def possible_windows(table: np.ndarray, feature: np.ndarray, mode: str, threshold: float) -> np.ndarray:
+    """Flat positions (y * width + x) of the windows that sums of parts do not rule out; no hit is among the others.
+
+    In a part of n pixels whose differences add up to d at least, pixels that match are off by ``near`` at most and
+    the others by 255, hence at least (d - near * n) / (255 - near) pixels miss. Ever finer parts are tried on the windows
+    left, until there are so few that comparing them is quicker.
+    """
+    (th, tw), (fh, fw) = table.shape, feature.shape
+    n, near, flat = fh * fw, NEAR - 1 if mode == "score" else NEAR, table.ravel()
+    rows, cols = th - fh, tw - fw
+    at = (np.arange(rows)[:, None] * tw + np.arange(cols)).ravel()
+    count = 1
+    while len(at) * n > SOON:
+        misses, diff = np.zeros(len(at)), np.zeros(len(at), np.int64)
+        for top, left, bottom, right, own in _parts(feature, count):
+            corner = at + top * tw + left
+            down, over = (bottom - top) * tw, right - left
+            gap = np.abs(flat[corner + down + over] - flat[corner + down] - flat[corner + over] + flat[corner] - own)
+            diff += gap
+            misses += np.maximum(0.0, (gap - near * (bottom - top) * over) / (255.0 - near))
+        if mode == "score":
+            fine = misses / n + diff / (255.0 * n) <= 2.0 * (1.0 - threshold) + 1e-9
+        else:
+            fine = misses <= _most_misses(mode, threshold, n) + 1e-9
+        at = at[fine]
+        if count >= min(8, max(fh, fw)):
+            break
+        count *= 2
+    y, x = np.divmod(at, tw)
+    return y * (tw - 1) + x
+
+
+def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float, table: np.ndarray | None = None):
     """(x, y, matching, summed difference) of the windows of one image that are hits.
 
     Misses only add up, so template pixels are charged to all windows at once until few windows can
-    still be hits; only those are compared in full.
+    still be hits; only those are compared in full. ``table``, the image's summed areas, rules out windows before that.
     """
     (h, w), (fh, fw) = image.shape, feature.shape
     n, shape = fh * fw, (h - fh + 1, w - fw + 1)
     most = _most_misses(mode, threshold, n)
-    groups = _by_value(feature, image)
     few = shape[0] * shape[1] // FEW
+    if table is not None:
+        at = possible_windows(table[: h + 1], feature, mode, threshold)
+        if 2 * len(at) <= shape[0] * shape[1] or len(at) * n <= SOON:
+            at, missed, diff = _exact(image, feature, at, mode, most)
+            y, x = np.divmod(at, w)
+            return _kept(x, y, missed, diff, n, mode, threshold)
+    groups = _by_value(feature, image)
     misses = _dense_sum(
         groups,
         image,
@@ -136,6 +198,11 @@ def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float):
             groups, image, shape, fw, lambda i, v: _gap(i, v).astype(np.uint16), np.uint16, 257
         )
         missed, diff = misses[y, x], sums[y, x]
+    return _kept(x, y, missed, diff, n, mode, threshold)
+
+
+def _kept(x, y, missed, diff, n: int, mode: str, threshold: float):
+    """The hits among compared windows."""
     matching = n - missed
     if mode == "score":
         keep = (matching / n + (1.0 - diff / n / 255.0)) / 2.0 >= threshold
@@ -144,29 +211,23 @@ def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float):
     return x[keep], y[keep], matching[keep], diff[keep]
 
 
-def _scanner(out: pa.Schema, mode: str, threshold: float, shipped=None):
-    """Kernel for ``mapInArrow``: hits of each image band for its own template or all shipped ones."""
+def _scanner(out: pa.Schema, mode: str, threshold: float, shipped, prune: bool):
+    """Kernel for ``mapInArrow``: hits of each image band for all shipped templates."""
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             column = {name: part.column(name) for name in part.schema.names}
             shape = zip(*(column[c].to_pylist() for c in ("width", "top", "starts")))
-            own = None
-            if shipped is None:
-                own = zip(
-                    column["feature_id"].to_pylist(),
-                    column["fwidth"].to_pylist(),
-                    binary_cells(column["feature"]),
-                )
             found, ids, rows, waiting = [], [], [], 0
             for row, (cell, (w, top, starts)) in enumerate(zip(binary_cells(column["gray"]), shape)):
                 image = cell.reshape(-1, w)
-                for feature_id, fw, data in [next(own)] if own else shipped.value:
+                table = summed_areas(image) if prune else None
+                for feature_id, fw, data in shipped.value:
                     feature = np.frombuffer(data, np.uint8).reshape(-1, fw)
                     band = image[: starts + len(feature) - 1]
                     if len(feature) > len(band) or fw > w:
                         continue
-                    x, y, matching, diff = _scan(band, feature, mode, threshold)
+                    x, y, matching, diff = _scan(band, feature, mode, threshold, table)
                     if len(x):
                         found.append((x, y + top, matching, diff, np.full(len(x), feature.size)))
                         ids += [feature_id] * len(x)
@@ -217,6 +278,26 @@ def _any_tall(images: DataFrame, band_pixels: int) -> bool:
     return not images.filter(pixels > band_pixels).select(F.lit(1)).isEmpty()
 
 
+def _blocks(features: DataFrame, max_rows: int, max_bytes: int) -> Iterator[list]:
+    """The features, block by block: dealt by a hash, then cut where a block has too many rows or bytes all the same."""
+    rows, size = features.agg(F.count("*"), F.coalesce(F.sum(F.length("gray")), F.lit(0))).first()
+    blocks = max(-(-rows // max_rows), -(-size // max_bytes), 1)
+    dealt = features.withColumn("block", F.pmod(F.xxhash64("feature_id"), F.lit(blocks)).cast("int"))
+    folder = fresh_dir(features.sparkSession, "feature-blocks")
+    dealt.repartition("block").write.partitionBy("block").parquet(folder)
+    stored = features.sparkSession.read.schema(dealt.schema).parquet(folder)
+    for block in range(blocks):
+        held, held_bytes = [], 0
+        for feature in stored.filter(F.col("block") == block).drop("block").toLocalIterator():
+            if held and (len(held) == max_rows or held_bytes + len(feature.gray) > max_bytes):
+                yield held
+                held, held_bytes = [], 0
+            held.append(feature)
+            held_bytes += len(feature.gray)
+        if held:
+            yield held
+
+
 def feature_search(
     images: DataFrame,
     features: DataFrame,
@@ -224,7 +305,7 @@ def feature_search(
     mode: str = "score",
     band_pixels: int = BAND_PIXELS,
     max_batch: int = BROADCAST_ROWS,
-    rows_per_slice: int = SLICE_ROWS,
+    block_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(feature_id, image_id, x, y, similarity, matching): every window that matches a feature.
 
@@ -233,7 +314,9 @@ def feature_search(
     ``int(n * threshold)`` pixels within 5. Features that do not fit an image are skipped.
 
     A batch of features within the broadcast bound is sent to the tasks once, and each image is read
-    once for all of them. More features than that meet the images in a join by slices.
+    once for all of them. Beyond it features are dealt into blocks of about ``max_batch`` rows or ``block_bytes`` at most;
+    each block is a job of its own, whose hits are written before the next block is read, so neither the driver nor
+    the plan grows with the features.
     """
     checks.share(threshold)
     if mode not in ("score", "count"):
@@ -249,27 +332,25 @@ def feature_search(
     )
     images = images.select("image_id", "width", "height", "gray")
     spread = _any_tall(images, band_pixels)
-    if within_broadcast(features, "gray", max_batch):
-        batch = features.select("feature_id", "width", "height", "gray").collect()
+
+    def hits(batch: list, prune: bool) -> DataFrame:
         shipped = spark.sparkContext.broadcast([(f.feature_id, f.width, bytes(f.gray)) for f in batch])
         overlap = max((f.height for f in batch), default=1) - 1
         bands = row_bands(images, F.lit(overlap), ["image_id"], spread, band_pixels)
+        return bands.mapInArrow(_scanner(to_arrow_schema(out), mode, threshold, shipped, prune), out)
+
+    features = features.select("feature_id", "width", "height", "gray")
+    if within_broadcast(features, "gray", max_batch, block_bytes):
+        found = hits(features.collect(), prune=False)
     else:
-        shipped = None
-        probes = features.select(
-            "feature_id",
-            F.col("width").alias("fwidth"),
-            F.col("height").alias("fheight"),
-            F.col("gray").alias("feature"),
-        )
-        fits = (F.col("fwidth") <= F.col("width")) & (F.col("fheight") <= F.col("height"))
-        left, right = split_hot_keys(images, probes, [], F.col("image_id"), rows_per_slice)
-        pairs = left.join(right, "slice").drop("slice").filter(fits)
-        bands = row_bands(pairs, F.col("fheight") - 1, ["image_id", "feature_id"], spread, band_pixels)
+        folder = fresh_dir(spark, "feature-hits")
+        for batch in _blocks(features, max_batch, block_bytes):
+            hits(batch, prune=True).write.mode("append").parquet(folder)
+        found = spark.read.schema(out).parquet(folder)
     size = F.col("size").cast("double")
     share = F.col("matching") / size
     closeness = F.lit(1.0) - F.col("abs_diff") / size / F.lit(255.0)
-    return bands.mapInArrow(_scanner(to_arrow_schema(out), mode, threshold, shipped), out).select(
+    return found.select(
         "feature_id",
         "image_id",
         "x",

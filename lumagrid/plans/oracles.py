@@ -230,6 +230,28 @@ def _windows(mode: str, threshold: str) -> str:
     )
 
 
+ORACLES["feature_search_many"] = (
+    _with(
+        DOC,
+        ITEM,
+        "template AS (SELECT image_id AS feature_id, b[1:30] AS f FROM item)",
+        """doc_line AS (
+  SELECT image_id, y, b[y * 32 + 1 : y * 32 + 32] AS line
+  FROM (SELECT image_id, b, unnest(range(height)) AS y FROM doc))""",
+        "place AS (SELECT image_id, y, x, line[x + 1 : x + 30] AS w FROM doc_line, (SELECT unnest(range(3)) AS x))",
+        """gaps AS (
+  SELECT feature_id, image_id, x, y, list_transform(list_zip(w, f), lambda z: abs(z[1] - z[2])) AS gap
+  FROM place CROSS JOIN template)""",
+        """scored AS (
+  SELECT feature_id, image_id, x, y, len(list_filter(gap, lambda g: g < 5))::BIGINT AS matching, list_sum(gap) AS diff FROM gaps)""",
+    )
+    + """SELECT * FROM (
+  SELECT feature_id, image_id, x::INT AS x, y::INT AS y, (matching::DOUBLE / 30.0::DOUBLE
+    + (1.0::DOUBLE - diff::DOUBLE / 30.0::DOUBLE / 255.0::DOUBLE)) / 2.0::DOUBLE AS similarity, matching FROM scored)
+WHERE similarity >= 0.95::DOUBLE"""
+)
+
+
 _COUNTED = """SELECT feature_id, image_id, count(*) AS match_count, max(similarity) AS best
 FROM found GROUP BY feature_id, image_id"""
 ORACLES["feature_search"] = (
@@ -359,10 +381,13 @@ ORACLES["image_upsert"] = (
     + f"{_VEC_SIZES} UNION ALL {_DOC_SIZES} WHERE image_id NOT IN (SELECT image_id FROM vec)"
 )
 ORACLES["image_last_write"] = (
-    _with(DOC)
-    + """SELECT image_id % 150 AS image_id, width, height, len(b)::BIGINT AS pixels FROM doc
-WHERE image_id % 2 = 0 OR image_id % 3 = 1
-QUALIFY row_number() OVER (PARTITION BY image_id % 150 ORDER BY image_id % 3 = 1 DESC, image_id DESC) = 1"""
+    _with(
+        DOC,
+        """written AS (
+  SELECT 2 AS batch, image_id // 2 AS key, * FROM doc UNION ALL SELECT 3, image_id // 3, * FROM doc)""",
+    )
+    + """SELECT key AS image_id, width, height, len(b)::BIGINT AS pixels FROM written
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY batch DESC, image_id DESC) = 1"""
 )
 ORACLES["image_last_write_all"] = (
     _with(DOC)

@@ -235,6 +235,18 @@ def watermark_images(spark, folder):
     return feature.feature_images(_hits(spark, folder, 0.98)).select("feature_id", "image_id", "match_count")
 
 
+@query
+def feature_search_many(spark, folder):
+    """The first 30 bytes of each benchmark item as a template; small batches, so that they go block by block."""
+    features = inputs.benchmark_images(spark, folder).select(
+        F.col("image_id").alias("feature_id"),
+        F.lit(30).alias("width"),
+        F.lit(1).alias("height"),
+        F.substring("gray", 1, 30).alias("gray"),
+    )
+    return feature.feature_search(inputs.doc_images(spark, folder), features, max_batch=64, block_bytes=600)
+
+
 @query
 def feature_plates(spark, folder):
     """A 64 x 64 template over 512 x 512 images, the sizes of the published timings."""
@@ -369,9 +381,9 @@ def image_upsert(spark, folder):
 def image_last_write(spark, folder):
     """Keys that repeat within a batch and across two batches: the last row of the last batch counts."""
     rows = inputs.doc_images(spark, folder).withColumn("seq", F.col("image_id"))
-    rows = rows.withColumn("image_id", F.col("image_id") % 150)
     path = fresh_dir(spark, "image-table")
-    for batch in (rows.filter("seq % 2 = 0"), rows.filter("seq % 3 = 1")):
+    for per_key in (2, 3):  # both batches hold all rows; the second has fewer keys
+        batch = rows.withColumn("image_id", F.expr(f"seq div {per_key}"))
         table.ingest(spark, path, batch, BUCKETS, order="seq")
     table.compact(spark, path, BUCKETS * 2)
     return _sizes(table.scan(spark, path))

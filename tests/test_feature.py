@@ -72,14 +72,41 @@ def test_bands_cover_every_window_once(spark, rng, pack):
         assert rows_of(found) == want
 
 
-def test_many_features_take_the_shuffle_path(spark, rng, pack):
+@pytest.mark.parametrize(("rows", "size"), [(1, 1 << 20), (100, 40), (3, 100)])
+def test_many_features_go_block_by_block(spark, rng, pack, rows, size):
     images, features = scene(rng)
-    want = brute(images, features, 0.75, "score")
-    for pixels in (feature.BAND_PIXELS, 200):
-        found = feature.feature_search(
-            pack(images), pack(features, "feature_id"), 0.75, band_pixels=pixels, max_batch=1, rows_per_slice=2
-        )
-        assert rows_of(found) == want
+    for mode, threshold in (("score", 0.75), ("count", 0.6), ("score", 0.0)):
+        want = brute(images, features, threshold, mode)
+        for pixels in (feature.BAND_PIXELS, 200):
+            found = feature.feature_search(
+                pack(images), pack(features, "feature_id"), threshold, mode, band_pixels=pixels, max_batch=rows, block_bytes=size
+            )
+            assert rows_of(found) == want
+
+
+def test_blocks_are_bounded_and_pixels_are_not_joined(spark, rng, pack):
+    features = {k: rng.integers(0, 256, (3, 5 + k % 4)).astype(np.uint8) for k in range(50)}
+    blocks = list(feature._blocks(pack(features, "feature_id"), 8, 100))
+    assert sorted(f.feature_id for b in blocks for f in b) == list(range(50))
+    assert all(len(b) <= 8 and (len(b) == 1 or sum(len(f.gray) for f in b) <= 100) for b in blocks)
+    images = pack({1: rng.integers(0, 256, (40, 40)).astype(np.uint8)})
+    plan = feature.feature_search(images, pack(features, "feature_id"), 0.9, max_batch=8)._jdf.queryExecution().toString()
+    assert "Join" not in plan and plan.count("Scan") <= 2  # the hits of all blocks are one table
+
+
+@pytest.mark.parametrize("mode", ["score", "count"])
+def test_summed_areas_rule_out_windows_and_never_a_hit(rng, mode):
+    smooth = np.add.outer(np.arange(120) * 2, np.sin(np.arange(150) / 9) * 60).astype(int) % 256
+    scenes = [smooth.astype(np.uint8), rng.integers(0, 256, (60, 70)).astype(np.uint8), np.full((30, 30), 255, np.uint8)]
+    for image in scenes:
+        small = np.clip(image[7:19, 5:16].astype(int) + rng.integers(-3, 4, (12, 11)), 0, 255).astype(np.uint8)
+        left = feature.possible_windows(feature.summed_areas(image), small, mode, 0.95)
+        hits = {y * image.shape[1] + x for _, _, x, y, *_ in brute({0: image}, {0: small}, 0.95, mode)}
+        assert hits and hits <= set(left.tolist())
+    # A picture with shades: nine of ten windows need no look at their pixels.
+    image, small = scenes[0], scenes[0][30:46, 40:56]
+    left = feature.possible_windows(feature.summed_areas(image), small, mode, 0.95)
+    assert len(left) < 0.1 * (120 - 15) * (150 - 15)
 
 
 def test_no_features_no_hits(spark, rng, pack):
