@@ -2,7 +2,8 @@
 
 Two forms with equal results. The pixel form unfolds pairs of images into pixel rows and
 aggregates them. The packed form compares whole images in an Arrow kernel and is the one for
-large libraries.
+large libraries; a batch of suspects beyond the broadcast bound, and images larger than a band, take the paths of
+``tamper_cells``.
 """
 
 from __future__ import annotations
@@ -11,11 +12,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lumagrid import checks
 from lumagrid.operators.cells import binary_cells
+from lumagrid.operators import tamper_cells as cells
 from lumagrid.operators.pixels import byte_values, image_lines
-from lumagrid.sizing import pair_up
+from lumagrid.sizing import BROADCAST_ROWS, pair_up, within_broadcast
 
 BLOCK = 16
 BLOCK_SHARE = 0.3
@@ -135,35 +138,39 @@ def _label_blocks(bad: np.ndarray) -> np.ndarray:
     return labels
 
 
-def _boxes(diff: np.ndarray, w: int, h: int, merge: bool) -> list[dict]:
-    """Regions of one image pair, largest first, then in row order."""
+def _bad_blocks(diff: np.ndarray, w: int, h: int) -> np.ndarray:
+    """Blocks with more than the share of differing pixels; edge blocks have their true size."""
     bh, bw = diff.shape
     tall = np.minimum(np.arange(1, bh + 1) * BLOCK, h) - np.arange(bh) * BLOCK
     wide = np.minimum(np.arange(1, bw + 1) * BLOCK, w) - np.arange(bw) * BLOCK
-    bad = diff > BLOCK_SHARE * np.outer(tall, wide)
-    by, bx = np.nonzero(bad)
+    return diff > BLOCK_SHARE * np.outer(tall, wide)
+
+
+def _boxes(diff: np.ndarray, w: int, h: int, top: int = 0, labels: np.ndarray | None = None) -> np.ndarray:
+    """(start_x, start_y, end_x, end_y, pixel_count) of the marked blocks, or of the groups that ``labels`` makes of them."""
+    by, bx = np.nonzero(_bad_blocks(diff, w, h) if labels is None else labels)
     count = diff[by, bx]
-    if merge and len(by):
-        group = _label_blocks(bad)[by, bx] - 1
+    low_y, low_x, top_y, top_x = by, bx, by, bx
+    if labels is not None and len(by):
+        group = labels[by, bx] - 1
         many = group.max() + 1
-        low_y, low_x = np.full(many, bh), np.full(many, bw)
+        low_y, low_x = np.full(many, diff.shape[0]), np.full(many, diff.shape[1])
         top_y, top_x = np.zeros(many, np.int64), np.zeros(many, np.int64)
         np.minimum.at(low_y, group, by), np.minimum.at(low_x, group, bx)
         np.maximum.at(top_y, group, by), np.maximum.at(top_x, group, bx)
         count = np.bincount(group, weights=count).astype(np.int64)
-    else:
-        low_y, low_x, top_y, top_x = by, bx, by, bx
-    order = np.lexsort((low_x, low_y, -count))
-    return [
-        {
-            "start_x": int(low_x[k]) * BLOCK,
-            "start_y": int(low_y[k]) * BLOCK,
-            "end_x": min(int(top_x[k]) * BLOCK + BLOCK, w) - 1,
-            "end_y": min(int(top_y[k]) * BLOCK + BLOCK, h) - 1,
-            "pixel_count": int(count[k]),
-        }
-        for k in order
-    ]
+    ends = np.minimum(top_x * BLOCK + BLOCK, w) - 1, np.minimum(top_y * BLOCK + BLOCK, h) - 1
+    return np.stack((low_x * BLOCK, low_y * BLOCK + top, ends[0], ends[1] + top, count), axis=1).astype(np.int64)
+
+
+def _largest_first(boxes: np.ndarray) -> np.ndarray:
+    """Regions by size, then in row order."""
+    return boxes[np.lexsort((boxes[:, 0], boxes[:, 1], -boxes[:, 4]))]
+
+
+def _differences(a: np.ndarray, b: np.ndarray, w: int, h: int, threshold: int) -> np.ndarray:
+    """Differing pixels per block."""
+    return _block_sums((np.where(a > b, a - b, b - a) > threshold).reshape(h, w))
 
 
 def _compare_kernel(threshold: int, merge: bool):
@@ -172,51 +179,90 @@ def _compare_kernel(threshold: int, merge: bool):
         matching, regions = [], []
         sizes = zip(width.to_pylist(), height.to_pylist())
         for a, b, (w, h) in zip(binary_cells(gray), binary_cells(suspect), sizes):
-            gap = np.where(a > b, a - b, b - a)
-            flags = (gap > threshold).reshape(h, w)
-            diff = _block_sums(flags)
+            diff = _differences(a, b, w, h, threshold)
             matching.append(w * h - int(diff.sum()))
-            regions.append(_boxes(diff, w, h, merge))
-        region = pa.struct(
-            [(k, pa.int32()) for k in ("start_x", "start_y", "end_x", "end_y")]
-            + [("pixel_count", pa.int64())]
-        )
+            labels = _label_blocks(_bad_blocks(diff, w, h)) if merge else None
+            regions.append(_largest_first(_boxes(diff, w, h, labels=labels)))
         return pa.StructArray.from_arrays(
-            [pa.array(matching, pa.int64()), pa.array(regions, pa.list_(region))],
-            names=["matching_pixels", "regions"],
+            [pa.array(matching, pa.int64()), cells.region_lists(regions)], names=["matching_pixels", "regions"]
         )
 
     # Kept from being planned twice by filters inferred from its result.
     return compare.asNondeterministic()
 
 
+def _in_cells(library, suspects, threshold, exclude_self, merge, cell_rows, band_pixels) -> DataFrame:
+    """Verdicts by the two-sided grid; with ``band_pixels`` for images that are cut into bands."""
+    regions = T.StructField("regions", T._parse_datatype_string(cells.REGIONS))
+    matching = T.StructField("matching", T.LongType())
+    total = F.col("width").cast("bigint") * F.col("height")
+    if band_pixels is None:
+
+        def whole(a, b, w, h, top):
+            diff = _differences(a, b, w, h, threshold)
+            labels = _label_blocks(_bad_blocks(diff, w, h)) if merge else None
+            return w * h - int(diff.sum()), _largest_first(_boxes(diff, w, h, labels=labels))
+
+        uncut = [df.withColumns({"top": F.lit(0), "rows": F.col("height")}) for df in (library, suspects)]
+        found = cells.compared_in_cells(*uncut, exclude_self, whole, [matching, regions], cell_rows)
+        return found.select("suspect_id", "image_id", F.col("matching").alias("matching_pixels"), total.alias("total_pixels"), "regions")
+
+    def band(a, b, w, h, top):
+        diff = _differences(a, b, w, h, threshold)
+        labels = _label_blocks(_bad_blocks(diff, w, h)) if merge else None
+        edges = (labels[0].tolist(), labels[-1].tolist()) if merge else ([], [])
+        return w * h - int(diff.sum()), _boxes(diff, w, h, top, labels), *edges
+
+    edges = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("first", "last")]
+    cut = [cells.bands(df, band_pixels) for df in (library, suspects)]
+    return cells.joined_bands(
+        cells.compared_in_cells(*cut, exclude_self, band, [matching, regions, *edges], cell_rows)
+    )
+
+
 def detect(
     library: DataFrame,
     suspects: DataFrame,
     threshold: int = checks.TAMPER_THRESHOLD,
     exclude_self: bool = True,
     merge: bool = False,
-    **sizes,
+    max_rows: int = BROADCAST_ROWS,
+    rows_per_slice: int = cells.CELL_ROWS,
+    band_pixels: int = cells.BAND_PIXELS,
 ) -> DataFrame:
     """(suspect_id, image_id, matching_pixels, total_pixels, similarity, regions) per same-size pair.
 
     ``suspects`` holds packed images with ``suspect_id``. A small batch of them is broadcast, so
-    the library is read once and not shuffled. ``merge`` joins adjoining blocks into one region.
+    the library is read once and not shuffled; a larger one meets it in cells of at most about ``rows_per_slice``
+    images on either side. ``merge`` joins adjoining blocks into one region. Images above ``band_pixels`` are compared
+    in bands by many tasks.
     """
     checks.gray_step(threshold)
-    paired = _same_size(library, suspects, exclude_self, sizes)
-    verdict = _compare_kernel(threshold, merge)("gray", "suspect_gray", "width", "height")
-    total = F.col("width").cast("bigint") * F.col("height")
-    return (
-        paired.select("suspect_id", "image_id", total.alias("total_pixels"), verdict.alias("v"))
-        .select(
-            "suspect_id",
-            "image_id",
-            F.col("v.matching_pixels").alias("matching_pixels"),
-            "total_pixels",
-            (F.col("v.matching_pixels") / F.col("total_pixels")).alias("similarity"),
-            F.col("v.regions").alias("regions"),
-        )
+    library = library.select("image_id", "width", "height", "gray")
+    suspects = suspects.select("suspect_id", "width", "height", "gray")
+    large = F.col("width").cast("bigint") * F.col("height") > band_pixels
+    tall = not suspects.filter(large).select(F.lit(1)).isEmpty()
+    every = (library, suspects)
+    if tall:
+        library, suspects = library.filter(~large), suspects.filter(~large)
+    if within_broadcast(suspects, "gray", max_rows):
+        paired = _same_size(library, suspects, exclude_self, {"max_rows": max_rows})
+        verdict = _compare_kernel(threshold, merge)("gray", "suspect_gray", "width", "height")
+        total = F.col("width").cast("bigint") * F.col("height")
+        found = paired.select("suspect_id", "image_id", total.alias("total_pixels"), verdict.alias("v"))
+        found = found.select("suspect_id", "image_id", F.col("v.matching_pixels"), "total_pixels", F.col("v.regions"))
+    else:
+        found = _in_cells(library, suspects, threshold, exclude_self, merge, rows_per_slice, None)
+    if tall:
+        cut = (df.filter(large) for df in every)
+        found = found.unionByName(_in_cells(*cut, threshold, exclude_self, merge, rows_per_slice, band_pixels))
+    return found.select(
+        "suspect_id",
+        "image_id",
+        "matching_pixels",
+        "total_pixels",
+        (F.col("matching_pixels") / F.col("total_pixels")).alias("similarity"),
+        "regions",
     )
 
 

@@ -345,9 +345,7 @@ ORACLES["tamper_best_per_key"] = (
     _tampered(DOC, "doc", _PLANTED)
     + "SELECT image_id, max(matching_pixels) AS matching_pixels FROM ranked GROUP BY image_id"
 )
-ORACLES["tamper_regions_merged"] = (
-    _tampered(DOC, "doc", _PLANTED, False)
-    + """, reach AS (
+_MERGED = """, reach AS (
   SELECT suspect_id, image_id, bx, "by", "by" * 100000 + bx AS label FROM bad
   UNION
   SELECT n.suspect_id, n.image_id, n.bx, n."by", r.label
@@ -359,7 +357,17 @@ SELECT suspect_id, image_id, min(start_x) AS start_x, min(start_y) AS start_y,
   max(end_x) AS end_x, max(end_y) AS end_y, sum(pixel_count)::BIGINT AS pixel_count
 FROM grouped JOIN bad USING (suspect_id, image_id, bx, "by")
 GROUP BY suspect_id, image_id, label"""
-)
+ORACLES["tamper_regions_merged"] = _tampered(DOC, "doc", _PLANTED, False) + _MERGED
+_ITEMS = _tampered(
+    ",\n".join((DOC, ITEM, _px("item"))),
+    "doc",
+    "SELECT image_id AS suspect_id, width, height, x, y, gray FROM item_px",
+    False,
+)
+ORACLES["tamper_regions_banded"] = _ITEMS + _MERGED
+ORACLES["tamper_rank_many"] = _ITEMS + """SELECT r.*, coalesce(n, 0)::INT AS region_count FROM ranked r
+LEFT JOIN (SELECT suspect_id, image_id, count(*) AS n FROM bad GROUP BY ALL) b
+  ON b.suspect_id = r.suspect_id AND b.image_id = r.image_id"""
 ORACLES["tamper_percent"] = (
     _tampered(DOC, "doc", _PLANTED, False)
     + "SELECT suspect_id, image_id, printf('%.2f%%', similarity * 100) AS share FROM ranked"

@@ -298,6 +298,26 @@ def tamper_rank_pixels(spark, folder):
     return tamper.block_ranking(tamper.tamper_blocks(compared)).drop("suspect_id")
 
 
+def _item_suspects(spark, folder):
+    return inputs.benchmark_images(spark, folder).withColumnRenamed("image_id", "suspect_id")
+
+
+@query
+def tamper_rank_many(spark, folder):
+    """Every benchmark item against all documents of its size, in cells of eight images on either side."""
+    images, suspects = inputs.doc_images(spark, folder), _item_suspects(spark, folder)
+    found = tamper.detect(images, suspects, exclude_self=False, max_rows=1, rows_per_slice=8)
+    return found.withColumn("region_count", F.size("regions")).drop("regions")
+
+
+@query
+def tamper_regions_banded(spark, folder):
+    """Merged regions of images in bands of two block rows, which the regions cross."""
+    images, suspects = inputs.doc_images(spark, folder), _item_suspects(spark, folder)
+    found = tamper.detect(images, suspects, exclude_self=False, merge=True, band_pixels=32 * 32)
+    return tamper.regions(found)
+
+
 @query
 def tamper_report(spark, folder):
     verdicts = tamper.detect(

@@ -57,6 +57,62 @@ def test_random_pairs_both_forms_and_split_join(spark, rng, pack):
     assert forms(library, suspects, max_rows=1, rows_per_slice=2) == small
 
 
+def verdicts_of(found):
+    return sorted((r.suspect_id, r.image_id, r.matching_pixels, r.total_pixels, [tuple(x) for x in r.regions]) for r in found.collect())
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_bands_and_cells_give_the_uncut_verdicts(spark, rng, pack, merge):
+    """Images over several bands and cells, with regions across the seams, against whole images."""
+    shapes = [(150, 70), (40, 300), (16, 16), (33, 17)]
+    images, suspects = {}, {}
+    for i in range(16):
+        base = rng.integers(0, 10, shapes[i % 4])
+        if i % 3:
+            base[20:120, 10:40] = 255  # one tall region over all seams
+        images[i] = base
+        suspects[i + 100 if i % 2 else i] = np.where(rng.random(base.shape) < 0.29, 200, rng.integers(0, 10, base.shape))
+    library, probes = pack(images), pack(suspects, "suspect_id")
+    whole = verdicts_of(tamper.detect(library, probes, merge=merge))
+    assert len(whole) == 4 * 16 - 8 and any(len(v[4]) > 1 for v in whole)
+    for pixels in (1, 1200, 5000):
+        assert verdicts_of(tamper.detect(library, probes, merge=merge, band_pixels=pixels)) == whole
+    assert verdicts_of(tamper.detect(library, probes, merge=merge, max_rows=1, rows_per_slice=3, band_pixels=1200)) == whole
+
+
+def test_a_large_image_goes_to_many_tasks(spark, pack):
+    """A region down the whole image, over 25 bands, is one region; a spiral across seams is joined as well."""
+    plain = np.zeros((1600, 64), np.uint8)
+    marked = plain.copy()
+    marked[:, :16] = 255
+    marked[8:, 48:64] = 255  # the first block of this column is marked by half
+    marked[1584:, :] = 255  # joins both at the bottom
+    found = tamper.detect(pack({1: plain}), pack({2: marked}, "suspect_id"), merge=True, band_pixels=64 * 64)
+    row = found.collect()[0]
+    assert [tuple(r) for r in row.regions] == [(0, 0, 63, 1599, int((marked > 0).sum()))]
+    assert row.matching_pixels == int((marked == 0).sum()) and row.total_pixels == 1600 * 64
+
+
+def test_ten_thousand_suspects_of_one_size(spark, rng, pack, monkeypatch):
+    library = {i: rng.integers(0, 60, (4, 8)) for i in range(30)}
+    many = {i: rng.integers(0, 60, (4, 8)) for i in range(10_000)}
+    groups = []
+    real = tamper.cells.compared_in_cells
+
+    def watched(left, right, *rest):
+        found = real(left, right, *rest)
+        groups.append(rest[-1])
+        return found
+
+    monkeypatch.setattr(tamper.cells, "compared_in_cells", watched)
+    found = tamper.detect(pack(library), pack(many, "suspect_id"), exclude_self=False)
+    got = {(r.suspect_id, r.image_id): r.matching_pixels for r in found.drop("regions").collect()}
+    assert groups == [tamper.cells.CELL_ROWS]
+    left, right = (np.stack([v.ravel() for v in d.values()]) for d in (library, many))
+    want = (np.abs(right[:, None, :] - left[None, :, :]) <= 20).sum(axis=2)
+    assert len(got) == want.size and all(got[j, i] == want[j, i] for j in range(0, 10_000, 7) for i in range(30))
+
+
 def test_changed_pixels_are_missing_from_the_matches(spark, rng, pack):
     plain = rng.integers(0, 256, (40, 40))
     changed = plain.copy()
