@@ -25,6 +25,7 @@ from lumagrid.sizing import BROADCAST_BYTES, BROADCAST_ROWS, within_broadcast
 
 NEAR = 5  # gray steps within which a template pixel counts as matching
 BAND_PIXELS = 4 << 20
+STACK_PIXELS = 1 << 20
 FLUSH = 1 << 20  # hits handed on at a time
 
 SOON = 1 << 15  # pixels that are compared at once rather than ruled out
@@ -130,17 +131,20 @@ def _parts(feature: np.ndarray, count: int) -> Iterator[tuple[int, int, int, int
             yield top, left, bottom, right, int(feature[top:bottom, left:right].sum(dtype=np.int64))
 
 
-def possible_windows(table: np.ndarray, feature: np.ndarray, mode: str, threshold: float) -> np.ndarray:
+def possible_windows(
+    table: np.ndarray, feature: np.ndarray, mode: str, threshold: float, starts: np.ndarray | None = None
+) -> np.ndarray:
     """Flat positions (y * width + x) of the windows that sums of parts do not rule out; no hit is among the others.
 
     In a part of n pixels whose differences add up to d at least, pixels that match are off by ``near`` at most and
     the others by 255, hence at least (d - near * n) / (255 - near) pixels miss. Ever finer parts are tried on the windows
-    left, until there are so few that comparing them is quicker.
+    left, until there are so few that comparing them is quicker. starts: the rows where windows may start, if not all.
     """
     (th, tw), (fh, fw) = table.shape, feature.shape
     n, near, flat = fh * fw, NEAR - 1 if mode == "score" else NEAR, table.ravel()
     rows, cols = th - fh, tw - fw
-    at = (np.arange(rows)[:, None] * tw + np.arange(cols)).ravel()
+    first = np.arange(rows) if starts is None else starts
+    at = (first[:, None] * tw + np.arange(cols)).ravel()
     count = 1
     while len(at) * n > SOON:
         misses, diff = np.zeros(len(at)), np.zeros(len(at), np.int64)
@@ -162,22 +166,16 @@ def possible_windows(table: np.ndarray, feature: np.ndarray, mode: str, threshol
     return y * (tw - 1) + x
 
 
-def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float, table: np.ndarray | None = None):
+def _scan(image: np.ndarray, feature: np.ndarray, mode: str, threshold: float):
     """(x, y, matching, summed difference) of the windows of one image that are hits.
 
     Misses only add up, so template pixels are charged to all windows at once until few windows can
-    still be hits; only those are compared in full. ``table``, the image's summed areas, rules out windows before that.
+    still be hits; only those are compared in full.
     """
     (h, w), (fh, fw) = image.shape, feature.shape
     n, shape = fh * fw, (h - fh + 1, w - fw + 1)
     most = _most_misses(mode, threshold, n)
     few = shape[0] * shape[1] // FEW
-    if table is not None:
-        at = possible_windows(table[: h + 1], feature, mode, threshold)
-        if 2 * len(at) <= shape[0] * shape[1] or len(at) * n <= SOON:
-            at, missed, diff = _exact(image, feature, at, mode, most)
-            y, x = np.divmod(at, w)
-            return _kept(x, y, missed, diff, n, mode, threshold)
     groups = _by_value(feature, image)
     misses = _dense_sum(
         groups,
@@ -211,31 +209,97 @@ def _kept(x, y, missed, diff, n: int, mode: str, threshold: float):
     return x[keep], y[keep], matching[keep], diff[keep]
 
 
+class _Stack:
+    """Image bands of one width one above the other, so that many small images are handled like one large one."""
+
+    def __init__(self, width: int, rows: list[int], bands: list[np.ndarray], tops: list[int], starts: list[int]):
+        self.image = np.concatenate([b.reshape(-1, width) for b in bands])
+        self.table = summed_areas(self.image)
+        self.rows, self.tops, self.starts = (np.array(x, np.int64) for x in (rows, tops, starts))
+        heights = np.array([b.size // width for b in bands], np.int64)
+        self.own = np.repeat(np.arange(len(bands)), heights)
+        self.begin = np.cumsum(heights) - heights
+        self.heights = heights
+
+    def scan(self, feature: np.ndarray, mode: str, threshold: float):
+        """(row of the batch, x, y, matching, summed difference) of the windows that are hits."""
+        (fh, fw), (h, w) = feature.shape, self.image.shape
+        place = np.arange(h) - self.begin[self.own]
+        starts = np.flatnonzero(place < np.minimum(self.starts, self.heights - fh + 1)[self.own])
+        if fw > w or not len(starts):
+            return None
+        at = possible_windows(self.table, feature, mode, threshold, starts)
+        n = feature.size
+        if 2 * len(at) <= len(starts) * (w - fw + 1) or len(at) * n <= SOON:
+            at, missed, diff = _exact(self.image, feature, at, mode, _most_misses(mode, threshold, n))
+            y, x = np.divmod(at, w)
+            x, y, matching, diff = _kept(x, y, missed, diff, n, mode, threshold)
+        else:
+            x, y, matching, diff = _scan(self.image, feature, mode, threshold)
+            fine = np.isin(y, starts)
+            x, y, matching, diff = x[fine], y[fine], matching[fine], diff[fine]
+        own = self.own[y]
+        return self.rows[own], x, y - self.begin[own] + self.tops[own], matching, diff
+
+
+def _stacks(column: dict[str, pa.Array]) -> Iterator[_Stack]:
+    """The image bands of a batch by width, in stacks of bounded size."""
+    shape = zip(*(column[c].to_pylist() for c in ("width", "top", "starts")))
+    by_width: dict[int, list] = {}
+    for row, (cell, (w, top, starts)) in enumerate(zip(binary_cells(column["gray"]), shape)):
+        if cell.size:
+            by_width.setdefault(w, []).append((row, cell, top, starts))
+    for w, bands in by_width.items():
+        held, size = [], 0
+        for band in bands:
+            if held and size + band[1].size > STACK_PIXELS:
+                yield _Stack(w, *zip(*held))
+                held, size = [], 0
+            held.append(band)
+            size += band[1].size
+        yield _Stack(w, *zip(*held))
+
+
+def _singles(column: dict[str, pa.Array], shipped, mode: str, threshold: float) -> Iterator[tuple]:
+    """(feature, row, x, y, matching, summed difference) of each image band and template with hits."""
+    shape = zip(*(column[c].to_pylist() for c in ("width", "top", "starts")))
+    for row, (cell, (w, top, starts)) in enumerate(zip(binary_cells(column["gray"]), shape)):
+        image = cell.reshape(-1, w)
+        for feature_id, fw, data in shipped:
+            feature = np.frombuffer(data, np.uint8).reshape(-1, fw)
+            band = image[: starts + len(feature) - 1]
+            if len(feature) > len(band) or fw > w:
+                continue
+            x, y, matching, diff = _scan(band, feature, mode, threshold)
+            if len(x):
+                yield feature_id, feature.size, np.full(len(x), row), x, y + top, matching, diff
+
+
+def _stacked(column: dict[str, pa.Array], shipped, mode: str, threshold: float) -> Iterator[tuple]:
+    """The same by stacks of bands and their summed areas."""
+    for stack in _stacks(column):
+        for feature_id, fw, data in shipped:
+            feature = np.frombuffer(data, np.uint8).reshape(-1, fw)
+            hits = stack.scan(feature, mode, threshold)
+            if hits is not None and len(hits[0]):
+                yield feature_id, feature.size, *hits
+
+
 def _scanner(out: pa.Schema, mode: str, threshold: float, shipped, prune: bool):
     """Kernel for ``mapInArrow``: hits of each image band for all shipped templates."""
 
     def scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             column = {name: part.column(name) for name in part.schema.names}
-            shape = zip(*(column[c].to_pylist() for c in ("width", "top", "starts")))
             found, ids, rows, waiting = [], [], [], 0
-            for row, (cell, (w, top, starts)) in enumerate(zip(binary_cells(column["gray"]), shape)):
-                image = cell.reshape(-1, w)
-                table = summed_areas(image) if prune else None
-                for feature_id, fw, data in shipped.value:
-                    feature = np.frombuffer(data, np.uint8).reshape(-1, fw)
-                    band = image[: starts + len(feature) - 1]
-                    if len(feature) > len(band) or fw > w:
-                        continue
-                    x, y, matching, diff = _scan(band, feature, mode, threshold, table)
-                    if len(x):
-                        found.append((x, y + top, matching, diff, np.full(len(x), feature.size)))
-                        ids += [feature_id] * len(x)
-                        rows.append(np.full(len(x), row))
-                        waiting += len(x)
-                    if waiting > FLUSH:
-                        yield _hits(out, found, ids, rows, column)
-                        found, ids, rows, waiting = [], [], [], 0
+            for feature_id, size, row, *hits in (_stacked if prune else _singles)(column, shipped.value, mode, threshold):
+                found.append((*hits, np.full(len(row), size)))
+                ids += [feature_id] * len(row)
+                rows.append(row)
+                waiting += len(row)
+                if waiting > FLUSH:
+                    yield _hits(out, found, ids, rows, column)
+                    found, ids, rows, waiting = [], [], [], 0
             if waiting:
                 yield _hits(out, found, ids, rows, column)
 
