@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumagrid.session import materialise, tune
 
-__all__ = ["bitmap", "hash_of", "materialise", "read", "ready"]
+__all__ = ["bitmap", "free", "hash_of", "materialise", "read", "ready"]
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -24,6 +24,16 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` has it."""
+    used, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def hash_of(text: str) -> Column:
     """Tells documents of one key apart; stable over scans, so that a document can be met again by a join."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

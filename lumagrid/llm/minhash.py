@@ -9,15 +9,15 @@ reaches the threshold; a component's id is its smallest document key.
    third of all rows is one node.
 2. 32 bands of 4 minima put classes into buckets. A similarity of 0.8 is missed by all bands with a
    probability below 1e-7. In buckets of more than two, each class is first held against the smallest members of
-   two of its buckets, then against the nearest members of other components. Those links merge nearly all of
-   a large group. At last every pair of members that are still in different components is compared,
-   in cells of bounded size that hold signatures and texts, and only links are written.
+   two of its buckets; those links merge most of a large group. Then every pair of members that are still in
+   different components is compared, in cells bounded in members and bytes that hold signatures and texts: the
+   most alike first, passing over pairs that links found before have joined, so that a cell gives a forest of links.
 3. Pairs whose signatures come within 4.5 standard deviations of the threshold are confirmed on
    the full sets of both texts.
 4. Components: large-star and small-star in turn until the edges stay the same; each round is a
    table in the shared folder.
 
-Edge cases: null, empty or wordless texts have an empty set and are components of their own; rows that
+Edge cases: columns of the documents may have any names; null, empty or wordless texts have an empty set and are components of their own; rows that
 agree in key and text are equal rows and share a result; a null key never becomes a component id unless
 all keys of the component are null; an empty table gives an empty result.
 """
@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.llm import words as W
-from lumagrid.llm.common import bitmap, hash_of, materialise, ready
+from lumagrid.llm.common import bitmap, free, hash_of, materialise, ready
 
 WIDTH = 5
 MINIMA, ROWS = 128, 4
 BANDS = MINIMA // ROWS
-#: Members of a bucket that are compared with each other in one piece.
-CELL = 512
+#: Members of a bucket, and shingles of theirs, that are compared with each other in one piece.
+CELL, CELL_SHINGLES = 512, 1 << 20
 
 WORD_BYTES = W.byte_class([0x20, *range(0x09, 0x0E)], invert=True)
 
@@ -95,7 +95,7 @@ def signatures(docs: DataFrame, key: str, text: str, width: int = WIDTH) -> Data
 
 
 def _band_rows(classes: DataFrame) -> DataFrame:
-    """(band, id): one row per class and band. An id stands for a node until its signature is fetched."""
+    """(band, id, n): one row per class and band. An id stands for a node until its signature is fetched."""
 
     @F.arrow_udf("array<bigint>")
     def keys(sigs: pa.Array) -> pa.Array:
@@ -104,7 +104,7 @@ def _band_rows(classes: DataFrame) -> DataFrame:
             pa.array(np.arange(len(quads) + 1) * BANDS, pa.int32()), pa.array(_band_keys(quads).reshape(-1).view(np.int64))
         )
 
-    return classes.select(F.explode(keys("sig")).alias("band"), F.xxhash64("node").alias("id"))
+    return classes.select(F.explode(keys("sig")).alias("band"), F.xxhash64("node").alias("id"), "n")
 
 
 def _band_keys(quads: np.ndarray) -> np.ndarray:
@@ -188,164 +188,161 @@ def _unpacked(packed: list[bytes], width: int) -> list[np.ndarray]:
     return own
 
 
-def _compare(
-    group: dict[str, np.ndarray], band: int, threshold: int, nearest: int, width: int
-) -> Iterator[tuple[bytes, bytes]]:
-    """Pairs of one cell, or of two cells of a bucket, in different components whose signatures come close.
+def _candidates(group: dict[str, np.ndarray], band: int, threshold: int) -> np.ndarray:
+    """(members i, members j, equal minima) of the pairs to confirm, most alike first; members rise by set size.
 
-    nearest: only so many pairs for each member, with those most like it, to be confirmed later; 0 for each pair, in
-    its first common band, confirmed here on the full sets, so that only links leave the task.
+    Pairs of one root are left out, those of one cell if the group holds two, those that sizes or signatures
+    rule out, and those that meet in an earlier band.
     """
-    least, order = _least_matches(threshold), np.argsort(group["n"], kind="stable")
-    nodes, roots, cells, n, sigs = (group[c][order] for c in ("nodes", "roots", "cells", "n", "sigs"))
-    if nearest:
-        for i in range(len(n)):
-            alike = (sigs == sigs[i]).sum(axis=1)
-            alike[roots == roots[i]] = 0
-            for j in np.argsort(-alike, kind="stable")[:nearest].tolist():
-                if alike[j] >= least:
-                    yield min(nodes[i], nodes[j]), max(nodes[i], nodes[j])
-        return
-    split = (cells != cells[0]).any()
-    quads, full = np.ascontiguousarray(sigs).view(np.uint64), None
+    least, n, roots, cells, sigs = _least_matches(threshold), group["n"], group["root"], group["cell"], group["sig"]
+    split, quads, found = (cells != cells[0]).any(), np.ascontiguousarray(sigs).view(np.uint64), []
     for i in range(len(n) - 1):
         rest = np.arange(i + 1, np.searchsorted(n, n[i] * 100 / threshold, side="right"))
         rest = rest[(roots[rest] != roots[i]) & (not split or cells[rest] != cells[i])]
-        rest = rest[(sigs[rest] == sigs[i]).sum(axis=1) >= least] if len(rest) else rest
+        alike = (sigs[rest] == sigs[i]).sum(axis=1) if len(rest) else rest
+        rest, alike = rest[alike >= least], alike[alike >= least]
         if len(rest):
             first = (quads[rest] == quads[i]).argmax(axis=1)
-            rest = rest[_band_keys(quads[i : i + 1])[0].view(np.int64)[first] == band]
-        if len(rest):
-            if full is None:
-                full = _unpacked(group["packed"][order].tolist(), width)
-            own = full[i]
-            sizes = n[rest]
-            values = np.concatenate([full[j] for j in rest])
-            place = np.minimum(np.searchsorted(own, values), len(own) - 1)
-            shared = np.add.reduceat(own[place] == values, np.cumsum(sizes) - sizes)
-            linked = rest[100 * shared >= threshold * (n[i] + sizes - shared)]
-            yield from ((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in linked)
-
-
-def _cell_pairs(rows: DataFrame, threshold: int, width: int, nearest: int) -> DataFrame:
-    """Pairs (a, b) of all groups. rows: (band, one, two, cell, node, root, n, sig[, packed]), grouped by the first three.
-
-    A group has at most about two cells. Groups follow each other in sorted partitions and are cut from the stream.
+            own = _band_keys(quads[i : i + 1])[0].view(np.int64)[first] == band
+            found.append(np.stack((np.full(own.sum(), i), rest[own], alike[own])))
+    if not found:
+        return np.zeros((3, 0), np.int64)
+    pairs = np.concatenate(found, axis=1)
+    return pairs[:, np.argsort(-pairs[2], kind="stable")]
+
+
+def _forest(group: dict[str, np.ndarray], band: int, threshold: int, width: int) -> Iterator[tuple[int, int]]:
+    """Confirmed pairs of members that join all members of one cell, or of two, that links join."""
+    pairs, labels, at, step = _candidates(group, band, threshold), group["root"].copy(), 0, 64
+    sets_of: dict[int, np.ndarray] = {}
+    while at < pairs.shape[1]:
+        part = pairs[:2, at : at + step]
+        at, step = at + step, min(2 * step, 8192)
+        part = part[:, labels[part[0]] != labels[part[1]]]
+        new = [k for k in np.unique(part).tolist() if k not in sets_of]
+        sets_of.update(zip(new, _unpacked(group["packed"].take(pa.array(new, pa.int64())).to_pylist(), width)))
+        part = part[:, np.argsort(part[0], kind="stable")]
+        edges = np.flatnonzero(np.diff(part[0], prepend=-1, append=-1))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            i, rest = int(part[0, a]), part[1, a:b]
+            rest = rest[labels[rest] != labels[i]]
+            if len(rest):
+                own, sizes = sets_of[i], group["n"][rest]
+                values = np.concatenate([sets_of[j] for j in rest.tolist()])
+                place = np.minimum(np.searchsorted(own, values), len(own) - 1)
+                shared = np.add.reduceat(own[place] == values, np.cumsum(sizes) - sizes)
+                for j in rest[100 * shared >= threshold * (len(own) + sizes - shared)].tolist():
+                    if labels[j] != labels[i]:
+                        labels[labels == labels[j]] = labels[i]
+                        yield i, j
+
+
+def _cell_links(rows: DataFrame, threshold: int, width: int) -> DataFrame:
+    """Links (a, b) of all groups. rows: (band, one, two, cell, node, root, n, sig, packed), grouped by the first three.
+
+    A group has two cells at most. Groups follow each other in sorted partitions and are cut from the stream, one
+    at a time.
     """
-    rows = rows.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two")
-
-    def done(table: pa.Table) -> pa.RecordBatch:
-        keys = np.stack([table.column(c).to_numpy() for c in ("band", "one", "two")])
-        edge = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-        columns = {
-            "nodes": np.array(table.column("node").to_pylist(), object),
-            "roots": table.column("root").to_numpy(),
-            "cells": table.column("cell").to_numpy(),
-            "n": table.column("n").to_numpy(),
-            "packed": np.array(table.column("packed").to_pylist() if nearest == 0 else [None] * table.num_rows, object),
-            "sigs": np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, MINIMA),
-        }
-        found: set[tuple[bytes, bytes]] = set()
-        for a, b in zip([0, *edge.tolist()], [*edge.tolist(), table.num_rows]):
-            if b - a > 1:
-                found.update(_compare({k: v[a:b] for k, v in columns.items()}, keys[0, a], threshold, nearest, width))
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+    rows = rows.repartition("band", "one", "two").sortWithinPartitions("band", "one", "two", "n")
+
+    def linked(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        group = {c: table.column(c).to_numpy() for c in ("root", "cell", "n")}
+        sigs = b"".join(table.column("sig").to_pylist())
+        group["sig"] = np.frombuffer(sigs, np.uint16).reshape(-1, MINIMA)
+        group["packed"] = table.column("packed")
+        found = list(_forest(group, table.column("band")[0].as_py(), threshold, width))
+        nodes = table.column("node")
+        sides = (nodes.take(pa.array([x[k] for x in found], pa.int64())).combine_chunks() for k in (0, 1))
+        return pa.RecordBatch.from_arrays([x.cast(pa.binary()) for x in sides], ["a", "b"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
+        held: list[pa.RecordBatch] = []
+        last = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            keys = np.stack([held.column(c).to_numpy() for c in ("band", "one", "two")])
-            open_from = int(np.argmax((keys == keys[:, -1:]).all(axis=0)))
-            if open_from:
-                yield done(held.slice(0, open_from))
-                held = held.slice(open_from).combine_chunks()
-        if held is not None and held.num_rows:
-            yield done(held)
+            keys = np.stack([batch.column(c).to_numpy() for c in ("band", "one", "two")])
+            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                own = tuple(keys[:, a].tolist()) if b > a else last
+                if held and own != last:
+                    yield linked(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = own
+        if held:
+            yield linked(pa.Table.from_batches(held))
 
     return rows.mapInArrow(cut, "a binary, b binary").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node in ``edges`` (a, b): root is the smallest node of its component.
+    """(node, root) of every node in ``edges`` (a, b): root is the smallest node of its component."""
+    stars = _stars(edges)
+    return stars.union(stars.select("root", "root").distinct())
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """(node, root) of every node in ``edges`` (a, b) but the roots themselves.
 
     Large-star hangs a node's larger neighbours on the smallest one it knows, small-star the smaller
-    ones; both in turn until nothing changes, which leaves one star per component.
+    ones; both in turn until nothing changes, which leaves one star per component. Edges point from the larger
+    node to the smaller one, so large-star looks up the smallest neighbour of each edge's end. No step makes more
+    edges than it was given, and repeated ones vanish in small-star.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b")
-    edges = materialise(edges.distinct(), "links")
     state = None
     while True:
-        around = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = around.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-        large = around.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a != b").distinct()
+        least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
+        large = edges.join(least, "b", "left").select("a", F.coalesce("m", "b").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = materialise(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "stars")
+        edges = materialise(small.union(least.select("a", F.col("m").alias("b"))), "stars")
         now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(xxhash64(b, a) % 1000003)"))
         now = tuple(now.first())
         if now == state:
-            break
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    )
 
 
 def _mixed(placed: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows (band, id, m) of buckets that span several roots, with root, cell and signature."""
+    """The rows (band, id, m, size) of buckets that span several roots, with root, cell and signature.
+
+    The buckets are told by a bitmap, which needs no shuffle by band; one that passes it by chance gives no pair.
+    """
     named = roots.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
     placed = placed.join(named, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    placed = materialise(placed.select("band", "id", "m", "root"), "placed")
+    placed = materialise(placed.select("band", "id", "m", "size", "root"), "placed")
     mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
-    cells = F.ceil(F.col("m") / F.lit(CELL)).cast("int")
-    rows = placed.join(mixed.select("band"), "band").withColumn("cells", cells)
+    some = bitmap(materialise(mixed.select("band"), "mixed-buckets"), "band")
+    cells = F.greatest(F.ceil(F.col("m") / F.lit(CELL)), F.ceil(F.col("size") / F.lit(CELL_SHINGLES))).cast("int")
+    rows = placed.filter(some(F.col("band"))).withColumn("cells", cells)
     rows = rows.withColumn("cell", F.pmod(F.hash("id"), F.col("cells")))
     return rows.join(classes.select(F.xxhash64("node").alias("id"), "node", "n", "sig"), "id")
 
 
-def links(
-    docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: int, width: int = WIDTH
-) -> tuple[DataFrame, DataFrame | None]:
-    """Confirmed links (a, b) between classes, enough of them to tell all components; those components if known."""
+def links(docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: int, width: int = WIDTH) -> DataFrame:
+    """Confirmed links (a, b) between classes, enough of them to tell all components."""
     bands = _band_rows(classes)
-    buckets = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("hub")).filter("m > 1")
-    members = materialise(bands.join(buckets, "band"), "members")
+    buckets = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("hub"), F.sum("n").alias("size"))
+    members = materialise(bands.drop("n").join(buckets.filter("m > 1"), "band"), "members")
     large = members.filter("m > 2")
 
-    def settled(pairs: DataFrame) -> DataFrame:
-        pairs = materialise(pairs, "pairs")
-        if pairs.isEmpty():
-            return pairs
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-        return materialise(_confirmed(pairs, _texts(docs, key, text, classes, nodes), threshold, width), "links")
-
     # All pairs of buckets of two; in larger ones two pairs per class, with its least and its most frequent hub.
     hubs = large.groupBy("id").agg(F.min("hub").alias("a"), F.max_by("hub", "m").alias("c"))
-    stars = members.filter("m = 2 and id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    stars = stars.union(hubs.select("a", F.col("id").alias("b"))).union(hubs.select("c", F.col("id").alias("b")))
-    found = settled(_signed_pairs(stars.filter("a != b").distinct(), classes, threshold))
-
-    # Each class with its nearest ones of other components: in its largest bucket, then in all.
-    columns = ("band", "one", "two", "cell", "node", "root", "n", "sig")
-    largest = large.groupBy("id").agg(F.max(F.struct("m", "band")).alias("x")).select("x.band", "id", "x.m")
-    for buckets, nearest in ((largest, 3), (large.select("band", "id", "m"), 1)):
-        roots = materialise(components(found), "roots")
-        rows = _mixed(buckets, classes, roots).withColumns({"one": F.col("cell"), "two": F.col("cell")})
-        found = found.union(settled(_cell_pairs(rows.select(*columns), threshold, width, nearest)))
+    pairs = members.filter("m = 2 and id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    hubs = hubs.select("id", F.explode(F.array("a", "c")).alias("a")).select("a", F.col("id").alias("b"))
+    pairs = pairs.union(hubs).filter("a != b").distinct()
+    pairs = materialise(_signed_pairs(pairs, classes, threshold), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    found = materialise(_confirmed(pairs, _texts(docs, key, text, classes, nodes), threshold, width), "links")
 
     # Whatever is still in different components: all pairs, confirmed where they meet.
-    roots = materialise(components(found), "roots")
-    rows = materialise(_mixed(large.select("band", "id", "m"), classes, roots), "mixed")
-    if rows.isEmpty():
-        return found, roots
+    rows = materialise(_mixed(large.select("band", "id", "m", "size"), classes, _stars(found)), "mixed")
     rows = rows.join(_texts(docs, key, text, classes, rows), "node")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     rows = rows.withColumn("one", F.least("cell", "other")).withColumn("two", F.greatest("cell", "other"))
-    more = materialise(_cell_pairs(rows.select(*columns, "packed"), threshold, width, nearest=0), "rest-links")
-    return (found, roots) if more.isEmpty() else (found.union(more), None)
+    columns = ("band", "one", "two", "cell", "node", "root", "n", "sig", "packed")
+    return found.union(materialise(_cell_links(rows.select(*columns), threshold, width), "rest-links"))
 
 
 def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -> DataFrame:
@@ -361,8 +358,7 @@ def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -
         ),
         "classes",
     )
-    found, roots = links(docs, classes, key, text, threshold, width)
-    roots = materialise(components(found), "roots") if roots is None else roots
+    roots = _stars(links(docs, classes, key, text, threshold, width))
     members = classes.select("node", F.col("first.key").alias("first_key")).join(roots, "node", "left")
     members = members.withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("first_key").alias("component_id"))
@@ -397,14 +393,15 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: i
     first = found.filter("node is not null").groupBy("root").agg(F.min(order).alias("first"))
     first = first.select("root", F.col("first.key").alias("first_key"), F.col("first.text_hash").alias("first_hash"))
     same = F.col("key").eqNullSafe(F.col("first_key")) & (F.col("text_hash") == F.col("first_hash"))
+    gone_key, gone_hash, marked_as = free(docs, "_key", "_hash", "_maybe")
     gone = found.filter("node is not null").join(first, "root").filter(~same)
-    gone = materialise(gone.select(F.col("key").alias("_key"), F.col("text_hash").alias("_hash")).distinct(), "gone")
-    maybe = bitmap(gone, "_hash")
+    gone = materialise(gone.select(F.col("key").alias(gone_key), F.col("text_hash").alias(gone_hash)).distinct(), "gone")
+    maybe = bitmap(gone, gone_hash)
     # Documents outside the bitmap stay where they are; only the others meet the rejected ones in a join.
-    marked = docs.withColumn("_maybe", maybe(hash_of(text)))
-    rest = marked.filter("_maybe").join(
-        gone, docs[key].eqNullSafe(F.col("_key")) & (hash_of(text) == F.col("_hash")), "left_anti"
+    marked = docs.withColumn(marked_as, maybe(hash_of(text)))
+    rest = marked.filter(marked_as).join(
+        gone, F.col(key).eqNullSafe(F.col(gone_key)) & (hash_of(text) == F.col(gone_hash)), "left_anti"
     )
-    kept = marked.filter(~F.col("_maybe")).union(rest).drop("_maybe")
+    kept = marked.filter(~F.col(marked_as)).union(rest).drop(marked_as)
     repeated = found.groupBy("key", "text_hash").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([key, text])

@@ -76,6 +76,37 @@ def test_dedup_keeps_one_row_per_group(spark):
     assert minhash.dedup(table.limit(0)).count() == 0
 
 
+def test_dedup_keeps_columns_of_any_name(spark):
+    rows = [(1, "one two three four five six"), (2, "one two three four five six"), (3, "other words here and there now")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    table = table.withColumns({c: F.lit(c) for c in ("_key", "_hash", "_maybe", "_KEY_", "node", "root", "first_key")})
+    kept = minhash.dedup(table)
+    assert kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == {1, 3}
+
+
+@pytest.mark.parametrize("threshold", [60, 85])
+def test_one_large_near_family(spark, threshold):
+    """Four hundred texts around one base, above and around the threshold: exact, in few written tables."""
+    rng = random.Random(threshold)
+    base = _words(rng, 150)
+    texts = []
+    for k in range(400):
+        own = list(base)
+        for _ in range(rng.randint(1, 8)):
+            own[rng.randrange(len(own))] = f"new{rng.randint(0, 10**6)}"
+        texts.append((k, " ".join(own)))
+    table = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(8)
+    written = []
+    real = minhash.materialise
+    minhash.materialise = lambda df, label: written.append(label) or real(df, label)
+    try:
+        got = {(r["key"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(table, threshold=threshold).collect()}
+    finally:
+        minhash.materialise = real
+    assert got == _components(texts, threshold)
+    assert len(written) - written.count("stars") <= 14 and written.count("stars") <= 14
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(bytearray(f"{i:04d}".encode()), bytearray(f"{i + 1:04d}".encode())) for i in range(60)] + [(bytearray(b"x"), bytearray(b"y"))]
     found = minhash.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
