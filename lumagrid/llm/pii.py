@@ -16,7 +16,8 @@ This runs over the table of distinct entities, by shuffles. Documents with menti
 surrogates in a join; documents without mentions pass by.
 
 Edge cases: null stays null and an empty text empty; repeated rows are rewritten alike; an empty table gives an
-empty result; columns other than the text are kept; names of inner columns start with ``_pii_``.
+empty result; columns other than the text are kept, and inner columns take names that are not in use; what has the form and
+length of a country's IBAN but a wrong check number is left whole, and nothing is looked for inside it.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import materialise, ready
+from lumagrid.llm.common import free, materialise, ready
 
 # Forms of address with the gender they tell, and names to draw from.
 TITLES = {
@@ -135,6 +136,15 @@ def iban_in(value: str) -> int:
     return 0
 
 
+def wrong_iban_in(value: str) -> int:
+    """Length of a number of a country's length that ``value`` starts with, its check number being wrong; 0 if none."""
+    known = IBAN_LENGTH.get(value[:2])
+    for stop in [len(value), *(i for i in range(len(value) - 1, 0, -1) if value[i] == " ")]:
+        if len(value[:stop].replace(" ", "")) == known:
+            return stop
+    return 0
+
+
 def script_of(word: str) -> str:
     return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
 
@@ -161,7 +171,7 @@ def mentions(text: str) -> list[dict]:
             # What follows a number may look like more of it; what is none may hold one further on.
             size = card_in(value) if kind == "card" else iban_in(value)
             stop = start + size
-            after = stop if size else start + 1
+            after = stop if size else start + max(1, wrong_iban_in(value) if kind == "iban" else 1)
             if not size:
                 continue
             entity = re.sub(r"\D", "", value[:size]) if kind == "card" else value[:size].replace(" ", "")
@@ -361,19 +371,20 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", counted: str | None
     ready(docs.sparkSession)
     find, rewrite = F.arrow_udf(_find_all, MENTIONS), F.arrow_udf(_replace_all, "string")
     columns = docs.columns
-    found = docs.withColumn("_pii_found", find(F.col(text)))
-    plain = found.filter(F.size("_pii_found") == 0)
-    hits = found.filter(F.size("_pii_found") > 0).withColumn("_pii_row", F.monotonically_increasing_id())
+    found_in, row, chosen_in = free(docs, "_pii_found", "_pii_row", "_pii_chosen")
+    found = docs.withColumn(found_in, find(F.col(text)))
+    plain = found.filter(F.size(found_in) == 0)
+    hits = found.filter(F.size(found_in) > 0).withColumn(row, F.monotonically_increasing_id())
     hits = materialise(hits, "mentions")
-    single = hits.select("_pii_row", F.explode("_pii_found").alias("m")).select("_pii_row", "m.*")
+    single = hits.select(row, F.explode(found_in).alias("m")).select(row, "m.*")
     kinds = materialise(resolved(single), "resolved")
     chosen = assign(kinds.select(F.col("as_kind").alias("kind"), "entity"), key)
     chosen = kinds.join(chosen.withColumnRenamed("kind", "as_kind"), ["as_kind", "entity"]).drop("as_kind")
     single = single.join(chosen, ["kind", "entity"])
-    single = single.groupBy("_pii_row").agg(
-        F.collect_list(F.struct("kind", "start", "stop", "surrogate")).alias("_pii_chosen")
+    single = single.groupBy(row).agg(
+        F.collect_list(F.struct("kind", "start", "stop", "surrogate")).alias(chosen_in)
     )
-    rewritten = hits.join(single, "_pii_row").withColumn(text, rewrite(F.col(text), F.col("_pii_chosen")))
-    number = [] if counted is None else [F.size("_pii_found").cast("bigint").alias(counted)]
+    rewritten = hits.join(single, row).withColumn(text, rewrite(F.col(text), F.col(chosen_in)))
+    number = [] if counted is None else [F.size(found_in).cast("bigint").alias(counted)]
     kept = [f"`{c}`" for c in columns if c != counted]
     return rewritten.select(*kept, *number).union(plain.select(*kept, *number))
