@@ -314,11 +314,11 @@ _PLANTED = (
     CASE WHEN x BETWEEN 4 AND 11 AND y BETWEEN 16 AND 27 THEN (gray + 128) % 256 ELSE gray END
   FROM doc_px WHERE image_id = 0"""
 )
-_DOC_PLAIN = _tampered(DOC, "doc", _PLAIN.format("doc"))
-ORACLES["tamper_pixels"] = _DOC_PLAIN + "SELECT image_id, x, y, differs FROM compared"
-ORACLES["tamper_blocks"] = _DOC_PLAIN + 'SELECT image_id, bx, "by", diff, pixels FROM blocks'
+_DOC_BOTH = _tampered(DOC, "doc", _PLANTED)
+ORACLES["tamper_pixels"] = _DOC_BOTH + "SELECT suspect_id, image_id, x, y, differs FROM compared"
+ORACLES["tamper_blocks"] = _DOC_BOTH + 'SELECT suspect_id, image_id, bx, "by", diff, pixels FROM blocks'
 ORACLES["tamper_regions"] = (
-    _DOC_PLAIN + "SELECT image_id, start_x, start_y, end_x, end_y, pixel_count FROM bad"
+    _DOC_BOTH + "SELECT suspect_id, image_id, start_x, start_y, end_x, end_y, pixel_count FROM bad"
 )
 _RANKED = "SELECT image_id, matching_pixels, total_pixels, similarity FROM ranked"
 ORACLES["tamper_rank"] = _tampered(PLATE, "plate", _PLAIN.format("plate")) + _RANKED
@@ -373,10 +373,10 @@ ORACLES["tamper_percent"] = (
     + "SELECT suspect_id, image_id, printf('%.2f%%', similarity * 100) AS share FROM ranked"
 )
 ORACLES["export_results"] = (
-    _DOC_PLAIN
-    + """, told AS (SELECT image_id, count(*)::INT AS region_count FROM bad GROUP BY image_id)
-SELECT image_id, matching_pixels, similarity, coalesce(region_count, 0) AS region_count
-FROM ranked LEFT JOIN told USING (image_id)"""
+    _DOC_BOTH
+    + """, told AS (SELECT suspect_id, image_id, count(*)::INT AS region_count FROM bad GROUP BY ALL)
+SELECT suspect_id, image_id, matching_pixels, similarity, coalesce(region_count, 0) AS region_count
+FROM ranked LEFT JOIN told USING (suspect_id, image_id)"""
 )
 
 _DOC_SIZES = "SELECT image_id, width, height, len(b)::BIGINT AS pixels FROM doc"

@@ -257,28 +257,23 @@ def feature_plates(spark, folder):
 # ------------------------------------------------------------------ tamper
 
 
-def _plain_suspect(spark, folder):
-    return inputs.doc_suspects(spark, folder).filter(F.col("suspect_id") == 0)
-
-
 def _compared(spark, folder):
-    return tamper.tamper_pixels(inputs.doc_images(spark, folder), _plain_suspect(spark, folder))
+    return tamper.tamper_pixels(inputs.doc_images(spark, folder), inputs.doc_suspects(spark, folder))
 
 
 @query
 def tamper_pixels(spark, folder):
-    return _compared(spark, folder).select("image_id", "x", "y", "differs")
+    return _compared(spark, folder).select("suspect_id", "image_id", "x", "y", "differs")
 
 
 @query
 def tamper_blocks(spark, folder):
-    return tamper.tamper_blocks(_compared(spark, folder)).select("image_id", "bx", "by", "diff", "pixels")
+    return tamper.tamper_blocks(_compared(spark, folder)).select("suspect_id", "image_id", "bx", "by", "diff", "pixels")
 
 
 @query
 def tamper_regions(spark, folder):
-    verdicts = tamper.detect(inputs.doc_images(spark, folder), _plain_suspect(spark, folder))
-    return tamper.regions(verdicts).drop("suspect_id")
+    return tamper.regions(tamper.detect(inputs.doc_images(spark, folder), inputs.doc_suspects(spark, folder)))
 
 
 @query
@@ -529,10 +524,10 @@ def ingest_counters(spark, folder):
 @query
 def export_results(spark, folder):
     path = fresh_dir(spark, "export")
-    verdicts = tamper.detect(inputs.doc_images(spark, folder), _plain_suspect(spark, folder))
+    verdicts = tamper.detect(inputs.doc_images(spark, folder), inputs.doc_suspects(spark, folder))
     files.export_results(verdicts, path)
     back = spark.read.schema(verdicts.schema).json(path)
-    return back.select("image_id", "matching_pixels", "similarity", F.size("regions").alias("region_count"))
+    return back.select("suspect_id", "image_id", "matching_pixels", "similarity", F.size("regions").alias("region_count"))
 
 
 # ---------------------------------------------------------------- task log
