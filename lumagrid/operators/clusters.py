@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumagrid.functions import histograms as H
+from lumagrid.operators.cells import hist_matrix
+from lumagrid.session import materialise
+
+SCALE = 1 << 16
+
 
 def histogram_clusters(library: DataFrame, k: int = 8, seed: int = 17) -> DataFrame:
     """(image_id, cluster) by k-means on histograms scaled to sum 1."""
@@ -17,3 +27,59 @@ def histogram_clusters(library: DataFrame, k: int = 8, seed: int = 17) -> DataFr
     ).select("image_id", "features")
     model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(points)
     return model.transform(points).select("image_id", "cluster")
+
+
+def _assign(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre of each point, the first of equally near ones, and the squared distance."""
+    gap = (points**2).sum(axis=1)[:, None] - 2 * (points @ centres.T) + (centres**2).sum(axis=1)
+    nearest = gap.argmin(axis=1)
+    return nearest, gap[np.arange(len(points)), nearest]
+
+
+def content_clusters(library: DataFrame, k: int = 8, rounds: int = 4) -> DataFrame:
+    """(image_id, cluster, distance) by ``rounds`` rounds of k-means in whole numbers.
+
+    Histograms are scaled to 65,536 parts, rounded down. The first centres are the ``k`` distinct ones with the
+    smallest MD5 of their text, fewer if there are not as many, and each round replaces a centre by the mean of its
+    points, rounded down; one without points stays. Nothing depends on the order of rows, and images with equal scaled
+    histograms share a cluster. distance is the squared distance from the last centre. Only centres, k times
+    256 numbers, reach the driver.
+    """
+    if k < 1 or rounds < 0:
+        raise ValueError("k must be positive and rounds not negative")
+    whole = F.greatest(H.total(F.col("hist")), F.lit(1).cast("bigint"))
+    points = library.withColumn("whole", whole).select(
+        "image_id", F.transform("hist", lambda n: F.floor(n.cast("bigint") * SCALE / F.col("whole"))).alias("point")
+    )
+    points = materialise(points, "cluster-points")
+    seeds = points.select("point").distinct().orderBy(F.md5(H.to_csv(F.col("point")))).limit(k).collect()
+    if not seeds:
+        return points.select("image_id", F.lit(0).alias("cluster"), F.lit(0).cast("bigint").alias("distance"))
+    centres = np.array([r["point"] for r in seeds], np.int64)
+    many = len(centres)
+    for _ in range(rounds):
+
+        def sums(batches: Iterator[pa.RecordBatch], centres: np.ndarray = centres) -> Iterator[pa.RecordBatch]:
+            total, count = np.zeros((many, H.BINS), np.int64), np.zeros(many, np.int64)
+            for batch in batches:
+                own = hist_matrix(batch.column("point"))
+                nearest, _ = _assign(own, centres)
+                np.add.at(total, nearest, own)
+                count += np.bincount(nearest, minlength=many)
+            cluster, bin = np.divmod(np.arange(total.size), H.BINS)
+            columns = [cluster, bin, total.ravel(), np.repeat(count, H.BINS)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["cluster", "bin", "s", "n"])
+
+        parts = points.select("point").mapInArrow(sums, "cluster bigint, bin bigint, s bigint, n bigint")
+        moved = parts.groupBy("cluster", "bin").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).filter("n > 0")
+        rows = moved.select("cluster", "bin", F.expr("s div n").alias("v")).collect()
+        centres = centres.copy()
+        for row in rows:
+            centres[row["cluster"], row["bin"]] = row["v"]
+
+    @F.arrow_udf("struct<cluster: int, distance: bigint>")
+    def told(point: pa.Array) -> pa.Array:
+        nearest, gap = _assign(hist_matrix(point), centres)
+        return pa.StructArray.from_arrays([pa.array(nearest, pa.int32()), pa.array(gap, pa.int64())], ["cluster", "distance"])
+
+    return points.withColumn("told", told("point")).select("image_id", "told.cluster", "told.distance")

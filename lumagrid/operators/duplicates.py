@@ -75,12 +75,10 @@ def _widest(signed: DataFrame, axes: int) -> list[int]:
     return sorted(range(SIGNS), key=lambda b: -spread[b])[:axes]
 
 
-def duplicate_pairs(
-    library: DataFrame, threshold: float = 0.98, axes: int = 3, rows_per_slice: int = SLICE_ROWS
-) -> DataFrame:
-    """(a, b, similarity, a_copies, b_copies) for keepers ``a < b`` with similarity above ``threshold``.
+def _grid(library: DataFrame, threshold: float, axes: int) -> tuple[DataFrame, DataFrame, DataFrame, list[str], float]:
+    """Keepers, their home cells, the cells they visit, the columns of a cell, and the reach of the threshold.
 
-    Together with :func:`copies` this holds every pair of similar images.
+    Of two similar keepers one visits the home of the other: exactly one if ``cross``, else both do.
     """
     if not 0 < threshold < 1:
         raise ValueError("threshold must lie strictly between 0 and 1")
@@ -124,6 +122,18 @@ def duplicate_pairs(
     )
     for b in picked:
         guests = guests.withColumn(f"c{b}", F.explode(F.sequence(F.col(f"c{b}") - 1, F.col(f"c{b}") + 1)))
+    return keepers, homes, guests, keys, reach
+
+
+def duplicate_pairs(
+    library: DataFrame, threshold: float = 0.98, axes: int = 3, rows_per_slice: int = SLICE_ROWS
+) -> DataFrame:
+    """(a, b, similarity, a_copies, b_copies) for keepers ``a < b`` with similarity above ``threshold``.
+
+    Together with :func:`copies` this holds every pair of similar images. A dense family gives all its
+    pairs; :func:`lumagrid.operators.families.duplicate_families` tells them in one row per keeper.
+    """
+    keepers, homes, guests, keys, reach = _grid(library, threshold, axes)
     signs = [f"s{b}" for b in range(SIGNS)]
     left = homes.select(*keys, F.col("image_id").alias("a"), *[
         F.col(c).alias(f"a_{c}") for c in ("total", "copies", "coarse", *signs)

@@ -179,22 +179,74 @@ ranked AS (
 SELECT query_id, image_id, similarity, rank FROM ranked WHERE rank <= 5"""
 )
 
+
+
+def _cluster_rounds(rounds: int) -> str:
+    """Assignments and centres by turns, from the seeds in ``centre0``."""
+    near = """SELECT p.image_id, c.cluster, any_value(pp) - 2 * sum(p.v * c.v) + any_value(cc) AS gap
+  FROM point p JOIN norm USING (image_id) JOIN {c} c USING (bin)
+  JOIN (SELECT cluster, sum(v * v) AS cc FROM {c} GROUP BY cluster) USING (cluster)
+  GROUP BY p.image_id, c.cluster QUALIFY row_number() OVER (PARTITION BY p.image_id ORDER BY gap, cluster) = 1"""
+    steps = []
+    for r in range(rounds):
+        steps.append(f"near{r} AS MATERIALIZED ({near.format(c=f'centre{r}')})")
+        steps.append(f"""centre{r + 1} AS MATERIALIZED (
+  SELECT cluster, bin, sum(v) // count(*) AS v FROM near{r} JOIN point USING (image_id) GROUP BY cluster, bin
+  UNION ALL SELECT * FROM centre{r} WHERE cluster NOT IN (SELECT cluster FROM near{r}))""")
+    steps.append(f"last AS ({near.format(c=f'centre{rounds}')})")
+    return ",\n".join(steps)
+
+
+ORACLES["content_clusters"] = (
+    _with(
+        DOC,
+        _px("doc"),
+        _bins("doc"),
+        """point AS MATERIALIZED (
+  SELECT i.image_id, g.bin, coalesce(n, 0)::HUGEINT * 65536 // len(b) AS v
+  FROM doc i CROSS JOIN (SELECT unnest(range(256))::INT AS bin) g
+  LEFT JOIN doc_bins h ON h.image_id = i.image_id AND h.gray = g.bin)""",
+        "norm AS MATERIALIZED (SELECT image_id, sum(v * v) AS pp FROM point GROUP BY image_id)",
+        """seed AS MATERIALIZED (
+  SELECT csv, row_number() OVER (ORDER BY md5(csv)) - 1 AS cluster FROM (
+    SELECT DISTINCT string_agg(v::VARCHAR, ',' ORDER BY bin) AS csv FROM point GROUP BY image_id)
+  QUALIFY cluster < 8)""",
+        """centre0 AS MATERIALIZED (
+  SELECT cluster, generate_subscripts(string_split(csv, ','), 1) - 1 AS bin,
+    unnest(string_split(csv, ','))::HUGEINT AS v FROM seed)""",
+        _cluster_rounds(4),
+    )
+    + "SELECT image_id, cluster::INT AS cluster, gap::BIGINT AS distance FROM last"
+)
+
 _FOLDED = """, hists AS (
   SELECT image_id, string_agg(gray || ':' || n, ',' ORDER BY gray) AS h, sum(n) AS total
   FROM doc_bins GROUP BY image_id),
 keepers AS (SELECT h, min(image_id) AS keeper, count(*) AS copies, any_value(total) AS total
   FROM hists GROUP BY h)"""
-ORACLES["duplicate_pairs"] = (
-    DOC_BINS
-    + _FOLDED
-    + """, kept AS (SELECT k.keeper AS id, copies, total, gray, n
+_PAIRS = """, kept AS (SELECT k.keeper AS id, copies, total, gray, n
   FROM keepers k JOIN doc_bins b ON b.image_id = k.keeper),
 shared AS (
   SELECT a.id AS a, b.id AS b, any_value(a.copies) AS a_copies, any_value(b.copies) AS b_copies,
     any_value(a.total) AS asize, any_value(b.total) AS bsize, sum(least(a.n, b.n)) AS inter
-  FROM kept a JOIN kept b ON a.gray = b.gray AND a.id < b.id GROUP BY a.id, b.id)
-SELECT a, b, inter::DOUBLE / (asize + bsize - inter)::DOUBLE AS similarity, a_copies, b_copies
-FROM shared WHERE inter::DOUBLE / (asize + bsize - inter)::DOUBLE > 0.98::DOUBLE"""
+  FROM kept a JOIN kept b ON a.gray = b.gray AND a.id < b.id GROUP BY a.id, b.id),
+pairs AS MATERIALIZED (
+  SELECT a, b, inter::DOUBLE / (asize + bsize - inter)::DOUBLE AS similarity, a_copies, b_copies
+  FROM shared WHERE inter::DOUBLE / (asize + bsize - inter)::DOUBLE > 0.98::DOUBLE)"""
+ORACLES["duplicate_pairs"] = DOC_BINS + _FOLDED + _PAIRS + " SELECT * FROM pairs"
+ORACLES["duplicate_families"] = (
+    DOC_BINS
+    + _FOLDED
+    + _PAIRS
+    + """,
+links AS MATERIALIZED (SELECT a AS u, b AS v FROM pairs UNION ALL SELECT b, a FROM pairs),
+reached AS (
+  SELECT DISTINCT u, u AS root FROM links
+  UNION SELECT links.v, root FROM reached JOIN links USING (u)),
+family AS (SELECT u, min(root) AS family FROM reached GROUP BY u),
+counted AS (SELECT u, count(*) AS links FROM links GROUP BY u)
+SELECT keeper AS image_id, copies, coalesce(family, keeper) AS family, coalesce(links, 0) AS links
+FROM keepers LEFT JOIN family ON family.u = keeper LEFT JOIN counted ON counted.u = keeper"""
 )
 ORACLES["duplicate_copies"] = (
     DOC_BINS
@@ -519,6 +571,7 @@ _REUSED = """SELECT seq, result_key, ts,
     PARTITION BY result_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS written
   FROM access_log) WHERE op = 'get'"""
 ORACLES["result_reuse"] = _with(ACCESS) + _REUSED
+ORACLES["result_reuse_pieces"] = ORACLES["result_reuse"]
 ORACLES["result_misses"] = (
     _with(ACCESS) + f"SELECT result_key, count(*) AS requests FROM ({_REUSED}) WHERE NOT hit GROUP BY result_key"
 )

@@ -13,6 +13,7 @@ from lumagrid.functions import text as X
 from lumagrid.operators import (
     clusters,
     duplicates,
+    families,
     feature,
     histogram,
     recency,
@@ -112,6 +113,11 @@ def histogram_clusters(spark, folder):
     return clusters.histogram_clusters(materialise(library, "histograms"))
 
 
+@query
+def content_clusters(spark, folder):
+    return clusters.content_clusters(jobs.generate_histograms(inputs.doc_images(spark, folder)))
+
+
 @query
 def hist_parse(spark, folder):
     """Document texts read as histogram text, and embeddings as numbers with blanks around."""
@@ -183,6 +189,11 @@ def duplicate_pairs(spark, folder):
     return duplicates.duplicate_pairs(jobs.generate_histograms(inputs.doc_images(spark, folder)))
 
 
+@query
+def duplicate_families(spark, folder):
+    return families.duplicate_families(jobs.generate_histograms(inputs.doc_images(spark, folder)))
+
+
 @query
 def duplicate_copies(spark, folder):
     library = jobs.generate_histograms(inputs.doc_images(spark, folder))
@@ -611,6 +622,13 @@ def result_reuse(spark, folder):
     return recency.reuse(log.filter(F.col("op") == "get"), log.filter(F.col("op") == "put"))
 
 
+@query
+def result_reuse_pieces(spark, folder):
+    """The same in pieces of 256 numbers, whose writes are handed on."""
+    log = inputs.access_log(spark, folder)
+    return recency.reuse(log.filter(F.col("op") == "get"), log.filter(F.col("op") == "put"), piece=256)
+
+
 @query
 def result_misses(spark, folder):
     return recency.misses(result_reuse(spark, folder))

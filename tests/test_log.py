@@ -125,3 +125,6 @@ def test_recency(spark):
     hits = {r.seq: r.hit for r in reused.collect()}
     assert hits == {0: False, 3: True, 4: False, 5: True, 6: False, 8: True}
     assert rows_of(recency.misses(reused)) == [("A", 2), ("C", 1)]
+    for piece in (1, 2, 3, 100):
+        cut = recency.reuse(both.filter("op = 'get'"), both.filter("op = 'put'"), piece)
+        assert {r.seq: r.hit for r in cut.collect()} == hits
