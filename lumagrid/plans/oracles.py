@@ -158,6 +158,7 @@ FROM scored ORDER BY similarity DESC, image_id LIMIT 5"""
 
 
 ORACLES["hist_search_dense"] = _dense_search(DOC, "doc")
+ORACLES["hist_search_stored"] = _dense_search(DOC, "doc")
 ORACLES["search_plates"] = _dense_search(PLATE, "plate")
 ORACLES["histogram_plates"] = (
     _with(PLATE, _px("plate"), _bins("plate"), _dense("plate")) + "SELECT image_id, csv FROM plate_dense"
@@ -462,6 +463,15 @@ ORACLES["image_get"] = (
     + """SELECT image_id, width, height,
   array_to_string(list_transform(b, lambda v: printf('%02X', v)), '') AS gray FROM doc WHERE image_id = 7"""
 )
+ORACLES["image_get_many"] = (
+    _with(
+        DOC,
+        """asked AS (SELECT doc_id AS image_id FROM labels UNION SELECT -doc_id - 1 FROM labels),
+kept AS (SELECT * FROM doc WHERE image_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0))""",
+    )
+    + """SELECT a.image_id, k.image_id IS NOT NULL AS found, width, height, len(b)::BIGINT AS pixels
+FROM asked a LEFT JOIN kept k ON k.image_id = a.image_id"""
+)
 ORACLES["image_exists"] = "SELECT count(*) > 0 AS has_images FROM documents WHERE text <> ''"
 ORACLES["image_count"] = "SELECT count(*) AS images FROM documents WHERE text <> ''"
 ORACLES["pack_images"] = (
@@ -544,7 +554,7 @@ FROM task_log ORDER BY seq DESC LIMIT 20"""
 )
 ORACLES["stream_open_tasks"] = (
     _with(LOG)
-    + """SELECT task_id FROM latest WHERE status = 'STARTED'
+    + """SELECT task_id, moment AS started, moment + INTERVAL 30 MINUTE AS deadline FROM latest WHERE status = 'STARTED'
   AND epoch_ms(moment + INTERVAL 90 MINUTE) <= (SELECT epoch_ms(max(moment)) FROM task_log)"""
 )
 

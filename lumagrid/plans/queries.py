@@ -18,6 +18,7 @@ from lumagrid.operators import (
     histogram,
     recency,
     search,
+    summary,
     tamper,
     tasklog,
 )
@@ -163,6 +164,15 @@ def hist_search_dense(spark, folder):
     return jobs.search_images(_query_image(images), images)
 
 
+@query
+def hist_search_stored(spark, folder):
+    """The same search in stored histograms that are ordered by their summaries."""
+    library = jobs.generate_histograms(inputs.doc_images(spark, folder))
+    path = fresh_dir(spark, "summaries")
+    summary.write(library, path)
+    return summary.search_stored(spark, path, _query_image(spark.read.parquet(path)))
+
+
 @query
 def hist_search_multi(spark, folder):
     library = jobs.generate_histograms(inputs.doc_images(spark, folder))
@@ -447,6 +457,17 @@ def image_get(spark, folder):
     return table.get(spark, _stored(spark, folder), 7).select("image_id", "width", "height", F.hex("gray").alias("gray"))
 
 
+@query
+def image_get_many(spark, folder):
+    """All labelled documents after some were deleted, and keys past the end of the table."""
+    path = _stored(spark, folder)
+    labels = inputs.read(spark, folder, "labels")
+    table.delete(spark, path, labels.filter("quality = 0").select(F.col("doc_id").alias("image_id")))
+    past = labels.select((-F.col("doc_id") - 1).alias("image_id"))
+    found = table.get_many(spark, path, labels.select(F.col("doc_id").alias("image_id")).unionByName(past))
+    return found.select("image_id", "found", "width", "height", H.total(F.col("hist")).alias("pixels"))
+
+
 @query
 def image_exists(spark, folder):
     return spark.range(1).select(F.lit(table.exists(spark, _stored(spark, folder))).alias("has_images"))
@@ -675,8 +696,8 @@ def stream_ingest(spark, folder):
 def stream_open_tasks(spark, folder):
     path = fresh_dir(spark, "alerts")
     events = _stream_of(spark, folder, "events")
-    log = inputs.event_records(events).select("task_id", F.col("at").cast("timestamp").alias("ts"), "status")
-    alerts = open_task_alerts(log)
+    log = inputs.event_records(events).select("task_id", "seq", F.col("at").cast("timestamp").alias("ts"), "status")
+    alerts = open_task_alerts(log, order="seq")
     (
         alerts.writeStream.format("parquet")
         .option("path", path)
@@ -685,4 +706,4 @@ def stream_open_tasks(spark, folder):
         .start()
         .awaitTermination()
     )
-    return spark.read.schema(alerts.schema).parquet(path).select("task_id")
+    return spark.read.schema(alerts.schema).parquet(path)

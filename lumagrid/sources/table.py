@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from lumagrid.functions import histograms as H
 from lumagrid.operators.histogram import with_histogram
+from lumagrid.session import materialise
+from lumagrid.sizing import within_broadcast
 
 BUCKETS = 64
 COLUMNS = ("image_id", "width", "height", "hist", "gray")
@@ -123,19 +125,28 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 def versions(spark: SparkSession, path: str) -> tuple[list[int], int]:
     """Published versions from the newest base on, and the number of buckets; none for a table without a write."""
-    found = sorted((int(n), kind, int(b)) for n, kind, b in (x.split("-") for x in _names(spark, f"{path}/{PUBLISHED}")))
+    names = (x.split("-")[:3] for x in _names(spark, f"{path}/{PUBLISHED}"))
+    found = sorted((int(n), kind, int(b)) for n, kind, b in names)
     bases = [i for i, (_, kind, _) in enumerate(found) if kind == "base"]
     if not bases:
         return [], 0
     return [n for n, _, _ in found[bases[-1] :]], found[bases[-1]][2]
 
 
-def _publish(spark: SparkSession, path: str, rows: DataFrame, kind: str, buckets: int) -> None:
-    """Write a version and make it known. Several writers at once need a lock of their own."""
+def has_batch(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether the write marked ``batch`` is published."""
+    return any(x.split("-")[3:] == [batch] for x in _names(spark, f"{path}/{PUBLISHED}"))
+
+
+def _publish(spark: SparkSession, path: str, rows: DataFrame, kind: str, buckets: int, batch: str | None = None) -> None:
+    """Write a version and make it known, under the mark of its batch if it has one.
+
+    Several writers at once need a lock of their own.
+    """
     used = [int(x.partition("=")[2]) for x in _names(spark, path) if x.startswith("version=")]
     number = max(used, default=0) + 1
     _clustered(_placed(rows, buckets)).write.partitionBy(*LAYOUT).parquet(f"{path}/version={number}")
-    system, where = _folder(spark, f"{path}/{PUBLISHED}/{number}-{kind}-{buckets}")
+    system, where = _folder(spark, f"{path}/{PUBLISHED}/{number}-{kind}-{buckets}{f'-{batch}' if batch else ''}")
     system.create(where).close()
 
 
@@ -147,11 +158,13 @@ def _one_per_key(rows: DataFrame, order: str | None) -> DataFrame:
     return rows
 
 
-def create(rows: DataFrame, path: str, buckets: int = BUCKETS, order: str | None = None) -> None:
+def create(
+    rows: DataFrame, path: str, buckets: int = BUCKETS, order: str | None = None, batch: str | None = None
+) -> None:
     """First write; nothing is written without rows. Choose ``buckets`` so that one of them holds a few GB."""
     rows = _one_per_key(rows, order)
     if not rows.isEmpty():
-        _publish(rows.sparkSession, path, rows.withColumn("deleted", F.lit(False)), "base", buckets)
+        _publish(rows.sparkSession, path, rows.withColumn("deleted", F.lit(False)), "base", buckets, batch)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame:
@@ -175,14 +188,16 @@ def _rows(spark: SparkSession, path: str, where: Column | None = None) -> DataFr
     return _living(stored, numbers[0]) if len(numbers) > 1 else stored.filter(~F.col("deleted"))
 
 
-def put(spark: SparkSession, path: str, rows: DataFrame, order: str | None = None) -> None:
+def put(
+    spark: SparkSession, path: str, rows: DataFrame, order: str | None = None, batch: str | None = None
+) -> None:
     """Insert or replace images. The last row per key by ``order`` counts; without it a key may not repeat."""
     rows = _one_per_key(rows, order)
     stored = _stored(spark, path)
     rows = rows.withColumn("deleted", F.lit(False))
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema if f.name not in (*LAYOUT, "version")])
     if not rows.isEmpty():
-        _publish(spark, path, rows, "change", versions(spark, path)[1])
+        _publish(spark, path, rows, "change", versions(spark, path)[1], batch)
 
 
 def delete(spark: SparkSession, path: str, keys: DataFrame) -> None:
@@ -223,6 +238,24 @@ def get(spark: SparkSession, path: str, image_id) -> DataFrame:
     return _rows(spark, path, (F.col("bucket") == bucket_of(key)) & (F.col("image_id") == key)).drop(*HIDDEN)
 
 
+def get_many(spark: SparkSession, path: str, keys: DataFrame, **sizes) -> DataFrame:
+    """(image_id, found, width, height, hist, gray) for each distinct key asked for, also for those not in the table.
+
+    Only buckets that some key falls into are read, and only rows of the keys reach a join by version; keys are
+    sent to the tasks when few. No more bucket numbers than the table has buckets reach the driver.
+    """
+    stored, (numbers, buckets) = _stored(spark, path), versions(spark, path)
+    asked = keys.select(F.col("image_id").cast(stored.schema["image_id"].dataType)).filter("image_id is not null")
+    asked = materialise(_placed(asked.distinct(), buckets).select("image_id", "bucket"), "asked-keys")
+    touched = [r["bucket"] for r in asked.select("bucket").distinct().collect()]
+    wanted = asked.select("image_id")
+    wanted = F.broadcast(wanted) if within_broadcast(wanted, **sizes) else wanted
+    rows = _living(stored.filter(F.col("bucket").isin(touched)).join(wanted, "image_id", "left_semi"), numbers[0])
+    rows = rows.drop("version", *LAYOUT).withColumn("found", ~F.col("deleted")).drop("deleted")
+    told = asked.select("image_id").join(rows, "image_id", "left")
+    return told.select("image_id", F.coalesce("found", F.lit(False)).alias("found"), *COLUMNS[1:])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return bool(versions(spark, path)[0]) and not scan(spark, path).isEmpty()
 
@@ -232,19 +265,26 @@ def count(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest(
-    spark: SparkSession, path: str, images: DataFrame, buckets: int = BUCKETS, order: str | None = None
+    spark: SparkSession,
+    path: str,
+    images: DataFrame,
+    buckets: int = BUCKETS,
+    order: str | None = None,
+    batch: str | None = None,
 ) -> None:
     """Packed images into the table with their histograms, creating it on first use.
 
     ``buckets`` counts only when the table is created. The last image per key by ``order`` counts; without it
-    a key may not repeat.
+    a key may not repeat. ``batch`` marks the write: one whose mark is published already does nothing.
     """
+    if batch and has_batch(spark, path, batch):
+        return
     ordered = [order] if order else []
     rows = with_histogram(images).select(*COLUMNS, *ordered)
     if versions(spark, path)[0]:
-        put(spark, path, rows, order)
+        put(spark, path, rows, order, batch)
     else:
-        create(rows, path, buckets, order)
+        create(rows, path, buckets, order, batch)
 
 
 def upload(

@@ -13,13 +13,16 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Take what has arrived into the table at ``path`` and stop.
 
-    Each micro-batch is an upsert by key, so a batch that is replayed after a failure leaves the
-    table as it was, and an empty one writes nothing. ``order`` names the column that decides between rows
+    Each micro-batch is an upsert by key, published under a mark made of the query's id, which its checkpoint keeps, and
+    the number of the batch. A batch that is replayed after a failure finds its mark and writes nothing, and an
+    empty one writes nothing either. ``order`` names the column that decides between rows
     of one key in a batch; without it a batch that repeats a key fails.
     """
 
-    def take(batch: DataFrame, _: int) -> None:
-        table.ingest(batch.sparkSession, path, batch, buckets, order)
+    def take(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        query_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        table.ingest(spark, path, batch, buckets, order, f"{query_id.replace('-', '')}.{number}")
 
     return (
         images.writeStream.foreachBatch(take)

@@ -4,18 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 ALERT = "task_id string, started timestamp, deadline timestamp"
-STATE = "at timestamp, open boolean"
+STATE = "at timestamp, seq bigint, open boolean"
 
 
-def open_task_alerts(log: DataFrame, patience: str = "30 minutes", lateness: str = "1 hour") -> DataFrame:
+def open_task_alerts(
+    log: DataFrame, patience: str = "30 minutes", lateness: str = "1 hour", order: str | None = None
+) -> DataFrame:
     """One alert per task still STARTED when the watermark passes its deadline.
 
-    ``log`` is a stream of (task_id, ts TIMESTAMP, status). State is the newest record of a task:
+    ``log`` is a stream of (task_id, ts TIMESTAMP, status). ``order`` names a whole number that decides between
+    records of one task and time; without it the last to arrive counts. State is the newest record of a task:
     an open one waits for its deadline, a finished one stays as long as older records may still
     arrive. Records behind the watermark are dropped.
     """
@@ -26,21 +31,20 @@ def open_task_alerts(log: DataFrame, patience: str = "30 minutes", lateness: str
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            at, still_open = state.get
+            at, _, still_open = state.get
             state.remove()
             if still_open:
                 yield alert(key[0], at)
             return
         newest = state.get if state.exists else None
         for part in parts:
-            times = part["ts"].to_numpy()
-            last = len(times) - 1 - int(times[::-1].argmax())
-            at = part["ts"].iat[last]
-            if newest is None or at >= newest[0]:
-                newest = (at, part["status"].iat[last] == "STARTED")
+            last = int(np.lexsort((part["seq"].to_numpy(), part["ts"].to_numpy()))[-1])
+            at, seq = part["ts"].iat[last], int(part["seq"].iat[last])
+            if newest is None or (at, seq) >= newest[:2]:
+                newest = (at, seq, part["status"].iat[last] == "STARTED")
         if newest is None:
             return
-        at, still_open = newest
+        at, seq, still_open = newest
         due = int((at + (wait if still_open else late)).timestamp() * 1000)
         if due <= state.getCurrentWatermarkMs():
             if state.exists:
@@ -48,11 +52,13 @@ def open_task_alerts(log: DataFrame, patience: str = "30 minutes", lateness: str
             if still_open:
                 yield alert(key[0], at)
             return
-        state.update((at, still_open))
+        state.update((at, seq, still_open))
         state.setTimeoutTimestamp(due)
 
+    seq = F.coalesce(F.col(order).cast("bigint"), F.lit(0).cast("bigint")) if order else F.lit(0).cast("bigint")
     return (
-        log.withWatermark("ts", lateness)
+        log.select("task_id", "ts", "status", seq.alias("seq"))
+        .withWatermark("ts", lateness)
         .groupBy("task_id")
         .applyInPandasWithState(step, ALERT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     )

@@ -54,3 +54,40 @@ def test_open_task_alerts(spark, tmp_path):
     # Too late: behind the watermark, so it opens nothing.
     assert feed(("late", at(1), "STARTED"), ("clock", at(145), "COMPLETED")) == [("new",), ("open",)]
     assert feed(("clock", at(400), "COMPLETED")) == [("new",), ("open",)]
+
+
+def test_a_replayed_batch_writes_no_version(spark, pack, tmp_path):
+    where = str(tmp_path / "table")
+    first, second = pack({1: np.zeros((2, 2)), 2: np.ones((2, 2))}), pack({2: np.zeros((3, 3))})
+    for batch, mark in ((first, "q.0"), (second, "q.1"), (first, "q.0"), (second, "q.1")):
+        table.ingest(spark, where, batch, 4, batch=mark)
+    assert table.versions(spark, where)[0] == [1, 2]
+    # The older batch did not come back over the newer one.
+    assert rows_of(table.scan(spark, where).select("image_id", "width")) == [(1, 2), (2, 3)]
+    table.compact(spark, where)
+    table.ingest(spark, where, first, 4, batch="q.0")
+    assert table.versions(spark, where)[0] == [3]
+    assert table.has_batch(spark, where, "q.1") and not table.has_batch(spark, where, "q.2")
+
+
+def test_a_stream_whose_commit_was_lost_does_not_write_again(spark, pack, tmp_path):
+    arrivals, where, progress = (str(tmp_path / n) for n in ("in", "table", "progress"))
+    pack({1: np.zeros((2, 2))}).write.parquet(arrivals)
+    run = lambda: ingest_stream(spark.readStream.schema(IMAGES).parquet(arrivals), where, progress, 4).awaitTermination()
+    run()
+    assert table.versions(spark, where)[0] == [1]
+    for name in ("0", ".0.crc"):  # as if the job had failed after the write and before the commit
+        (tmp_path / "progress" / "commits" / name).unlink(missing_ok=True)
+    run()
+    assert table.versions(spark, where)[0] == [1]
+
+
+def test_records_of_one_time_are_ordered_by_their_number(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "task_id string, ts timestamp, status string, seq bigint"
+    rows = [("a", at(0), "COMPLETED", 2), ("a", at(0), "STARTED", 1), ("b", at(0), "STARTED", 9), ("b", at(0), "COMPLETED", 8)]
+    spark.createDataFrame([*rows, ("clock", at(300), "COMPLETED", 10)], schema).coalesce(1).write.parquet(folder)
+    alerts = open_task_alerts(spark.readStream.schema(schema).parquet(folder), order="seq")
+    query = alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "p"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert rows_of(spark.read.parquet(out)) == [("b", at(0), at(30))]

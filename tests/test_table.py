@@ -147,3 +147,18 @@ def test_outcomes_and_listing(spark):
     assert rows_of(counted) == [("failed to read", 1), ("processed", 2)]
     listed = table.library_list(scanned.withColumn("height", F.lit(1)), 2)
     assert rows_of(listed) == [(1, 3, 1, 1), (2, -1, 1, 1)]
+
+
+def test_many_keys_at_once(spark, pack, tmp_path):
+    where = str(tmp_path / "many")
+    table.ingest(spark, where, pack({i: np.full((2, i + 1), i) for i in range(30)}), 8)
+    table.ingest(spark, where, pack({4: np.zeros((5, 5))}), 8)
+    table.delete(spark, where, spark.createDataFrame([(7,)], "image_id bigint"))
+    keys = spark.createDataFrame([(k,) for k in (4, 4, 7, 9, 99, None)], "image_id bigint")
+    want = [(4, True, 5), (7, False, None), (9, True, 10), (99, False, None)]
+    for sizes in ({}, {"max_rows": 1}):
+        got = table.get_many(spark, where, keys, **sizes)
+        assert rows_of(got.select("image_id", "found", "width")) == want
+    plan = table.get_many(spark, where, keys)._jdf.queryExecution().executedPlan().toString()
+    assert "bucket#" in plan.split("PartitionFilters: ")[1][:60]
+    assert table.get_many(spark, where, keys.limit(0)).isEmpty()
