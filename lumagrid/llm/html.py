@@ -55,8 +55,10 @@ OTHER_NAMES = frozenset(
     """ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies
     disclaimer footer form header login masthead menu meta nav navbar navigation newsletter notice notices outbrain pager
     pagination popup promo promoted related reply replies respond search share sharing sidebar signup social sponsor
-    sponsored subscribe taboola tags toolbar tooltip widget complementary contentinfo alert""".split()
+    sponsored subscribe taboola tags toolbar tooltip widget complementary contentinfo alert warning warnings response responses
+    copyright colophon legal modal recommended""".split()
 )
+PART_NAMES = frozenset("area bar block body box container form item items line link links list panel section text thread wrap wrapper".split())
 CONTENT_NAMES = frozenset(
     "article articlebody body content entry main maincontent page post postbody story storybody text".split()
 )
@@ -82,13 +84,20 @@ OVERLAP = 0.3
 SHAPES = ((N_KINDS, 2, 2), (N_KINDS, 2, NAMES), (N_KINDS, 2, SIZES), (N_KINDS, 2, SHARES))
 
 
+def _other_name(word: str) -> bool:
+    """Whether a word of a name is one of other parts of a page, alone or before a part's name ("commentlist")."""
+    if word in OTHER_NAMES:
+        return True
+    return any(word[:k] in OTHER_NAMES and word[k:] in PART_NAMES for k in range(2, len(word) - 2))
+
+
 def _names_of(attributes: str, memo: dict[str, tuple[int, bool]]) -> tuple[int, bool]:
     """(0 none, 1 content, 2 other; unseen) from an element's attributes."""
     known = memo.get(attributes)
     if known is None:
         words = {w.lower() for value in _NAMES.findall(attributes) for w in _NAME_WORD.findall(value)}
         joined = {re.sub("[^a-z]", "", v.lower()) for v in _NAMES.findall(attributes)}
-        name = 2 if words & OTHER_NAMES else 1 if (words | joined) & CONTENT_NAMES else 0
+        name = 2 if any(map(_other_name, words)) else 1 if (words | joined) & CONTENT_NAMES else 0
         known = (name, bool(_UNSEEN.search(attributes)))
         if len(memo) < 10_000:
             memo[attributes] = known
@@ -126,7 +135,8 @@ class Pages:
         root = self._node(-1, _KIND["html"], 0)
         tags, nodes = ["#root"], [root]
         at, end, links = 0, len(html), 0
-        search = _TAG.search
+        # No tag ends after the last bracket, so that open ones are not looked at again and again.
+        search, last = _TAG.search, html.rfind(">") + 1
 
         def close(depth: int) -> None:
             nonlocal links
@@ -143,9 +153,10 @@ class Pages:
                 self.texts.append((self.page, self.block, leaf, text))
 
         while at < end:
-            m = search(html, at)
+            m = search(html, at, last) if at < last else None
             if m is None:
-                put(html[at:])
+                rest, _, _ = html[at:].partition("<!--")
+                put(rest)
                 break
             if m.start() > at:
                 put(html[at : m.start()])
@@ -236,16 +247,18 @@ def told_states(pages: Pages, columns: dict[str, np.ndarray]) -> np.ndarray:
 
 def prior_counts() -> list[np.ndarray]:
     """Mild counts for what a sample may lack: states last, content begins at articles, other kinds are not content."""
-    move, name, size, share = (np.full(shape, smooth) for shape, smooth in zip(SHAPES, (0.5, 0.05, 0.5, 0.5)))
+    move, name, size, share = (np.full(shape, smooth) for shape, smooth in zip(SHAPES, (0.5, 0.01, 0.5, 0.5)))
     for k, kind in enumerate(_KIND_NAMES):
         move[k] += [[40.0, 0.5], [0.5, 40.0]]
         if kind == "article":
             move[k] = [[0.1, 40.0], [0.5, 40.0]]
         if kind == "box":
             move[k] += [[0.0, 2.0], [3.0, 0.0]]
-        if k in _OTHER_KINDS or kind == "header":
+        if kind == "header":
             move[k] += [[20.0, 0.0], [20.0, 0.0]]
-        name[k] += [[20.0, 0.2, 4.0], [20.0, 2.0, 0.02]]
+        if k in _OTHER_KINDS:  # not content wherever they stand, so this outweighs that states last
+            move[k] = [[80.0, 0.1], [80.0, 0.1]]
+        name[k] += [[20.0, 0.2, 16.0], [20.0, 2.0, 0.0]]
     size += np.array([[8, 8, 6, 4, 2, 1, 1, 1], [2, 2, 2, 4, 6, 8, 8, 8]])[None]
     share += np.array([[4, 2, 2, 8], [16, 3, 0.5, 0.5]])[None]
     return [move, name, size, share]

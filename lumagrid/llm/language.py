@@ -10,8 +10,8 @@ Training is expectation-maximisation over a bounded sample of labelled texts: ea
 languages times vocabulary, reach the driver. Language priors come from all labelled rows.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and so is every text if nothing was
-learned; characters outside the vocabulary are pieces of a small probability; words of more than 24
-characters are scored in parts of 24; equal scores go to the first language in alphabetical order; null
+learned; characters outside the vocabulary are pieces of a small probability; words of any length are scored
+whole, in a window of the longest piece; characters that are no letters, such as fractions, separate words; equal scores go to the first language in alphabetical order; null
 labels teach nothing; repeated rows are rows of their own; an empty table gives an empty result.
 """
 
@@ -31,11 +31,12 @@ from lumagrid.llm.common import materialise, ready
 #: Labelled texts per language that the pieces are learned from (expected number of a sample by hash).
 SAMPLE = 600
 ROUNDS = 3
-LONGEST_WORD, LONGEST_PIECE = 24, 16
 SMOOTHING, UNKNOWN = 0.02, 1e-7
 MARK = "▁"
-#: Distinct words whose scores a task remembers.
-REMEMBERED = 400_000
+#: Distinct words whose scores a task remembers, and their letters.
+REMEMBERED, REMEMBERED_LETTERS = 400_000, 16 << 20
+#: Cells of one batch of words, and positions between two scalings of the recursion.
+BATCH_CELLS, SCALED_EVERY = 1 << 18, 8
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -47,79 +48,87 @@ def read_pieces(path: str) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = range(model.get_piece_size())
     plain = (i for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)))
-    found = {p for p in (model.id_to_piece(i).lower() for i in plain) if 0 < len(p) <= LONGEST_PIECE}
-    return sorted(found)
+    return sorted({model.id_to_piece(i).lower() for i in plain} - {""})
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Stretches of letters, in lower case."""
+    found = LETTERS.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return "".join(c if c.isalpha() else " " for c in " ".join(found)).split()
 
 
-def parts_of(word: str) -> list[str]:
-    """The marked word, in parts that the recursion handles."""
-    if len(word) < LONGEST_WORD:
-        return [MARK + word]
-    return [(MARK if i == 0 else "") + word[i : i + LONGEST_WORD - 1] for i in range(0, len(word), LONGEST_WORD - 1)]
+def longest_of(vocabulary: dict[str, int]) -> int:
+    return max(map(len, vocabulary), default=1)
 
 
 class Lattice:
-    """Words of one length and the vocabulary numbers of all their substrings."""
+    """Words of one length and the vocabulary numbers of all their substrings of up to ``longest`` characters."""
 
-    def __init__(self, words: list[str], vocabulary: dict[str, int]):
-        self.n = len(words[0])
+    def __init__(self, words: list[str], vocabulary: dict[str, int], longest: int):
+        self.n, self.longest, self.words = len(words[0]), longest, len(words)
         unknown, none = len(vocabulary), len(vocabulary) + 1
         get = vocabulary.get
-        self.edges: list[tuple[int, int, np.ndarray]] = []
+        #: For each end, (start, numbers) of the pieces that end there.
+        self.ends: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(self.n + 1)]
         for i in range(self.n):
-            for j in range(i + 1, min(self.n, i + LONGEST_PIECE) + 1):
+            for j in range(i + 1, min(self.n, i + longest) + 1):
                 missing = unknown if j == i + 1 else none
-                ids = np.fromiter((get(w[i:j], missing) for w in words), np.int64, len(words))
-                if j == i + 1 or (ids != none).any():
-                    self.edges.append((i, j, ids))
+                ids = [get(w[i:j], missing) for w in words]
+                if j == i + 1 or any(x != none for x in ids):
+                    self.ends[j].append((i, np.array(ids, np.int64)))
 
     def forward(self, chance: np.ndarray) -> np.ndarray:
-        """(languages, words): summed probability of all segmentations. chance: (languages, vocabulary + 2)."""
-        alpha = np.zeros((self.n + 1, chance.shape[0], len(self.edges[0][2])))
-        alpha[0] = 1
-        for i, j, ids in self.edges:
-            alpha[j] += alpha[i] * chance[:, ids]
-        return alpha[self.n]
+        """(languages, words): log of the summed probability of all segmentations. chance: (languages, vocabulary + 2).
+
+        Only the sums at the last ``longest`` positions are held; they are scaled together as they shrink.
+        """
+        held = self.longest + 1
+        ring = np.zeros((held, chance.shape[0], self.words))
+        ring[0], scale = 1, np.zeros(ring.shape[1:])
+        for j in range(1, self.n + 1):
+            ring[j % held] = sum(ring[i % held] * chance[:, ids] for i, ids in self.ends[j])
+            if j % SCALED_EVERY == 0:
+                top = ring.max(axis=0)
+                ring /= top
+                scale += np.log(top)
+        return np.log(ring[self.n % held]) + scale
 
     def expected(self, chance: np.ndarray, weight: np.ndarray, total: np.ndarray) -> None:
-        """Adds the expected piece counts of the words, each ``weight`` times, to ``total``."""
-        words = len(weight)
-        alpha, beta = np.zeros((self.n + 1, words)), np.zeros((self.n + 1, words))
-        alpha[0] = beta[self.n] = 1
-        for i, j, ids in self.edges:
-            alpha[j] += alpha[i] * chance[ids]
-        for i, j, ids in reversed(self.edges):
-            beta[i] += chance[ids] * beta[j]
-        share = weight / alpha[self.n]
-        for i, j, ids in self.edges:
-            total += np.bincount(ids, alpha[i] * chance[ids] * beta[j] * share, len(total))
+        """Adds the expected piece counts of the words, each ``weight`` times, to ``total``; sums are held as logs."""
+        with np.errstate(divide="ignore"):
+            logs = np.log(chance)
+        ahead, behind = (np.full((self.n + 1, self.words), -np.inf) for _ in range(2))
+        ahead[0] = behind[self.n] = 0
+        for j in range(1, self.n + 1):
+            for i, ids in self.ends[j]:
+                ahead[j] = np.logaddexp(ahead[j], ahead[i] + logs[ids])
+        for j in range(self.n, 0, -1):
+            for i, ids in self.ends[j]:
+                behind[i] = np.logaddexp(behind[i], logs[ids] + behind[j])
+        for j in range(1, self.n + 1):
+            for i, ids in self.ends[j]:
+                share = np.exp(ahead[i] + logs[ids] + behind[j] - ahead[self.n])
+                total += np.bincount(ids, share * weight, len(total))
 
 
 def by_length(words: list[str]) -> Iterator[np.ndarray]:
-    """Places of the words of each length, some thousands at a time."""
+    """Places of the words of each length, as many at a time as a bounded array holds."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     for size in np.unique(sizes):
         own = np.flatnonzero(sizes == size)
-        for at in range(0, len(own), 8192):
-            yield own[at : at + 8192]
+        many = max(1, min(8192, BATCH_CELLS // max(int(size), 1)))
+        for at in range(0, len(own), many):
+            yield own[at : at + many]
 
 
 def log_chances(words: list[str], vocabulary: dict[str, int], chance: np.ndarray) -> np.ndarray:
-    """(words, languages): log probability of each word."""
-    parts, owner = [], []
-    for k, word in enumerate(words):
-        for part in parts_of(word):
-            parts.append(part)
-            owner.append(k)
+    """(words, languages): log probability of each word with its mark."""
+    marked, longest = [MARK + w for w in words], longest_of(vocabulary)
     out = np.zeros((len(words), chance.shape[0]))
-    owner = np.array(owner, np.int64)
-    for own in by_length(parts):
-        scored = np.log(Lattice([parts[i] for i in own.tolist()], vocabulary).forward(chance)).T
-        np.add.at(out, owner[own], scored)
+    for own in by_length(marked):
+        out[own] = Lattice([marked[i] for i in own.tolist()], vocabulary, longest).forward(chance).T
     return out
 
 
@@ -155,7 +164,7 @@ def train(
         for batch in batches:
             found: Counter[tuple[int, str]] = Counter()
             for own, body in zip(batch.column("l").to_pylist(), batch.column("t").to_pylist()):
-                found.update((own, part) for word in words_of(body) for part in parts_of(word))
+                found.update((own, MARK + word) for word in words_of(body))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([k[0] for k in found], pa.int32()),
@@ -175,6 +184,7 @@ def train(
         def expect(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             names, chance = sent.value
             vocabulary = {p: i for i, p in enumerate(names)}
+            longest = longest_of(vocabulary)
             total = np.zeros(chance.shape)
             for batch in batches:
                 own = batch.column("l").to_numpy()
@@ -183,7 +193,7 @@ def train(
                     mine = np.flatnonzero(own == language)
                     for at in by_length([words[i] for i in mine.tolist()]):
                         picked = mine[at]
-                        lattice = Lattice([words[i] for i in picked.tolist()], vocabulary)
+                        lattice = Lattice([words[i] for i in picked.tolist()], vocabulary, longest)
                         lattice.expected(chance[language], n[picked], total[language])
             language, piece = np.nonzero(total[:, : len(names)])
             yield pa.RecordBatch.from_arrays(
@@ -212,12 +222,13 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", into: str
         own = sent.value
         width = len(own.languages)
         known: dict[str, int] = {}
-        scores = np.zeros((0, width))
+        scores, letters = np.zeros((0, width)), 0
         for texts in batches:
-            if len(known) > REMEMBERED:
-                known, scores = {}, np.zeros((0, width))
+            if len(known) > REMEMBERED or letters > REMEMBERED_LETTERS:
+                known, scores, letters = {}, np.zeros((0, width)), 0
             rows = [words_of(t) for t in texts.to_pylist()]
             new = list({w for row in rows for w in row if w not in known})
+            letters += sum(map(len, new))
             known.update(zip(new, range(len(known), len(known) + len(new))))
             scores = np.concatenate((scores, log_chances(new, own.vocabulary, own.chance))) if new else scores
             names, values = [], []

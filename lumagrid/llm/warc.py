@@ -6,7 +6,9 @@ a shuffle: a record has all that its derivatives need. Record ids of derivatives
 the response, so that a repeated task writes the same bytes.
 
 Edge cases: a record that is null, cut short, not WARC, or not a response gives one row without a type that
-says so in ``problem``; a response without payload gives derivatives with empty text; header fields keep
+says so in ``problem``; so does one more row beside the metadata record where the body's content coding cannot be
+undone (cut short, or other than gzip, of any number of members, and deflate, raw or not), and no conversion
+record is made of it; a response without payload gives derivatives with empty text; header fields keep
 their order and repeats; unknown charsets and broken bytes are read as UTF-8 with replacement; repeated
 rows give repeated derivatives; an empty table gives an empty result; other columns are left out but for the key.
 """
@@ -35,14 +37,16 @@ _SCHEMA = (
 _KINDS = [pa.string()] * 7 + [pa.int64(), pa.binary(), pa.string()]
 _NAMES = [field.split()[0] for field in _SCHEMA.split(", ")]
 
-_UNSHOWN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>.*?</head\s*>")
+_UNSHOWN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)")
+_HEAD, _HEAD_END = re.compile(r"(?i)<head\b[^>]*>"), re.compile(r"(?i)</head\s*>")
 _BREAK = re.compile(
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html"
     r"|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
 )
 _MARKUP = re.compile(r"</?[a-zA-Z][^>]*>|<[!?][^>]*>")
+_OPEN = re.compile(r"(?is)<!--.*")
 _CHARSET = re.compile(rb"""(?i)charset\s*=\s*["']?([\w.:-]+)""")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
+_TITLE, _TITLE_END = re.compile(r"(?i)<title\b[^>]*>"), re.compile(r"(?i)</title\s*>")
 
 
 def digest(data: bytes) -> str:
@@ -105,13 +109,32 @@ def _decoded(fields: list[tuple[str, str]], body: bytes) -> bytes:
             if size == 0:
                 break
         body = b"".join(parts) if parts else body
-    coding = (_get(fields, "Content-Encoding") or "").lower()
-    if coding in ("gzip", "x-gzip", "deflate"):
+    for coding in reversed((_get(fields, "Content-Encoding") or "").lower().split(",")):
+        body = _uncoded(coding.strip(), body)
+    return body
+
+
+def _uncoded(coding: str, body: bytes) -> bytes:
+    """Body without one content coding; ValueError tells why it cannot be undone."""
+    if coding in ("", "identity") or not body:
+        return body
+    if coding not in ("gzip", "x-gzip", "deflate"):
+        raise ValueError(f"content coding {coding} is not read")
+    kinds = (-zlib.MAX_WBITS,) if coding == "deflate" else ()
+    for kind in (zlib.MAX_WBITS + 32, *kinds):
+        parts, rest = [], body
         try:
-            body = zlib.decompressobj(47).decompress(body)
+            while rest:
+                member = zlib.decompressobj(kind)
+                parts.append(member.decompress(rest))
+                if not member.eof:
+                    raise ValueError("coded body is cut short")
+                # Another gzip member may follow; what else does is no part of the body.
+                rest = member.unused_data if member.unused_data[:2] == b"\x1f\x8b" else b""
+            return b"".join(parts)
         except zlib.error:
-            return b""
-    return body
+            continue
+    raise ValueError(f"content coding {coding} is broken")
 
 
 def _text(fields: list[tuple[str, str]], body: bytes) -> str:
@@ -122,13 +145,32 @@ def _text(fields: list[tuple[str, str]], body: bytes) -> str:
         return body.decode("utf-8", "replace")
 
 
+def _without_heads(markup: str) -> str:
+    """Markup without closed head elements; each is looked for from where the last one ended."""
+    parts, at = [], 0
+    while (start := _HEAD.search(markup, at)) and (end := _HEAD_END.search(markup, start.end())):
+        parts.append(markup[at : start.start()])
+        at = end.end()
+    return "".join(parts) + markup[at:]
+
+
 def plain(markup: str) -> str:
     """Shown text: a line for each block, white space within it made one space, empty lines left out."""
-    text = _MARKUP.sub("", _BREAK.sub("\n", _UNSHOWN.sub("", markup)))
+    # No tag ends after the last bracket, so none is looked for there: open tags cost no second look.
+    cut = markup.rfind(">") + 1
+    text = _without_heads(_UNSHOWN.sub("", markup[:cut]))
+    text = _MARKUP.sub("", _BREAK.sub("\n", text)) + _OPEN.sub("", markup[cut:])
     lines = (" ".join(line.split()) for line in unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
+def _title(markup: str) -> str:
+    markup = markup[: markup.rfind(">") + 1]
+    start = _TITLE.search(markup)
+    end = _TITLE_END.search(markup, start.end()) if start else None
+    return " ".join(unescape(markup[start.end() : end.start()]).split()) if end else ""
+
+
 def _new_id(source: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source}#{kind}')}>"
 
@@ -146,26 +188,32 @@ def derive(record: bytes | None) -> list[tuple]:
         return [(None,) * 9 + (str(problem),)]
     target, date = _get(fields, "WARC-Target-URI"), _get(fields, "WARC-Date")
     status, http, body = _payload(block)
-    shown = _text(http, _decoded(http, body))
+    problem = None
+    try:
+        shown = _text(http, _decoded(http, body))
+    except ValueError as found:
+        shown, problem = "", str(found)
     stated = (_get(fields, "WARC-Block-Digest"), _get(fields, "WARC-Payload-Digest"))
     own = (digest(block), digest(body))
     ids = {kind: _new_id(source, kind) for kind in ("metadata", "conversion")}
-    title = _TITLE.search(shown)
     about = [
-        ("conversion-record", ids["conversion"]),
+        *(() if problem else (("conversion-record", ids["conversion"]),)),
         ("http-status", status),
         *((f"source-{n}", v) for n, v in fields),
         *((f"http-{n}", v) for n, v in http),
         ("computed-block-digest", own[0]),
         ("computed-payload-digest", own[1]),
         *(("digest-mismatch", s) for s, o in zip(stated, own) if s and s.startswith("sha1:") and s != o),
-        ("title", " ".join(unescape(title[1]).split()) if title else ""),
+        ("title", _title(shown)),
     ]
     blocks = {
         "metadata": ("application/warc-fields", "".join(f"{n}: {v}\r\n" for n, v in about).encode()),
         "conversion": ("text/plain; charset=UTF-8", plain(shown).encode("utf-8", "replace")),
     }
     rows = []
+    if problem:
+        del blocks["conversion"]
+        rows.append((None, None, source, target, date, None, None, None, None, problem))
     for kind, (content, data) in blocks.items():
         other = ids["conversion" if kind == "metadata" else "metadata"]
         head = [
@@ -176,7 +224,7 @@ def derive(record: bytes | None) -> list[tuple]:
             ("WARC-Refers-To", source),
             *((("WARC-Refers-To-Target-URI", target),) if target else ()),
             *((("WARC-Refers-To-Date", date),) if date else ()),
-            ("WARC-Concurrent-To", other),
+            *(() if problem else (("WARC-Concurrent-To", other),)),
             ("WARC-Block-Digest", digest(data)),
             ("WARC-Source-Block-Digest", stated[0] or own[0]),
             ("WARC-Source-Payload-Digest", stated[1] or own[1]),

@@ -90,11 +90,39 @@ def test_language_forward_sums_all_segmentations():
             (chance[0, vocabulary[word[:j]]] if word[:j] in vocabulary else 1e-7 if j == 1 else 0) * total(word[j:]) for j in cuts
         )
 
-    for word in ("a", "ab", "abab", "xb", "aabba"):
+    for word in ("a", "ab", "abab", "xb", "aabba", "ab" * 9, "x" * 20 + "ab"):
         got = language.log_chances([word], vocabulary, chance)[0, 0]
         assert got == pytest.approx(np.log(total(language.MARK + word)))
 
 
+def test_language_words_are_scored_whole_at_any_length():
+    import numpy as np
+
+    pieces = ["a", "ab", "b", language.MARK, "abababababababababab"]
+    vocabulary = {p: i for i, p in enumerate(pieces)}
+    chance = np.array([[0.4, 0.2, 0.1, 0.2, 0.1, 1e-7, 0.0], [0.1, 0.1, 0.5, 0.2, 0.1, 1e-7, 0.0]])
+    word = "ab" * 300 + "x" * 60 + "ba" * 100
+    marked = language.MARK + word
+    for k in range(2):
+        sums = [0.0] + [-np.inf] * len(marked)
+        for j in range(1, len(marked) + 1):
+            for i in range(max(0, j - 20), j):
+                at = vocabulary.get(marked[i:j], 5 if j == i + 1 else 6)
+                if chance[k, at]:
+                    sums[j] = np.logaddexp(sums[j], sums[i] + np.log(chance[k, at]))
+        assert language.log_chances([word], vocabulary, chance)[0, k] == pytest.approx(sums[-1])
+    # Expected counts cover all characters of a long word.
+    total = np.zeros(7)
+    language.Lattice([marked], vocabulary, 20).expected(chance[0], np.array([2.0]), total)
+    sizes = np.array([len(p) for p in pieces] + [1, 0])
+    assert total @ sizes == pytest.approx(2 * len(marked))
+
+
+def test_language_takes_letters_only():
+    assert language.words_of("Ab½cd ² ① _x 7y") == ["ab", "cd", "x", "y"]
+    assert language.words_of("½ ² ①") == language.words_of("") == language.words_of(None) == []
+
+
 def test_language_is_told_and_held_out_texts_too(spark):
     rng = random.Random(2)
     speech = {"en": "the and with that house water river stone", "de": "und der nicht mit haus wasser fluss stein"}
@@ -107,7 +135,7 @@ def test_language_is_told_and_held_out_texts_too(spark):
     model = language.train(table.filter("doc_id % 3 <> 1"), pieces, "text", "lang", F.xxhash64("doc_id"))
     told = language.predict(table, model).collect()
     assert all(r["language"]["lang"] == r["lang"] and 0.5 < r["language"]["score"] <= 1 for r in told)
-    odd = [*ODD, (8, "123 !!"), (9, "ß" * 5000)]
+    odd = [*ODD, (7, "½ ²"), (8, "123 !!"), (9, "ß" * 5000)]
     got = {r["text"]: r["language"] for r in language.predict(docs_of(spark, odd), model).collect()}
     for text in (None, "", "   \n\t ", "123 !!"):
         assert got[text]["lang"] == "und" and got[text]["score"] == 0
@@ -137,6 +165,40 @@ def test_html_keeps_the_article(spark):
     assert html.extract(empty, html.train(empty, "html", F.xxhash64("page_id"))).count() == 0
 
 
+LONG = "<p>" + "A long paragraph of words in the article. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "extra",
+    [
+        "<aside>Side</aside>",
+        "<aside><p>See our other stories, which are many and long to read</p></aside>",
+        "<form><label>Your name</label><input></form>",
+        "<ol class=commentlist><li>Nice post</li></ol>",
+        "<div class='reader-responses'><p>Agreed with all of that</p></div>",
+        "<div class=warning>Old page</div>",
+        "<footer>Filed under news</footer>",
+        "<div class=copyright>c 2024 Site</div>",
+    ],
+)
+def test_html_leaves_other_parts_out_under_unseen_names(extra):
+    fixed = html.potentials([0 * t for t in html.prior_counts()])
+    want = ["T " + " ".join(LONG[3:-4].split())]
+    assert html.main_texts([f"<body><article><h1>T</h1>{LONG}{extra}</article></body>"], fixed) == want
+    assert html.main_texts([f"<body><div class=content><h1>T</h1>{LONG}</div>{extra}</body>"], fixed) == want
+
+
+def test_long_texts_of_open_tags_take_linear_time():
+    import time
+
+    start = time.time()
+    for text in ("<a " * 300_000, "<head>" * 150_000, "<title>" * 150_000, "<!--" * 200_000):
+        warc.plain(text)
+        warc._title(text)
+        html.Pages().add(text)
+    assert time.time() - start < 20
+
+
 def test_html_messages_give_the_exact_marginals():
     import itertools
 
@@ -188,6 +250,31 @@ def test_warc_derivatives_refer_to_their_source(spark):
     assert warc._decoded([("Transfer-Encoding", "chunked")], coded) == b"hello"
 
 
+def test_warc_bodies_are_read_whole_or_named():
+    import gzip
+    import zlib
+
+    def response(coding, body):
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Encoding: {coding}\r\n\r\n".encode() + body
+        return warc.build([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], block)
+
+    raw = zlib.compressobj(wbits=-15)
+    good = {
+        "gzip": gzip.compress(b"<p>one ") + gzip.compress(b"two") + b"\0" * 8,
+        "deflate": raw.compress(b"<p>one two") + raw.flush(),
+        "deflate, gzip": gzip.compress(zlib.compress(b"<p>one two")),
+        "identity": b"<p>one two",
+    }
+    for coding, body in good.items():
+        kinds = {r[0]: r for r in warc.derive(response(coding, body))}
+        assert set(kinds) == {"metadata", "conversion"} and kinds["conversion"][-1] is None
+        assert warc.parse(kinds["conversion"][8])[1] == b"one two"
+    for coding, body in {"br": b"??", "gzip": gzip.compress(b"a" * 99)[:-9], "x-gzip": b"nope", "deflate": b"\xff\xff"}.items():
+        kinds = {r[0]: r for r in warc.derive(response(coding, body))}
+        assert set(kinds) == {"metadata", None} and kinds[None][-1] and kinds["metadata"][-1] is None
+        assert b"conversion-record" not in warc.parse(kinds["metadata"][8])[1]
+
+
 def test_surrogates_keep_type_form_and_identity(spark):
     texts = ODD[:6] + [
         (10, "Mail bo.42@mail8.example.com or BO.42@mail8.example.com, 42.144.35.254, +1 (988) 555-2485."),
