@@ -42,6 +42,10 @@ from lumagrid.llm.common import ready
 BLOCK_BYTES = 6 << 20
 #: The documents of a block travel in pieces of about this many token numbers.
 PIECE = 1 << 18
+#: Bytes of a block's digest.
+MARK = 16
+#: A task remembers the ids of this many bytes of pre-tokens, then forgets them all and merges anew.
+REMEMBERED_BYTES = 32 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -154,9 +158,10 @@ class _Block:
     def packets(self, block: int, of_words: bool) -> Iterator[tuple[int, int, bytes, bytes]]:
         """(block, bucket, numbers, pre-tokens), or pieces of documents: (block, -1 - piece, numbers, keys).
 
-        A piece's keys start with the number of pre-tokens of the block, against which they are checked.
+        Numbers of pre-tokens and keys of pieces start with a digest of the whole block, against which they are checked.
         """
         words = [w.encode() for w in self.numbers]
+        mark = self.digest(words)
         use = np.bincount(np.concatenate(self.seen), minlength=len(words))
         number = np.empty(len(words), np.uint32)
         number[np.argsort(-use, kind="stable")] = np.arange(len(words), dtype=np.uint32)
@@ -167,14 +172,23 @@ class _Block:
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 own = by_bucket[edges[b] : edges[b + 1]]
                 steps = np.diff(number[own].astype(np.int64), prepend=0)
-                yield block, b, _pack_numbers(steps), _pack_bytes([words[i] for i in own.tolist()])
+                yield block, b, mark + _pack_numbers(steps), _pack_bytes([words[i] for i in own.tolist()])
             return
         counts = np.array([len(x) for x in self.seen])
         for piece, (lo, hi) in enumerate(_slices(counts, PIECE)):
             tokens = number[np.concatenate(self.seen[lo:hi])]
-            keys = struct.pack("<I", len(words)) + _pack_keys(self.keys[lo:hi], counts[lo:hi])
+            keys = mark + _pack_keys(self.keys[lo:hi], counts[lo:hi])
             yield block, -1 - piece, _pack_numbers(tokens), keys
 
+    def digest(self, words: list[bytes]) -> bytes:
+        """Tells blocks of other documents, or of the same in another order, apart."""
+        told = hashlib.blake2b(digest_size=MARK)
+        for part in (self.keys, [len(w) for w in words], [len(x) for x in self.seen]):
+            told.update(repr(part).encode())
+        for data in (*words, *self.seen):
+            told.update(data)
+        return told.digest()
+
 
 def _pack_keys(keys: list[int | None], counts: np.ndarray) -> bytes:
     named = np.array([k is not None for k in keys], np.uint8).tobytes()
@@ -201,7 +215,8 @@ _PACKET = "block bigint, bucket int, numbers binary, data binary"
 def pretokens(docs: DataFrame, text: str, key: str, pattern: str, buckets: int, of_words: bool) -> DataFrame:
     """Blocks of numbered pre-tokens: packets of the distinct ones, or the numbers of each document in order.
 
-    Both come from the same blocks, so ``docs`` must give the same partitions each time, as a table scan does.
+    Both come from the same blocks, so ``docs`` must give the same partitions each time, as a table scan does; blocks
+    carry a digest of their keys, words and positions, and ``encode`` fails where the two readings differ.
     """
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,15 +239,18 @@ def encoded_packets(packets: DataFrame, ranks) -> DataFrame:
     """The packets with ids in place of pre-tokens; each distinct pre-token is merged once, where it meets."""
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = ranks.value, {}
+        table, known, held = ranks.value, {}, 0
         for batch in batches:
             rows = []
+            if held > REMEMBERED_BYTES:
+                known, held = {}, 0
             for block, bucket, numbers, data in zip(*(c.to_pylist() for c in batch.columns)):
                 made = []
                 for word in _unpack_bytes(data):
                     ids = known.get(word)
                     if ids is None:
                         ids = known[word] = np.array(merge(word, table), np.uint32).tobytes()
+                        held += len(word) + len(ids)
                     made.append(ids)
                 rows.append((block, bucket, numbers, _pack_bytes(made)))
             yield _rows_out(rows)
@@ -252,13 +270,14 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     pieces = pretokens(docs, text, key, pattern, buckets, of_words=False)
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
+        marks = {x[:MARK] for x in (*left.column("numbers").to_pylist(), *right.column("data").to_pylist())}
+        if len(marks) != 1 or not right.num_rows:
+            raise ValueError("the documents came in other partitions when they were read again")
         packets = zip(left.column("numbers").to_pylist(), left.column("data").to_pylist())
-        flat, starts, sizes = _by_number([(np.cumsum(_unpack_numbers(n)), _unpack_bytes(d)) for n, d in packets])
+        flat, starts, sizes = _by_number([(np.cumsum(_unpack_numbers(n[MARK:])), _unpack_bytes(d)) for n, d in packets])
         found = []
         for numbers, data in zip(right.column("numbers").to_pylist(), right.column("data").to_pylist()):
-            if struct.unpack_from("<I", data)[0] != len(sizes):
-                raise ValueError("the documents came in other partitions when they were read again")
-            keys, counts = _unpack_keys(data[4:])
+            keys, counts = _unpack_keys(data[MARK:])
             tokens = _unpack_numbers(numbers)
             n = sizes[tokens]
             stops = np.cumsum(n)

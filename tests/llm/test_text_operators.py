@@ -46,6 +46,15 @@ def test_bpe_is_what_tiktoken_does(spark):
     assert empty.count() == 0
 
 
+def test_bpe_fails_on_documents_that_change_between_readings(spark, monkeypatch):
+    docs = docs_of(spark, [(i, f"one two three {chr(97 + i)}") for i in range(12)]).repartition(1).sortWithinPartitions("doc_id")
+    turned, plain = docs.sortWithinPartitions(F.desc("doc_id")), bpe.pretokens
+    read = lambda d, *a, of_words: plain(docs if of_words else turned, *a, of_words=of_words)
+    monkeypatch.setattr(bpe, "pretokens", read)
+    with pytest.raises(Exception, match="other partitions"):
+        bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()
+
+
 @pytest.mark.parametrize("numbers", [[], [0, 127, 128, 32511, 32512, 32767, 32768, 2**31], list(range(500))])
 def test_packed_numbers_round_trip(numbers):
     import numpy as np
