@@ -6,7 +6,8 @@ queries with a weight other than zero. A task turns each batch of candidates int
 weights into a dense array of scores, queries by candidates. A partition by the k-th score then selects;
 batches, tasks and at last a window merge the selections.
 
-Queries travel to the tasks in blocks of bounded size; each block is one pass over the candidates.
+Queries travel to the tasks in blocks of bounded size; each block is one pass over the candidates, whose selection
+is written before the next block is fetched, so the driver holds one block and the plan does not grow with them.
 
 Edge cases: a vector that is null or holds null or non-finite components takes no part; vectors may differ
 in length (a missing component is zero); equal scores go to the smaller id; a null id is never a query and
@@ -21,10 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import ready
+from lumagrid.llm.common import materialise, ready
+from lumagrid.session import fresh_dir
 
 #: Components of the queries of one block, together.
 BLOCK_COMPONENTS = 4 << 20
@@ -163,18 +166,23 @@ def search(
     size = wanted.agg(F.sum(F.size("v") + F.lit(1))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_components))
     candidates = rows.filter(usable(F.col(vector))).select(F.col(key).cast("bigint"), F.col(vector))
-    passes = []
+    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
+
+    def one_pass(block: list) -> tuple[Broadcast, DataFrame]:
+        sent = spark.sparkContext.broadcast(sorted((int(r["id"]), list(r["v"])) for r in block))
+        found = candidates.mapInArrow(lambda it: _search(it, sent.value, k, scale), _SCHEMA)
+        ranked = found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return sent, ranked.select("query_id", "rank", "vec_id", "score")
+
+    if blocks == 1:
+        return one_pass(wanted.collect())[1]
+    wanted = materialise(wanted.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))), "queries")
+    folder = fresh_dir(spark, "selections")
     for number in range(blocks):
-        own = wanted.filter(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == number) if blocks > 1 else wanted
-        sent = spark.sparkContext.broadcast(sorted((int(r["id"]), list(r["v"])) for r in own.collect()))
-        if sent.value:
-            found = candidates.mapInArrow(lambda it, sent=sent: _search(it, sent.value, k, scale), _SCHEMA)
-            passes.append(found.withColumn("block", F.lit(number)))
-    if not passes:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    found = passes[0]
-    for more in passes[1:]:
-        found = found.union(more)
-    order = Window.partitionBy("block", "query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+        own = wanted.filter(F.col("block") == number).select("id", "v").collect()
+        if own:
+            sent, ranked = one_pass(own)
+            ranked.write.parquet(f"{folder}/block={number}")
+            sent.destroy()
+    result = "query_id bigint, rank int, vec_id bigint, score bigint"
+    return spark.read.schema(f"{result}, block int").parquet(folder).drop("block")
