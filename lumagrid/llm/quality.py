@@ -235,10 +235,15 @@ def score(
     """``docs`` with a struct: n_words, evidence (log odds), site (posterior of its path), posterior, kept."""
     ready(docs.sparkSession)
     hosted, pathed = F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
-    known = docs.select(F.col(key).alias("key"), hosted.alias("host"), pathed.alias("path"), _features_column(F.col(text)).alias("f"))
-    known = materialise(known.select("key", "host", "path", "f.words", "f.x"), "features")
+    # The columns of docs travel in a struct, where no name of theirs can meet one used here; texts are read once.
+    given = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != into))
+    known = docs.select(
+        given.alias("row"), F.col(key).alias("key"), hosted.alias("host"), pathed.alias("path"), _features_column(F.col(text)).alias("f")
+    )
+    known = materialise(known, "features")
+    features = known.select("key", "host", "path", "f.words", "f.x").filter("words > 0")
     told = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
-    labelled = known.filter("words > 0").join(told, "key").select("x", "label")
+    labelled = features.join(told, "key").select("x", "label")
     model = fit(materialise(labelled, "labelled"))
     coefficients, intercept, base = model or (np.zeros(len(FEATURES)), 0.0, 0.0)
 
@@ -249,28 +254,27 @@ def score(
         return total
 
     chance = lambda z: 1 / (1 + F.exp(-z))
-    found = sites(known.filter("words > 0").select("host", "path", chance(odds(F.col("x"))).alias("p")))
-    found = found.withColumnsRenamed({c: f"_q_{c}" for c in found.columns})
-    rows = docs.withColumn("_q_f", _features_column(F.col(text))).withColumn("_q_z", odds(F.col("_q_f.x")))
-    rows = rows.join(found, (hosted == F.col("_q_host")) & (pathed == F.col("_q_path")), "left")
-    p, c = chance(F.col("_q_z")), F.col
-    of_host = (c("_q_strength") * c("_q_prior") + c("_q_p_host") - p) / (c("_q_strength") + c("_q_n_host") - 1)
-    of_path = (c("_q_path_strength") * of_host + c("_q_p_path") - p) / (c("_q_path_strength") + c("_q_n_path") - 1)
+    found = sites(features.select("host", "path", chance(odds(F.col("x"))).alias("p")))
+    found = found.withColumnRenamed("host", "of_host").withColumnRenamed("path", "of_path")
+    rows = known.withColumn("z", odds(F.col("f.x")))
+    rows = rows.join(found, (F.col("host") == F.col("of_host")) & (F.col("path") == F.col("of_path")), "left")
+    p, c = chance(F.col("z")), F.col
+    of_host = (c("strength") * c("prior") + c("p_host") - p) / (c("strength") + c("n_host") - 1)
+    of_path = (c("path_strength") * of_host + c("p_path") - p) / (c("path_strength") + c("n_path") - 1)
     of_path = F.greatest(F.least(of_path, F.lit(1 - 1e-6)), F.lit(1e-6))
-    evidence = c("_q_z") - F.lit(base)
-    posterior = F.when(c("_q_f.words") > 0, chance(F.log(of_path / (1 - of_path)) + evidence)).otherwise(F.lit(0.0))
+    evidence = c("z") - F.lit(base)
+    posterior = F.when(c("f.words") > 0, chance(F.log(of_path / (1 - of_path)) + evidence)).otherwise(F.lit(0.0))
     posterior = F.coalesce(posterior, F.lit(0.0))
     if model is None:
-        posterior, evidence = F.when(c("_q_f.words") > 0, F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(0.0)
+        posterior, evidence = F.when(c("f.words") > 0, F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(0.0)
     result = F.struct(
-        c("_q_f.words").alias("n_words"),
+        c("f.words").alias("n_words"),
         evidence.alias("evidence"),
         of_path.alias("site"),
         posterior.alias("posterior"),
         (posterior >= threshold).alias("kept"),
     )
-    kept = [f"`{name}`" for name in docs.columns if name != into]
-    return rows.select(*kept, result.alias(into))
+    return rows.select("row.*", result.alias(into))
 
 
 def keep(docs: DataFrame, labels: DataFrame, host: Column, path: Column, **options) -> DataFrame:

@@ -205,6 +205,15 @@ def test_search_is_exact(spark):
     assert topk.search(table.limit(0), table).count() == 0 and topk.search(table, table.limit(0)).count() == 0
 
 
+def test_plan_of_a_search_does_not_grow_with_its_blocks(spark):
+    rng = np.random.default_rng(8)
+    table = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(80)], "vec_id bigint, embedding array<double>")
+    own = table.filter("vec_id % 2 = 0")
+    few, many = (topk.search(own, table, k=3, block_components=n) for n in (110, 20))
+    plans = [found._jdf.queryExecution().optimizedPlan().toString().count("\n") for found in (few, many)]
+    assert plans[0] == plans[1] and sorted(few.collect()) == sorted(many.collect()) and few.count() == 120
+
+
 def test_search_beyond_doubles(spark):
     rows = [(0, [3e5, 1.0]), (1, [2e9, -1.0]), (2, [1e13, 7.0]), (3, [1e30, 0.0])]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
@@ -239,6 +248,58 @@ def test_quality_tells_held_out_documents(spark):
     assert quality.score(table.limit(0), told, **places).count() == 0
 
 
+def _moments(groups, parent_of):
+    """(strength, mean) by the method of moments, in plain loops: groups {name: values}; parents by ``parent_of``."""
+    every = [x for values in groups.values() for x in values]
+    parents = {}
+    for name, values in groups.items():
+        parents.setdefault(parent_of(name), []).append(values)
+    within = sum((x - np.mean(v)) ** 2 for v in groups.values() for x in v)
+    noise = within / max(len(every) - len(groups), 1)
+    between = sum(len(v) * (np.mean(v) - np.mean(np.concatenate(own))) ** 2 for own in parents.values() for v in own)
+    room = len(every) - sum(sum(len(v) ** 2 for v in own) / sum(map(len, own)) for own in parents.values())
+    variance = (between - (len(groups) - len(parents)) * noise) / max(room, 1)
+    mean = np.mean(every)
+    return max(mean * (1 - mean) / max(variance, mean * (1 - mean) * 1e-4) - 1, 1.0), mean
+
+
+def test_posteriors_equal_plain_loops(spark):
+    rows, labels = _quality_rows()
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    told = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    places = {"host": quality.host_of(F.col("source")), "path": quality.path_of(F.col("source"))}
+    got = {r["doc_id"]: r["quality"] for r in quality.score(table, told, **places).collect()}
+    seen = [y for i, y in labels if i is not None and i < 240 and y is not None]
+    base = np.log(seen.count(1) / seen.count(0))
+    odds = {i: r["evidence"] + base for i, r in got.items()}
+    chance = {i: 1 / (1 + np.exp(-z)) for i, z in odds.items()}
+    by_host, by_path = {}, {}
+    for i, _, source, _ in rows:
+        host, path = source.split("/")[2:4]
+        by_host.setdefault(host, []).append(chance[i])
+        by_path.setdefault((host, path), []).append(chance[i])
+    strength, prior = _moments(by_host, lambda name: None)
+    path_strength, _ = _moments(by_path, lambda name: name[0])
+    for i, _, source, _ in rows:
+        host, path = source.split("/")[2:4]
+        above = (strength * prior + sum(by_host[host]) - chance[i]) / (strength + len(by_host[host]) - 1)
+        site = (path_strength * above + sum(by_path[host, path]) - chance[i]) / (path_strength + len(by_path[host, path]) - 1)
+        site = min(max(site, 1e-6), 1 - 1e-6)
+        posterior = 1 / (1 + np.exp(-(np.log(site / (1 - site)) + got[i]["evidence"])))
+        assert abs(got[i]["site"] - site) < 1e-6 and abs(got[i]["posterior"] - posterior) < 1e-6
+
+
+def test_quality_leaves_columns_of_any_name_alone(spark):
+    rows, labels = _quality_rows()
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    names = ["_q_host", "_q_f", "host", "path", "key", "f", "row", "z", "prior", "a.b"]
+    table = table.withColumns({name: F.lit(n) for n, name in enumerate(names)})
+    told = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    kept = quality.keep(table, told, quality.host_of(F.col("source")), quality.path_of(F.col("source")))
+    assert kept.columns == table.columns
+    assert {tuple(r)[4:] for r in kept.collect()} == {tuple(range(len(names)))}
+
+
 def test_sites_shrink_by_their_size(spark):
     rng = np.random.default_rng(0)
     rows = [("big", "p", float(x)) for x in rng.beta(2, 6, 400)] + [("small", "p", 0.9), ("small", "q", 0.95)]
