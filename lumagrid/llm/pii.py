@@ -372,10 +372,10 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", counted: str | None
     find, rewrite = F.arrow_udf(_find_all, MENTIONS), F.arrow_udf(_replace_all, "string")
     columns = docs.columns
     found_in, row, chosen_in = free(docs, "_pii_found", "_pii_row", "_pii_chosen")
-    found = docs.withColumn(found_in, find(F.col(text)))
-    plain = found.filter(F.size(found_in) == 0)
-    hits = found.filter(F.size(found_in) > 0).withColumn(row, F.monotonically_increasing_id())
-    hits = materialise(hits, "mentions")
+    # Written with all texts, so that each is searched once.
+    found = docs.withColumn(found_in, find(F.col(text))).withColumn(row, F.monotonically_increasing_id())
+    found = materialise(found, "mentions")
+    plain, hits = found.filter(F.size(found_in) == 0), found.filter(F.size(found_in) > 0)
     single = hits.select(row, F.explode(found_in).alias("m")).select(row, "m.*")
     kinds = materialise(resolved(single), "resolved")
     chosen = assign(kinds.select(F.col("as_kind").alias("kind"), "entity"), key)
