@@ -15,7 +15,7 @@ reaches the threshold; a component's id is its smallest document key.
 3. Pairs whose signatures come within 4.5 standard deviations of the threshold are confirmed on
    the full sets of both texts.
 4. Components: large-star and small-star in turn until the edges stay the same; each round is a
-   table in the shared folder.
+   table in the shared folder. The stars of the first links are kept; links of the cells only join their roots.
 
 Edge cases: columns of the documents may have any names; null, empty or wordless texts have an empty set and are components of their own; rows that
 agree in key and text are equal rows and share a result; a null key never becomes a component id unless
@@ -272,7 +272,7 @@ def _cell_links(rows: DataFrame, threshold: int, width: int) -> DataFrame:
         if held:
             yield linked(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(cut, "a binary, b binary").distinct()
+    return rows.mapInArrow(cut, "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -320,8 +320,21 @@ def _mixed(placed: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame
     return rows.join(classes.select(F.xxhash64("node").alias("id"), "node", "n", "sig"), "id")
 
 
-def links(docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: int, width: int = WIDTH) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough of them to tell all components."""
+def _merged(stars: DataFrame, more: DataFrame) -> DataFrame:
+    """``stars`` (node, root) with the components joined that ``more`` (a, b) links."""
+    end = lambda name: stars.select(F.col("node").alias(name), F.col("root").alias(f"of_{name}"))
+    between = more.join(end("a"), "a", "left").join(end("b"), "b", "left")
+    between = between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).distinct()
+    between = materialise(between, "rest-links")
+    if between.isEmpty():
+        return stars
+    joined = _stars(between)
+    new = joined.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    return stars.join(new, "root", "left").select("node", F.coalesce("new", "root").alias("root")).union(joined)
+
+
+def _linked_roots(docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: int, width: int = WIDTH) -> DataFrame:
+    """(node, root) of every class that confirmed links join to a smaller one."""
     bands = _band_rows(classes)
     buckets = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("hub"), F.sum("n").alias("size"))
     members = materialise(bands.drop("n").join(buckets.filter("m > 1"), "band"), "members")
@@ -334,15 +347,15 @@ def links(docs: DataFrame, classes: DataFrame, key: str, text: str, threshold: i
     pairs = pairs.union(hubs).filter("a != b").distinct()
     pairs = materialise(_signed_pairs(pairs, classes, threshold), "pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    found = materialise(_confirmed(pairs, _texts(docs, key, text, classes, nodes), threshold, width), "links")
+    stars = _stars(materialise(_confirmed(pairs, _texts(docs, key, text, classes, nodes), threshold, width), "links"))
 
     # Whatever is still in different components: all pairs, confirmed where they meet.
-    rows = materialise(_mixed(large.select("band", "id", "m", "size"), classes, _stars(found)), "mixed")
+    rows = materialise(_mixed(large.select("band", "id", "m", "size"), classes, stars), "mixed")
     rows = rows.join(_texts(docs, key, text, classes, rows), "node")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     rows = rows.withColumn("one", F.least("cell", "other")).withColumn("two", F.greatest("cell", "other"))
     columns = ("band", "one", "two", "cell", "node", "root", "n", "sig", "packed")
-    return found.union(materialise(_cell_links(rows.select(*columns), threshold, width), "rest-links"))
+    return _merged(stars, _cell_links(rows.select(*columns), threshold, width))
 
 
 def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -> DataFrame:
@@ -358,7 +371,7 @@ def _grouped(docs: DataFrame, key: str, text: str, threshold: int, width: int) -
         ),
         "classes",
     )
-    roots = _stars(links(docs, classes, key, text, threshold, width))
+    roots = _linked_roots(docs, classes, key, text, threshold, width)
     members = classes.select("node", F.col("first.key").alias("first_key")).join(roots, "node", "left")
     members = members.withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("first_key").alias("component_id"))

@@ -114,6 +114,17 @@ def test_components_of_a_long_chain(spark):
     assert len(found) == 63 and roots == {**{f"{i:04d}".encode(): b"0000" for i in range(61)}, b"x": b"x", b"y": b"x"}
 
 
+def test_later_links_join_the_stars_found_before(spark):
+    rng = random.Random(12)
+    pairs = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)]
+    pairs = [(a, b) for a, b in pairs if a != b]
+    edges = lambda own: spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in own], "a binary, b binary")
+    for cut in (0, 30, len(pairs)):
+        found = minhash._merged(minhash._stars(edges(pairs[:cut])), edges(pairs[cut:])).collect()
+        whole = minhash._stars(edges(pairs)).collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, whole))
+
+
 def test_suffix_array_is_sorted():
     rng = random.Random(3)
     for n in (*range(1, 30), 200, 2000):
