@@ -1,8 +1,10 @@
 import datetime as dt
+import shutil
 
 import numpy as np
 
 from conftest import IMAGES, rows_of
+from lumagrid.plans.queries import QUERIES
 from lumagrid.sources import table
 from lumagrid.streaming.ingest import ingest_stream
 from lumagrid.streaming.monitor import open_task_alerts
@@ -91,3 +93,18 @@ def test_records_of_one_time_are_ordered_by_their_number(spark, tmp_path):
     query = alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "p"))
     query.trigger(availableNow=True).start().awaitTermination()
     assert rows_of(spark.read.parquet(out)) == [("b", at(0), at(30))]
+
+
+def test_a_table_of_many_files_streams_like_one_of_a_single_file(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "word " * (i + 1)) for i in range(20)], "doc_id bigint, text string")
+    rows = [(i, at(i), i, "view", 1.0, "{}") for i in range(200)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string")
+    for name, df in (("documents", docs), ("events", events)):
+        df.repartition(3).write.parquet(str(tmp_path / "many" / f"{name}.parquet"))
+        df.coalesce(1).write.parquet(str(tmp_path / "one" / "parts"), mode="overwrite")
+        (part,) = (tmp_path / "one" / "parts").glob("part-*.parquet")
+        shutil.copy(part, tmp_path / "one" / f"{name}.parquet")
+    for name, many in (("stream_ingest", 20), ("stream_open_tasks", 100)):
+        got, want = (rows_of(QUERIES[name](spark, str(tmp_path / kind))) for kind in ("many", "one"))
+        assert got == want and len(got) >= many
+    assert rows_of(QUERIES["stream_ingest"](spark, str(tmp_path / "many")))[3] == (3, 32, 1, 32)
