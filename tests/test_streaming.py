@@ -108,3 +108,21 @@ def test_a_table_of_many_files_streams_like_one_of_a_single_file(spark, tmp_path
         got, want = (rows_of(QUERIES[name](spark, str(tmp_path / kind))) for kind in ("many", "one"))
         assert got == want and len(got) >= many
     assert rows_of(QUERIES["stream_ingest"](spark, str(tmp_path / "many")))[3] == (3, 32, 1, 32)
+
+
+def test_state_is_kept_by_shard_and_not_by_task(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "task_id string, ts timestamp, status string, seq bigint"
+    rows = [(f"t{i}", at(i % 90), "STARTED", i) for i in range(300)]
+    rows += [(f"t{i}", at(95 + i % 7), "COMPLETED", 300 + i) for i in range(0, 300, 3)]
+    rows += [(None, at(2), "STARTED", 900), ("timeless", None, "STARTED", 901), ("clock", at(150), "COMPLETED", 902)]
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(folder)
+    alerts = open_task_alerts(spark.readStream.schema(schema).parquet(folder), order="seq", shards=3)
+    query = alerts.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "p"))
+    query = query.trigger(availableNow=True).start()
+    query.awaitTermination()
+    # The watermark is at minute 90: what started until minute 60 and was not completed is overdue.
+    want = {(f"t{i}", at(i % 90), at(i % 90 + 30)) for i in range(300) if i % 3 and i % 90 <= 60}
+    assert {tuple(r) for r in spark.read.parquet(out).collect()} == want | {(None, at(2), at(32))}
+    kept = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert kept and max(kept) <= 3
