@@ -5,6 +5,10 @@ blocks of bounded bytes, and the images are read once for each block: no pixel i
 band has a summed-area table, from which the sums of the pixels under any part of any window come by four look-ups.
 The difference between such a sum and the template's own bounds the summed differences of the pixels from below, and
 through them the number of misses, so most windows are ruled out before a pixel is compared.
+
+Where a hit may miss in few pixels only, templates of one shape are tried 64 at a time: their pixels are cut into one part
+more than may miss, so a hit matches all pixels of some part. For each pixel of the template and each gray value one word
+tells which of the 64 would match, and the words that a window picks out are combined part by part.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lumagrid import checks
 from lumagrid.operators.cells import binary_cells
-from lumagrid.session import fresh_dir
+from lumagrid.session import fresh_dir, materialise
 from lumagrid.sizing import BROADCAST_BYTES, BROADCAST_ROWS, within_broadcast
 
 NEAR = 5  # gray steps within which a template pixel counts as matching
@@ -30,6 +34,8 @@ FLUSH = 1 << 20  # hits handed on at a time
 
 SOON = 1 << 15  # pixels that are compared at once rather than ruled out
 FEW = 16  # a sixteenth of the windows left is few enough to look at them one by one
+WORD = 64  # templates tried at once
+PART = 4  # least pixels of a part that must match as a whole
 
 
 def _most_misses(mode: str, threshold: float, n: int) -> float:
@@ -209,18 +215,81 @@ def _kept(x, y, missed, diff, n: int, mode: str, threshold: float):
     return x[keep], y[keep], matching[keep], diff[keep]
 
 
+def _parts_to_match(mode: str, threshold: float, n: int) -> int:
+    """Into how many parts a template of ``n`` pixels is cut so that a hit matches one of them as a whole; 0 if too small.
+
+    In score mode a miss also adds ``NEAR`` at least to the summed differences.
+    """
+    cost = 1.0 + NEAR / 255.0 if mode == "score" else 1.0
+    parts = int(_most_misses(mode, threshold, n) / cost + 1e-6) + 1
+    return parts if n >= PART * parts else 0
+
+
+def near_words(features: list[np.ndarray], mode: str) -> np.ndarray:
+    """(pixel, gray value): a word whose bit i tells whether the value matches that pixel of template i."""
+    flat = np.stack([f.ravel() for f in features]).astype(np.int16)
+    bits = np.uint64(1) << np.arange(len(flat), dtype=np.uint64)
+    words = np.zeros((flat.shape[1], 256), np.uint64)
+    for own, bit in zip(flat, bits):
+        near = ~_missed(np.abs(own[:, None] - np.arange(256)), mode)
+        words |= np.where(near, bit, np.uint64(0))
+    return words
+
+
+def _dealt(words: np.ndarray, image: np.ndarray, parts: int) -> list[np.ndarray]:
+    """The pixels of the templates in ``parts`` parts, each with its share of those that few places in the image match."""
+    seen = np.bincount(image.ravel(), minlength=256)
+    order = np.argsort(np.bitwise_count(words) @ seen, kind="stable")
+    return [order[part::parts] for part in range(parts)]
+
+
+def windows_by_word(
+    image: np.ndarray, shape: tuple[int, int], words: np.ndarray, parts: int, starts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(flat positions, words): windows that match all pixels of some part, with a bit for each such template."""
+    (h, w), (fh, fw) = image.shape, shape
+    flat, rows, cols = image.ravel(), h - fh + 1, w - fw + 1
+    allowed = np.zeros(rows, bool)
+    allowed[starts] = True
+    found_at, found = [], []
+    for part in _dealt(words, image, parts):
+        (y, x), rest = divmod(int(part[0]), fw), part[1:]
+        left = words[part[0]][image[y : y + rows, x : x + cols]]
+        left[~allowed] = 0
+        y, x = np.nonzero(left)
+        at, left = y * w + x, left[y, x]
+        for k in rest.tolist():
+            left &= words[k][flat[at + (k // fw * w + k % fw)]]
+            fine = np.flatnonzero(left)
+            if 2 * len(fine) <= len(at):
+                at, left = at[fine], left[fine]
+        fine = np.flatnonzero(left)
+        found_at.append(at[fine])
+        found.append(left[fine])
+    at, where = np.unique(np.concatenate(found_at), return_inverse=True)
+    all_words = np.zeros(len(at), np.uint64)
+    np.bitwise_or.at(all_words, where, np.concatenate(found))
+    return at, all_words
+
+
 class _Stack:
     """Image bands of one width one above the other, so that many small images are handled like one large one."""
 
     def __init__(self, width: int, rows: list[int], bands: list[np.ndarray], tops: list[int], starts: list[int]):
         self.image = np.concatenate([b.reshape(-1, width) for b in bands])
-        self.table = summed_areas(self.image)
+        self._table: np.ndarray | None = None
         self.rows, self.tops, self.starts = (np.array(x, np.int64) for x in (rows, tops, starts))
         heights = np.array([b.size // width for b in bands], np.int64)
         self.own = np.repeat(np.arange(len(bands)), heights)
         self.begin = np.cumsum(heights) - heights
         self.heights = heights
 
+    @property
+    def table(self) -> np.ndarray:
+        if self._table is None:
+            self._table = summed_areas(self.image)
+        return self._table
+
     def scan(self, feature: np.ndarray, mode: str, threshold: float):
         """(row of the batch, x, y, matching, summed difference) of the windows that are hits."""
         (fh, fw), (h, w) = feature.shape, self.image.shape
@@ -238,6 +307,25 @@ class _Stack:
             x, y, matching, diff = _scan(self.image, feature, mode, threshold)
             fine = np.isin(y, starts)
             x, y, matching, diff = x[fine], y[fine], matching[fine], diff[fine]
+        return self._placed(x, y, matching, diff)
+
+    def scan_word(self, features: list[np.ndarray], words: np.ndarray, parts: int, mode: str, threshold: float):
+        """The same for templates of one shape at once: yields (place in ``features``, hits) where there are any."""
+        (fh, fw), (h, w) = features[0].shape, self.image.shape
+        place = np.arange(h) - self.begin[self.own]
+        starts = np.flatnonzero(place < np.minimum(self.starts, self.heights - fh + 1)[self.own])
+        if fw > w or not len(starts):
+            return
+        at, found = windows_by_word(self.image, (fh, fw), words, parts, starts)
+        most = _most_misses(mode, threshold, features[0].size)
+        for i, feature in enumerate(features):
+            own, missed, diff = _exact(self.image, feature, at[found >> np.uint64(i) & np.uint64(1) > 0], mode, most)
+            y, x = np.divmod(own, w)
+            x, y, matching, diff = _kept(x, y, missed, diff, feature.size, mode, threshold)
+            if len(x):
+                yield i, self._placed(x, y, matching, diff)
+
+    def _placed(self, x, y, matching, diff):
         own = self.own[y]
         return self.rows[own], x, y - self.begin[own] + self.tops[own], matching, diff
 
@@ -275,11 +363,31 @@ def _singles(column: dict[str, pa.Array], shipped, mode: str, threshold: float)
                 yield feature_id, feature.size, np.full(len(x), row), x, y + top, matching, diff
 
 
+def _in_words(shipped, mode: str, threshold: float) -> tuple[list, list]:
+    """Templates of one shape, 64 at a time, with their words and parts; and those whose hits may miss too often."""
+    by_shape: dict[tuple[int, int], list] = {}
+    singles = []
+    for feature_id, fw, data in shipped:
+        feature = np.frombuffer(data, np.uint8).reshape(-1, fw)
+        many = by_shape.setdefault(feature.shape, []) if _parts_to_match(mode, threshold, feature.size) else singles
+        many.append((feature_id, feature))
+    together = []
+    for same in by_shape.values():
+        for first in range(0, len(same), WORD):
+            ids, features = zip(*same[first : first + WORD])
+            parts = _parts_to_match(mode, threshold, features[0].size)
+            together.append((ids, features, near_words(features, mode), parts))
+    return together, singles
+
+
 def _stacked(column: dict[str, pa.Array], shipped, mode: str, threshold: float) -> Iterator[tuple]:
-    """The same by stacks of bands and their summed areas."""
+    """The same by stacks of bands, for many templates at once or by the summed areas of the stack."""
+    together, singles = _in_words(shipped, mode, threshold)
     for stack in _stacks(column):
-        for feature_id, fw, data in shipped:
-            feature = np.frombuffer(data, np.uint8).reshape(-1, fw)
+        for ids, features, words, parts in together:
+            for i, hits in stack.scan_word(features, words, parts, mode, threshold):
+                yield ids[i], features[i].size, *hits
+        for feature_id, feature in singles:
             hits = stack.scan(feature, mode, threshold)
             if hits is not None and len(hits[0]):
                 yield feature_id, feature.size, *hits
@@ -380,7 +488,7 @@ def feature_search(
     A batch of features within the broadcast bound is sent to the tasks once, and each image is read
     once for all of them. Beyond it features are dealt into blocks of about ``max_batch`` rows or ``block_bytes`` at most;
     each block is a job of its own, whose hits are written before the next block is read, so neither the driver nor
-    the plan grows with the features.
+    the plan grows with the features. The images are written once before and read for each block.
     """
     checks.share(threshold)
     if mode not in ("score", "count"):
@@ -407,6 +515,7 @@ def feature_search(
     if within_broadcast(features, "gray", max_batch, block_bytes):
         found = hits(features.collect(), prune=False)
     else:
+        images = materialise(images, "feature-images")  # read once for each block, made and dealt out once
         folder = fresh_dir(spark, "feature-hits")
         for batch in _blocks(features, max_batch, block_bytes):
             hits(batch, prune=True).write.mode("append").parquet(folder)

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import rows_of
@@ -145,3 +146,45 @@ def test_arguments(spark, pack):
         feature.feature_search(library, library.withColumnRenamed("image_id", "feature_id"), 1.5)
     with pytest.raises(ValueError):
         feature.feature_search(library, library.withColumnRenamed("image_id", "feature_id"), 0.5, "best")
+
+
+@pytest.mark.parametrize(("mode", "threshold"), [("score", 0.95), ("score", 0.9), ("count", 0.9), ("score", 1.0)])
+def test_templates_by_word_find_what_each_alone_finds(rng, mode, threshold):
+    """70 templates of one shape are more than a word holds; bands of two images lie one above the other."""
+    images = [rng.integers(97, 123, (40, 32)).astype(np.uint8), rng.integers(97, 123, (25, 32)).astype(np.uint8)]
+    features = {}
+    for k in range(70):
+        y, x = int(rng.integers(0, 25)), int(rng.integers(0, 3))
+        other = images[k % 2][y : y + 1, x : x + 30].copy()
+        other[0, rng.integers(0, 30, k % 4)] = 250  # up to three pixels miss
+        features[k] = other
+    bands = [image.ravel() for image in images]
+    column = {"gray": pa.array([b.tobytes() for b in bands], pa.binary())}
+    column |= {n: pa.array(v) for n, v in (("width", [32, 32]), ("top", [0, 0]), ("starts", [40, 25]))}
+    shipped = [(k, f.shape[1], f.tobytes()) for k, f in features.items()]
+    together, singles = feature._in_words(shipped, mode, threshold)
+    assert [len(t[0]) for t in together] == [64, 6] and not singles
+    got = []
+    for key, size, rows, x, y, matching, diff in feature._stacked(column, shipped, mode, threshold):
+        score = (matching / size + (1.0 - diff / size / 255.0)) / 2.0
+        got += zip([key] * len(rows), rows.tolist(), x.tolist(), y.tolist(), score.tolist(), matching.tolist())
+    want = brute(dict(enumerate(images)), features, threshold, mode)
+    assert want and sorted(got) == want
+
+
+def test_images_are_made_once_for_all_blocks(spark, rng, pack, tmp_path):
+    """Each block reads the images that were written once, instead of making and dealing them out again."""
+    images, features = scene(rng)
+    pack(images).write.parquet(str(tmp_path / "in"))
+    many = {k: features[10] for k in range(6)}
+    source = spark.read.parquet(str(tmp_path / "in"))
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            made.add(part.num_rows)
+            yield part
+
+    found = feature.feature_search(source.mapInArrow(counted, source.schema), pack(many, "feature_id"), 0.95, max_batch=2)
+    assert rows_of(found) == brute(images, many, 0.95, "score")
+    assert made.value <= 2 * len(images)  # once to look for tall ones, once to write them
