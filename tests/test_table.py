@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import rows_of
 from lumagrid.functions import histograms as H
 from lumagrid.operators.histogram import with_histogram
+from lumagrid.plans.queries import QUERIES
 from lumagrid.sources import table
 
 B = 4
@@ -165,3 +166,12 @@ def test_many_keys_at_once(spark, pack, tmp_path):
     filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
     assert any("bucket#" in part for part in filters)
     assert table.get_many(spark, where, keys.limit(0)).isEmpty()
+
+
+def test_an_upload_opens_each_file_once(spark, tmp_path):
+    rows = [(i, [((i * j) % 9) / 9 - 0.5 for j in range(64)], i % 4) for i in range(12)]
+    vecs = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    vecs.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    told = QUERIES["batch_upload"](spark, str(tmp_path))
+    assert "scan image" not in told._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows_of(told) == [("failed to read", 3), ("processed", 9)]
