@@ -30,10 +30,30 @@ def histogram_clusters(library: DataFrame, k: int = 8, seed: int = 17) -> DataFr
 
 
 def _assign(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest centre of each point, the first of equally near ones, and the squared distance."""
+    """Nearest centre of each point, the first of equally near ones, and the squared distance.
+
+    The parts of a point add up to ``SCALE`` at most, so every sum below is a whole number that doubles hold exactly.
+    """
+    points, centres = points.astype(np.float64), centres.astype(np.float64)
     gap = (points**2).sum(axis=1)[:, None] - 2 * (points @ centres.T) + (centres**2).sum(axis=1)
     nearest = gap.argmin(axis=1)
-    return nearest, gap[np.arange(len(points)), nearest]
+    return nearest, gap[np.arange(len(points)), nearest].astype(np.int64)
+
+
+@F.arrow_udf("array<bigint>")
+def _scaled(hist: pa.Array) -> pa.Array:
+    """Histograms in ``SCALE`` parts, rounded down."""
+    counts = hist_matrix(hist)
+    parts = counts * SCALE // np.maximum(counts.sum(axis=1), 1)[:, None]
+    ends = np.arange(0, H.BINS * len(hist) + 1, H.BINS, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(parts.ravel()))
+
+
+def _first_centres(points: DataFrame, k: int) -> list:
+    """The ``k`` distinct points with the smallest digests: digests are compared alone, then only their points are read."""
+    digests = [r["digest"] for r in points.select("digest").distinct().orderBy("digest").limit(k).collect()]
+    rows = points.filter(F.col("digest").isin(digests)).select("digest", "point").distinct().collect()
+    return [r["point"] for r in sorted(rows)[:k]]
 
 
 def content_clusters(library: DataFrame, k: int = 8, rounds: int = 4) -> DataFrame:
@@ -47,15 +67,12 @@ def content_clusters(library: DataFrame, k: int = 8, rounds: int = 4) -> DataFra
     """
     if k < 1 or rounds < 0:
         raise ValueError("k must be positive and rounds not negative")
-    whole = F.greatest(H.total(F.col("hist")), F.lit(1).cast("bigint"))
-    points = library.withColumn("whole", whole).select(
-        "image_id", F.transform("hist", lambda n: F.floor(n.cast("bigint") * SCALE / F.col("whole"))).alias("point")
-    )
-    points = materialise(points, "cluster-points")
-    seeds = points.select("point").distinct().orderBy(F.md5(H.to_csv(F.col("point")))).limit(k).collect()
+    points = library.select("image_id", _scaled("hist").alias("point"))
+    points = materialise(points.withColumn("digest", F.md5(H.to_csv(F.col("point")))), "cluster-points")
+    seeds = _first_centres(points, k)
     if not seeds:
         return points.select("image_id", F.lit(0).alias("cluster"), F.lit(0).cast("bigint").alias("distance"))
-    centres = np.array([r["point"] for r in seeds], np.int64)
+    centres = np.array(seeds, np.int64)
     many = len(centres)
     for _ in range(rounds):
 
@@ -64,7 +81,8 @@ def content_clusters(library: DataFrame, k: int = 8, rounds: int = 4) -> DataFra
             for batch in batches:
                 own = hist_matrix(batch.column("point"))
                 nearest, _ = _assign(own, centres)
-                np.add.at(total, nearest, own)
+                for cluster in np.unique(nearest):
+                    total[cluster] += own[nearest == cluster].sum(axis=0)
                 count += np.bincount(nearest, minlength=many)
             cluster, bin = np.divmod(np.arange(total.size), H.BINS)
             columns = [cluster, bin, total.ravel(), np.repeat(count, H.BINS)]
