@@ -17,16 +17,28 @@ from lumagrid.operators.cells import hist_matrix
 from lumagrid.session import materialise
 
 SCALE = 1 << 16
+ROWS_PER_TASK = 10_000  # points of 256 doubles: about 20 MB
 
 
-def histogram_clusters(library: DataFrame, k: int = 8, seed: int = 17) -> DataFrame:
-    """(image_id, cluster) by k-means on histograms scaled to sum 1."""
+def histogram_clusters(
+    library: DataFrame, k: int = 8, seed: int = 17, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """(image_id, cluster) by k-means on histograms scaled to sum 1.
+
+    Stored histograms are far smaller than their points, so a task's share of files may hold very many: the model is
+    fitted on points dealt out by their number if there are more than ``rows_per_task``.
+    """
     counts = F.transform("hist", lambda n: n.cast("double"))
     points = Normalizer(p=1.0, inputCol="counts", outputCol="features").transform(
         library.select("image_id", array_to_vector(counts).alias("counts"))
     ).select("image_id", "features")
-    model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(points)
-    return model.transform(points).select("image_id", "cluster")
+    shares = _shares(points, library.count(), rows_per_task)
+    return KMeans(k=k, seed=seed, predictionCol="cluster").fit(shares).transform(points).select("image_id", "cluster")
+
+
+def _shares(points: DataFrame, rows: int, rows_per_task: int) -> DataFrame:
+    """``points`` in partitions of about ``rows_per_task`` rows; as they are if there are no more than that."""
+    return points.repartition(-(-rows // rows_per_task)) if rows > rows_per_task else points
 
 
 def _assign(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@ import pytest
 
 from conftest import rows_of
 from lumagrid.operators import clusters, families
+from lumagrid.operators.duplicates import sketch_weights
 from test_duplicates import brute, library, near_copies
 
 
@@ -67,3 +68,42 @@ def test_clusters_do_not_depend_on_row_order(spark, rng):
     assert sum(r[2] for r in rows) < sum(r[2] for r in rows_of(clusters.content_clusters(images, 5, 0)))
     assert clusters.content_clusters(images.limit(0)).isEmpty()
     assert {r[1] for r in rows_of(clusters.content_clusters(library(spark, hists[:1] * 3), 5))} == {0}
+
+
+def test_points_are_scaled_and_assigned_in_whole_numbers(spark, rng):
+    hists = [rng.multinomial(70_001, rng.dirichlet(np.ones(256) * 0.05)) for _ in range(30)] + [np.zeros(256, np.int64)]
+    rows = library(spark, hists).select("image_id", clusters._scaled("hist").alias("point")).collect()
+    points = {r.image_id: r.point for r in rows}
+    assert points == {i: [int(n) * 65536 // max(int(h.sum()), 1) for n in h] for i, h in enumerate(hists)}
+    own = np.array([points[i] for i in range(len(hists))])
+    nearest, gap = clusters._assign(own, own[:7])
+    plain = ((own[:, None] - own[None, :7]) ** 2).sum(axis=2)
+    assert nearest.tolist() == plain.argmin(axis=1).tolist() and gap.tolist() == plain.min(axis=1).tolist()
+
+
+def test_points_of_many_rows_are_dealt_out_by_their_number(spark, rng):
+    hists = [rng.multinomial(50, rng.dirichlet(np.ones(256))) for _ in range(40)]
+    images = library(spark, hists).coalesce(1)
+    assert clusters._shares(images, 40, 10).rdd.glom().map(len).collect() == [10] * 4
+    assert clusters._shares(images, 40, 40).rdd.getNumPartitions() == 1
+    assert len(rows_of(clusters.histogram_clusters(images, 3, rows_per_task=10))) == 40
+
+
+def test_cells_of_a_level_meet_once(spark, rng):
+    hists = near_copies(rng, 20)
+    _, homes, guests, _, _ = families._grid(library(spark, hists), 0.98, 3)
+    visits = guests.groupBy("image_id", "level", "home").count().collect()
+    assert visits and all(r["count"] == (14 if r.level == r.home else 27) for r in visits)
+    assert guests.filter("level = home and not cross").count() == homes.count()
+
+
+def test_signed_sums_leave_no_link_out(rng):
+    hists = np.array(near_copies(rng, 20))
+    allowed = np.arange(len(hists))[:, None] < np.arange(len(hists))
+    found = families.linked(hists, hists, allowed, 0.9)
+    assert {tuple(x) for x in np.argwhere(found).tolist()} == {
+        (i, j) for i in range(len(hists)) for j in range(i + 1, len(hists))
+        if np.minimum(hists[i], hists[j]).sum() / max(np.maximum(hists[i], hists[j]).sum(), 1) > 0.9
+    }
+    weights = sketch_weights()[:, :8]
+    assert (weights[:, 0].tolist(), weights[:, 7].sum()) == ([1, -1] * 128, 0)
