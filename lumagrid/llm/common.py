@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lumagrid.session import materialise, tune
 
-__all__ = ["bitmap", "free", "hash_of", "materialise", "read", "ready"]
+__all__ = ["apart", "bitmap", "free", "hash_of", "materialise", "read", "ready"]
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -39,6 +39,16 @@ def hash_of(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` for a join by shuffle, whatever size Spark takes it for.
+
+    Spark sizes a table by its files and the types of its columns. It knows neither how many rows an explode makes of
+    one nor how well a file is encoded, so it may broadcast a table that is a hundred times as large as it thinks.
+    Sides that end in a group by or distinct need no such mark: their size is measured before the join is planned.
+    """
+    return df.hint("merge")
+
+
 #: A membership bitmap never has more bits than this (8 MB), however many keys it stands for.
 MOST_BITS = 1 << 26
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.llm import words as W
-from lumagrid.llm.common import bitmap, free, hash_of, materialise, ready
+from lumagrid.llm.common import apart, bitmap, free, hash_of, materialise, ready
 
 WIDTH = 5
 MINIMA, ROWS = 128, 4
@@ -310,14 +310,14 @@ def _mixed(placed: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame
     The buckets are told by a bitmap, which needs no shuffle by band; one that passes it by chance gives no pair.
     """
     named = roots.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
-    placed = placed.join(named, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    placed = placed.join(apart(named), "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = materialise(placed.select("band", "id", "m", "size", "root"), "placed")
     mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y")
     some = bitmap(materialise(mixed.select("band"), "mixed-buckets"), "band")
     cells = F.greatest(F.ceil(F.col("m") / F.lit(CELL)), F.ceil(F.col("size") / F.lit(CELL_SHINGLES))).cast("int")
     rows = placed.filter(some(F.col("band"))).withColumn("cells", cells)
     rows = rows.withColumn("cell", F.pmod(F.hash("id"), F.col("cells")))
-    return rows.join(classes.select(F.xxhash64("node").alias("id"), "node", "n", "sig"), "id")
+    return apart(rows).join(classes.select(F.xxhash64("node").alias("id"), "node", "n", "sig"), "id")
 
 
 def _merged(stars: DataFrame, more: DataFrame) -> DataFrame:
@@ -337,7 +337,7 @@ def _linked_roots(docs: DataFrame, classes: DataFrame, key: str, text: str, thre
     """(node, root) of every class that confirmed links join to a smaller one."""
     bands = _band_rows(classes)
     buckets = bands.groupBy("band").agg(F.count("*").alias("m"), F.min("id").alias("hub"), F.sum("n").alias("size"))
-    members = materialise(bands.drop("n").join(buckets.filter("m > 1"), "band"), "members")
+    members = materialise(apart(bands.drop("n")).join(buckets.filter("m > 1"), "band"), "members")
     large = members.filter("m > 2")
 
     # All pairs of buckets of two; in larger ones two pairs per class, with its least and its most frequent hub.
@@ -351,7 +351,7 @@ def _linked_roots(docs: DataFrame, classes: DataFrame, key: str, text: str, thre
 
     # Whatever is still in different components: all pairs, confirmed where they meet.
     rows = materialise(_mixed(large.select("band", "id", "m", "size"), classes, stars), "mixed")
-    rows = rows.join(_texts(docs, key, text, classes, rows), "node")
+    rows = apart(rows).join(_texts(docs, key, text, classes, rows), "node")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     rows = rows.withColumn("one", F.least("cell", "other")).withColumn("two", F.greatest("cell", "other"))
     columns = ("band", "one", "two", "cell", "node", "root", "n", "sig", "packed")

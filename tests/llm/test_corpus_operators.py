@@ -107,6 +107,53 @@ def test_one_large_near_family(spark, threshold):
     assert len(written) - written.count("stars") <= 14 and written.count("stars") <= 14
 
 
+def _broadcast_explodes(df):
+    """Joins of the first plan that broadcast what an explode makes, with no shuffle between to measure it."""
+    found, left = [], [df._jdf.queryExecution().sparkPlan()]
+    while left:
+        node = left.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        left += children
+        if "Broadcast" in node.nodeName():
+            side = [node.left() if "Left" in node.buildSide().toString() else node.right()]
+            while side:
+                own = side.pop()
+                if own.nodeName() == "Generate":
+                    found.append(node.simpleStringWithNodeId())
+                elif "Aggregate" not in own.nodeName():
+                    side += [own.children().apply(i) for i in range(own.children().size())]
+    return found
+
+
+@pytest.mark.parametrize("what", ["near copies"])
+def test_exploded_rows_are_not_broadcast_unmeasured(spark, monkeypatch, what):
+    """Spark takes a table for no larger than before an explode: the bands of documents went through the driver."""
+    checked, module = [], {"near copies": minhash, "personal data": pii}[what]
+    real = module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, label: checked.append((label, _broadcast_explodes(df))) or real(df, label))
+    rng = random.Random(1)
+    base = _words(rng, 60)
+    texts = [(k, " ".join([*base[:-4], *_words(rng, 4)]) + f" Ms Anna Stone, a{k % 7}@mail.example.com") for k in range(40)]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string")
+    result = minhash.near_duplicates(table) if module is minhash else pii.replace(table, b"k")
+    assert len(checked) > 3 and result.count() == 40
+    assert not [x for x in [*checked, ("result", _broadcast_explodes(result))] if x[1]]
+    if module is minhash:  # the file of these is small however many rows it holds: values repeat in it
+        assert {"members", "placed", "mixed"} <= {label for label, _ in checked}
+
+
+def test_tables_that_files_make_look_small_are_not_broadcast(spark, monkeypatch):
+    """Roots of stars (two digests, read as two numbers) and rows of mixed buckets (values that repeat) join by shuffle."""
+    seen, real = {}, minhash.materialise
+    monkeypatch.setattr(minhash, "materialise", lambda df, label: seen.setdefault(label, df) and None or real(df, label))
+    rng = random.Random(2)
+    base = _words(rng, 60)
+    texts = [(k, " ".join([*base[:-6], *_words(rng, 6)])) for k in range(40)]
+    assert minhash.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string")).count() == 40
+    for label in ("placed", "mixed"):
+        assert "BroadcastHashJoin" not in seen[label]._jdf.queryExecution().sparkPlan().toString(), label
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(bytearray(f"{i:04d}".encode()), bytearray(f"{i + 1:04d}".encode())) for i in range(60)] + [(bytearray(b"x"), bytearray(b"y"))]
     found = minhash.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
