@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumagrid.llm.common import free, materialise, ready
+from lumagrid.llm.common import apart, free, materialise, ready
 
 # Forms of address with the gender they tell, and names to draw from.
 TITLES = {
@@ -380,7 +380,7 @@ def replace(docs: DataFrame, key: bytes, text: str = "text", counted: str | None
     kinds = materialise(resolved(single), "resolved")
     chosen = assign(kinds.select(F.col("as_kind").alias("kind"), "entity"), key)
     chosen = kinds.join(chosen.withColumnRenamed("kind", "as_kind"), ["as_kind", "entity"]).drop("as_kind")
-    single = single.join(chosen, ["kind", "entity"])
+    single = apart(single).join(chosen, ["kind", "entity"])
     single = single.groupBy(row).agg(
         F.collect_list(F.struct("kind", "start", "stop", "surrogate")).alias(chosen_in)
     )

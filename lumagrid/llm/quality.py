@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumagrid.llm import words as W
-from lumagrid.llm.common import materialise, ready
+from lumagrid.llm.common import apart, materialise, ready
 
 STEPS = 12
 RIDGE = 1.0
@@ -243,7 +243,7 @@ def score(
     known = materialise(known, "features")
     features = known.select("key", "host", "path", "f.words", "f.x").filter("words > 0")
     told = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
-    labelled = features.join(told, "key").select("x", "label")
+    labelled = features.join(apart(told), "key").select("x", "label")
     model = fit(materialise(labelled, "labelled"))
     coefficients, intercept, base = model or (np.zeros(len(FEATURES)), 0.0, 0.0)
 

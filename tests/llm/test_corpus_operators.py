@@ -125,7 +125,7 @@ def _broadcast_explodes(df):
     return found
 
 
-@pytest.mark.parametrize("what", ["near copies"])
+@pytest.mark.parametrize("what", ["near copies", "personal data"])
 def test_exploded_rows_are_not_broadcast_unmeasured(spark, monkeypatch, what):
     """Spark takes a table for no larger than before an explode: the bands of documents went through the driver."""
     checked, module = [], {"near copies": minhash, "personal data": pii}[what]
